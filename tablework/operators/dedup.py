@@ -104,10 +104,15 @@ def _decide_cogrouped(pool: DataFrame, distance: float) -> DataFrame:
                 kept.append(one)
         return both[chosen]
 
-    flat = pool.select("k", "v", "place.side", "place.ordinal")
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in flat.schema.fields)
-    grouped = [flat.where(F.col("side") == side).groupBy("k") for side in (0, 1)]
-    chosen = grouped[0].cogroup(grouped[1]).applyInPandas(keep, fields).select("k", "v")
+    def grouped(side: int):
+        # Each side names its columns anew; a cogroup of one table with itself mixes them up.
+        rows = pool.where(F.col("place.side") == side).select(
+            F.col("k").alias("k"), F.col("v").alias("v"), F.col("place.ordinal").alias("ordinal")
+        )
+        return rows.groupBy("k")
+
+    fields = pool.select("k", "v", "place.ordinal").schema
+    chosen = grouped(0).cogroup(grouped(1)).applyInPandas(keep, fields).select("k", "v")
     return _matching(pool, chosen, "left_semi")
 
 
