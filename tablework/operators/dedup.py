@@ -7,6 +7,8 @@ A row is kept unless an earlier kept row of its group lies closer than ``distanc
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from tablework.storage import fresh_path
 # Rows of one group that one task looks at in a round. Spark cuts a row_number filter on the map
 # side up to this limit (spark.sql.optimizer.windowGroupLimitThreshold).
 HEAD_ROWS = 1000
+LAST_CELL = 2.0**61
 
 
 def greedy_dedup(
@@ -29,8 +32,8 @@ def greedy_dedup(
     method: str = "native",
     head_rows: int = HEAD_ROWS,
 ) -> DataFrame:
-    """Kept rows of both tables. ``order`` must be unique within a table; a row with a NULL value
-    has no distance to any other and is kept.
+    """Kept rows of both tables. ``order`` must be unique within a table. A row with a NULL value
+    has no distance to any other and is kept; so is one NaN per group.
 
     1. Of equal values in a group only the first row can be kept, so they are combined by key and
        value before the shuffle. Copies never meet in one task.
@@ -94,32 +97,46 @@ def _decide_cogrouped(pool: DataFrame, distance: float) -> DataFrame:
     """The same decision by a function that gets both sides of a group as frames."""
 
     def keep(first: pd.DataFrame, second: pd.DataFrame) -> pd.DataFrame:
-        both = pd.concat([f.sort_values("ordinal") for f in (first, second) if len(f)])
-        kept: list[float] = []
+        kept: list[float] = []  # sorted, so only two neighbours can be close
         chosen = []
-        for one in both["v"]:
-            free = all(not abs(one - other) < distance for other in kept)
-            chosen.append(free)
-            if free:
-                kept.append(one)
-        return both[chosen]
+        for frame in (first, second):
+            if frame.empty:
+                continue
+            frame = frame.sort_values("ordinal")
+            free = [_take(kept, one, distance) for one in frame["v"].tolist()]
+            chosen.append(frame.loc[free, ["k", "side", "ordinal"]])
+        return pd.concat(chosen)
 
     def grouped(side: int):
         # Each side names its columns anew; a cogroup of one table with itself mixes them up.
         rows = pool.where(F.col("place.side") == side).select(
-            F.col("k").alias("k"), F.col("v").alias("v"), F.col("place.ordinal").alias("ordinal")
+            F.col("k").alias("k"),
+            F.col("v").alias("v"),
+            F.col("place.side").alias("side"),
+            F.col("place.ordinal").alias("ordinal"),
         )
         return rows.groupBy("k")
 
-    fields = pool.select("k", "v", "place.ordinal").schema
-    chosen = grouped(0).cogroup(grouped(1)).applyInPandas(keep, fields).select("k", "v")
-    return _matching(pool, chosen, "left_semi")
+    places = pool.select("k", "place.side", "place.ordinal").schema
+    chosen = grouped(0).cogroup(grouped(1)).applyInPandas(keep, places)
+    chosen = chosen.select("k", F.struct("side", "ordinal").alias("place"))
+    return _matching(pool, chosen, "left_semi", ["k", "place"])
+
+
+def _take(kept: list[float], one: float, distance: float) -> bool:
+    """Add a value to the sorted kept ones unless one of them is close."""
+    if one != one:  # NaN, close to nothing
+        return True
+    at = bisect_left(kept, one)
+    if any(abs(one - other) < distance for other in kept[max(at - 1, 0) : at + 1]):
+        return False
+    kept.insert(at, one)
+    return True
 
 
 def _decide_in_rounds(pool: DataFrame, distance: float, decide, head_rows: int) -> DataFrame:
     spark = pool.sparkSession
-    # Two values closer than the distance lie in the same cell or in neighbouring ones.
-    pool = pool.withColumn("cell", F.floor(F.col("v") / F.lit(2.0 * distance)))
+    pool = pool.withColumn("cell", _cell("v", distance))
     by_place = Window.partitionBy("k").orderBy("place")
     rounds: list[str] = []
     while True:
@@ -129,9 +146,10 @@ def _decide_in_rounds(pool: DataFrame, distance: float, decide, head_rows: int)
             .drop("position")
         )
         decided = decide(heads, distance)
-        early = _matching(_first_within_reach(pool), decided, "left_anti")
+        early = _matching(_first_within_reach(pool), decided, "left_anti", ["k", "v"])
         rounds.append(fresh_path(spark, "dedup-kept"))
-        decided.unionByName(early.drop("cell")).write.parquet(rounds[-1])
+        columns = ["k", "v", "place", "row"]
+        decided.select(*columns).union(early.select(*columns)).write.parquet(rounds[-1])
         open_path = fresh_path(spark, "dedup-open")
         _out_of_reach(pool, spark.read.parquet(rounds[-1]), distance).write.parquet(open_path)
         pool = spark.read.schema(pool.schema).parquet(open_path)
@@ -143,30 +161,35 @@ def _first_within_reach(pool: DataFrame) -> DataFrame:
     """Rows that come before every other row of their own and the neighbouring cells."""
     firsts = pool.groupBy("k", "cell").agg(F.min("place").alias("place"))
     around = (
-        firsts.select("k", F.explode(_cells_around("cell")).alias("cell"), "place")
+        firsts.select("k", F.explode(_cells_around(F.col("cell"))).alias("cell"), "place")
         .groupBy("k", "cell")
         .agg(F.min("place").alias("place"))
     )
-    both = [F.col(f"p.{c}").eqNullSafe(F.col(f"a.{c}")) for c in ("k", "cell", "place")]
-    return pool.alias("p").join(around.alias("a"), both, "left_semi")
+    return _matching(pool, around, "left_semi", ["k", "cell", "place"])
 
 
 def _out_of_reach(pool: DataFrame, kept: DataFrame, distance: float) -> DataFrame:
-    cell = F.floor(F.col("v") / F.lit(2.0 * distance))
-    reach = kept.select("k", "v", F.explode(_cells_around(cell)).alias("cell"))
+    reach = kept.select("k", "v", F.explode(_cells_around(_cell("v", distance))).alias("cell"))
+    decided = F.col("p.v").eqNullSafe(F.col("n.v"))
     close = (
         F.col("p.k").eqNullSafe(F.col("n.k"))
         & (F.col("p.cell") == F.col("n.cell"))
-        & (F.abs(F.col("p.v") - F.col("n.v")) < distance)
+        & (decided | (F.abs(F.col("p.v") - F.col("n.v")) < distance))
     )
     return pool.alias("p").join(reach.alias("n"), close, "left_anti")
 
 
-def _cells_around(cell: Column | str) -> Column:
-    middle = F.col(cell) if isinstance(cell, str) else cell
-    return F.array(middle - 1, middle, middle + 1)
+def _cell(value: str, distance: float) -> Column:
+    """Cell of the value axis, twice as wide as the distance: two values closer than the distance
+    lie in one cell or in neighbouring ones, rounding included. Infinite values go to the ends."""
+    cells = F.col(value).cast("double") / F.lit(2.0 * distance)
+    return F.floor(F.greatest(F.least(cells, F.lit(LAST_CELL)), F.lit(-LAST_CELL)))
+
+
+def _cells_around(cell: Column) -> Column:
+    return F.array(cell - 1, cell, cell + 1)
 
 
-def _matching(rows: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
-    both = [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in ("k", "v")]
-    return rows.alias("r").join(chosen.alias("c"), both, how)
+def _matching(rows: DataFrame, chosen: DataFrame, how: str, columns: list[str]) -> DataFrame:
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in columns]
+    return rows.alias("r").join(chosen.alias("c"), same, how)

@@ -48,10 +48,11 @@ class BucketedPair:
     small_key: str
 
     def join(self) -> DataFrame:
+        """Inner join bucket by bucket; the hint keeps small tables from being broadcast instead."""
         same = (F.col(f"l.{self.large_key}") == F.col(f"s.{self.small_key}")) & (
             F.col(f"l.{SALT}") == F.col(f"s.{SALT}")
         )
-        joined = self.large.alias("l").join(self.small.alias("s"), same)
+        joined = self.large.alias("l").join(self.small.hint("merge").alias("s"), same)
         return joined.drop(F.col(f"l.{SALT}"), F.col(f"s.{SALT}"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,9 +25,13 @@ def rows_to_table(
     return spark.createDataFrame(list(rows), schema)
 
 
+ROWS_PER_TASK = 10_000_000
+
+
 def generated_rows(spark: SparkSession, count: int, **columns: Column) -> DataFrame:
     """``count`` rows with ids from 0, made in the executors; ``columns`` derive from ``id``."""
-    return spark.range(count).withColumns(columns)
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(count / ROWS_PER_TASK))
+    return spark.range(0, count, 1, tasks).withColumns(columns)
 
 
 def label_for(number: Column, labels: Sequence[str]) -> Column:
