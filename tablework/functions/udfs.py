@@ -21,7 +21,8 @@ def cubed(numbers: pd.Series) -> pd.Series:
     """Cube of a bigint. Too large a number is an error, as in native ANSI arithmetic."""
     if (numbers.abs() > CUBE_LIMIT).any():
         raise OverflowError(f"cube of a number beyond {CUBE_LIMIT} is not a bigint")
-    return numbers * numbers * numbers
+    whole = numbers.astype("Int64")  # a batch with NULLs arrives as floats
+    return whole * whole * whole
 
 
 def cubed_native(number: Column) -> Column:
