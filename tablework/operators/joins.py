@@ -47,15 +47,24 @@ def interval_join(
 ) -> DataFrame:
     """All pairs with ``low <= value <= high``, for numeric columns.
 
-    ``intervals`` is counted. Up to ``broadcast_rows`` of them are broadcast and compared row by
-    row. More are binned, which turns the condition into an equi-join.
+    ``intervals`` is measured. Up to ``broadcast_rows`` of them, within ``BROADCAST_BYTES``, are
+    broadcast and compared row by row. More are binned, which turns the condition into an
+    equi-join whose hot bins adaptive execution can split.
     """
     within = (F.col(value) >= F.col(low)) & (F.col(value) <= F.col(high))
-    if intervals.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if _measures_small(intervals, broadcast_rows):
         return points.join(F.broadcast(intervals), within)
     return _binned_interval_join(points, intervals, value, low, high, within)
 
 
+def _measures_small(df: DataFrame, rows: int) -> bool:
+    """Whether all rows are at most ``rows`` and together short enough to broadcast, by counting
+    them and the length of their text, in one pass over no more than one row above the limit."""
+    length = F.length(F.to_json(F.struct("*")))
+    size = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(length).alias("b")).first()
+    return size["n"] <= rows and (size["b"] or 0) <= BROADCAST_BYTES
+
+
 def _binned_interval_join(
     points: DataFrame, intervals: DataFrame, value: str, low: str, high: str, within: Column
 ) -> DataFrame:

@@ -73,24 +73,23 @@ def conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("SELECT event_id, user_id, event_type, value FROM events "
-       "WHERE value > 30 AND user_id < 70 AND contains(event_type, 'c')")
+       "WHERE value > 30 AND ts < TIMESTAMP '2024-01-20' AND contains(event_type, 'c')")
 def multi_predicate_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     return (
-        events.where(F.col("value") > 30)
-        .where(F.col("user_id") < 70)
+        table(spark, sf_dir, "events")
+        .where(F.col("value") > 30)
+        .where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
         .where(F.col("event_type").contains("c"))
+        .select("event_id", "user_id", "event_type", "value")
     )
 
 
-@query("SELECT c_custkey, c_name, c_acctbal FROM customer "
-       "WHERE c_mktsegment = 'BUILDING' AND c_name LIKE 'Customer#0000%' AND c_acctbal > 0")
+@query("SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders "
+       "WHERE o_orderstatus = 'O' AND o_orderpriority LIKE '1-%' AND o_totalprice > 1000")
 def sql_text_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    condition = """
-        c_mktsegment = 'BUILDING' AND c_name LIKE 'Customer#0000%' AND c_acctbal > 0
-    """
-    return table(spark, sf_dir, "customer").where(condition).select(
-        "c_custkey", "c_name", "c_acctbal"
+    condition = "o_orderstatus = 'O' AND o_orderpriority LIKE '1-%' AND o_totalprice > 1000"
+    return table(spark, sf_dir, "orders").where(condition).select(
+        "o_orderkey", "o_totalprice", "o_orderpriority"
     )
 
 

@@ -7,18 +7,24 @@ import os
 
 from pyspark.sql import SparkSession
 
-SPLIT_BYTES = 128 * 1024 * 1024
+MIB = 1024 * 1024
+MAX_SHUFFLE_WIDTH = 50_000
 
 
 def shuffle_width(cores: int, input_bytes: int | None = None) -> int:
-    """Initial shuffle partitions: about one per scan split, at least one per core.
+    """Initial shuffle partitions: one per GiB of input, at least one per core.
 
-    Adaptive execution joins small partitions afterwards, so too many costs little and too few
-    makes every task spill.
+    Adaptive execution joins small partitions afterwards, so some too many cost little. There is a
+    block per map task and partition, though, so the number must not follow 100 TB all the way.
     """
     if input_bytes is None:
         return cores
-    return max(cores, math.ceil(input_bytes / SPLIT_BYTES))
+    return max(cores, min(MAX_SHUFFLE_WIDTH, math.ceil(input_bytes / (1024 * MIB))))
+
+
+def split_bytes(input_bytes: int | None = None) -> int:
+    """Bytes per scan task: 128 MiB, and 512 MiB from a TiB on to keep the task count down."""
+    return 512 * MIB if input_bytes and input_bytes >= 1024 * 1024 * MIB else 128 * MIB
 
 
 def session_settings(cores: int, input_bytes: int | None = None) -> dict[str, str]:
@@ -28,7 +34,7 @@ def session_settings(cores: int, input_bytes: int | None = None) -> dict[str, st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.ansi.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.files.maxPartitionBytes": str(SPLIT_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes(input_bytes)),
         "spark.sql.shuffle.partitions": str(shuffle_width(cores, input_bytes)),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }

@@ -122,7 +122,7 @@ def test_unknown_group_column(spark):
         ("filtered_group_sum", "EqualTo(l_returnflag,R)",
          "struct<l_quantity:double,l_returnflag:string,l_linestatus:string>"),
         ("multi_predicate_filter", "StringContains(event_type,c)",
-         "struct<event_id:bigint,user_id:bigint,event_type:string,value:double>"),
+         "struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>"),
         ("count_distinct", "IsNotNull(l_partkey)", "struct<l_partkey:bigint>"),
         ("union_all_refilter", "GreaterThan(o_totalprice,400000.0)",
          "struct<o_orderkey:bigint,o_totalprice:double,o_orderpriority:string>"),
