@@ -34,24 +34,26 @@ def current(spark: SparkSession, path: str, schema: StructType | None = None) ->
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
-def append_enforced(df: DataFrame, path: str) -> None:
+def append_enforced(df: DataFrame, path: str, schema: StructType | None = None) -> None:
     """Append rows that fit the table. Another column or another type is refused before anything
-    is written; a missing column reads as NULL."""
-    extra = _checked(df, path)
+    is written; a missing column reads as NULL. Pass the table's ``schema`` where it is known, or
+    it is found from the footers of all files."""
+    extra = _checked(df, path, schema)
     if extra:
         raise SchemaMismatch(f"columns not in the table: {extra}")
     df.write.mode("append").parquet(path)
 
 
-def append_evolving(df: DataFrame, path: str) -> None:
+def append_evolving(df: DataFrame, path: str, schema: StructType | None = None) -> None:
     """Append rows that may bring new columns. A changed type is still refused."""
-    _checked(df, path)
+    _checked(df, path, schema)
     df.write.mode("append").parquet(path)
 
 
-def _checked(df: DataFrame, path: str) -> list[str]:
+def _checked(df: DataFrame, path: str, schema: StructType | None) -> list[str]:
     """Refuse changed types; return the columns that the table does not have."""
-    table = {f.name: f.dataType for f in current(df.sparkSession, path).schema.fields}
+    known = schema or current(df.sparkSession, path).schema
+    table = {f.name: f.dataType for f in known.fields}
     changed = [
         f"{f.name}: {table[f.name].simpleString()} -> {f.dataType.simpleString()}"
         for f in df.schema.fields

@@ -24,14 +24,15 @@ def equi_join(
     Without ``strategy`` Catalyst broadcasts a side below its size threshold and otherwise sorts
     and merges; adaptive execution revises that on real sizes and splits hot keys.
 
-    ``broadcast``    broadcasts ``right`` if its planned size is within ``BROADCAST_BYTES``,
-                     and else merges
+    ``broadcast``    broadcasts ``right`` if it is planned and then measured to be within
+                     ``BROADCAST_BYTES``, and else merges
     ``merge``        sorts and merges, whatever the sizes
     ``shuffle_hash`` shuffles both sides and builds the hash table from ``right``, whose keys
                      should therefore be (nearly) unique
     """
     if strategy == "broadcast":
-        strategy = "broadcast" if planned_bytes(right) <= BROADCAST_BYTES else "merge"
+        small = planned_bytes(right) <= BROADCAST_BYTES and _text_bytes(right) <= BROADCAST_BYTES
+        strategy = "broadcast" if small else "merge"
     if strategy is not None:
         right = right.hint(strategy)
     return left.join(right, on)
@@ -58,11 +59,16 @@ def interval_join(
 
 
 def _measures_small(df: DataFrame, rows: int) -> bool:
-    """Whether all rows are at most ``rows`` and together short enough to broadcast, by counting
-    them and the length of their text, in one pass over no more than one row above the limit."""
-    length = F.length(F.to_json(F.struct("*")))
-    size = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(length).alias("b")).first()
-    return size["n"] <= rows and (size["b"] or 0) <= BROADCAST_BYTES
+    """Whether ``df`` has at most ``rows`` rows that together are short enough to broadcast. Looks
+    at no more than one row above the limit."""
+    some = df.limit(rows + 1)
+    return some.count() <= rows and _text_bytes(some) <= BROADCAST_BYTES
+
+
+def _text_bytes(df: DataFrame) -> int:
+    """Length of all rows as text: unlike file sizes, it does not shrink by compression."""
+    length = F.octet_length(F.to_json(F.struct("*")))
+    return df.agg(F.sum(length)).first()[0] or 0
 
 
 def _binned_interval_join(

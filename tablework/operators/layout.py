@@ -1,4 +1,4 @@
-"""Data layout: bucketed table pairs, caches, partition control."""
+"""Data layout: bucketed table pairs and caches."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.storage import fresh_path
@@ -78,22 +78,25 @@ def write_bucketed_pair(
     buckets = buckets or bucket_count(rows)
     heavy_rows = heavy_rows or max(1, math.ceil(rows / buckets / 2))
     heavy = _heavy_keys(large, large_key, heavy_rows)
-    if heavy.count() <= 2 * MAX_BUCKETS:
+    heavy_count = heavy.count()
+    if heavy_count <= 2 * MAX_BUCKETS:
         heavy = F.broadcast(heavy)
-    # A NULL key meets no partner, so such rows may go anywhere.
-    salts = F.when(F.col(large_key).isNull(), buckets).otherwise(F.coalesce("salts", F.lit(1)))
-    salted_large = (
-        large.join(heavy, F.col(large_key) == F.col("heavy_key"), "left")
-        .withColumn(SALT, F.pmod(F.xxhash64(*large.columns), salts).cast("int"))
-        .select(*large.columns, SALT)
-    )
-    salted_small = (
-        small.join(heavy, F.col(small_key) == F.col("heavy_key"), "left")
-        .withColumn(
-            SALT, F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)).cast("int") - 1))
-        )
-        .select(*small.columns, SALT)
+    large, small = (
+        df.withColumn("salts", F.lit(1))
+        if heavy_count == 0
+        else df.join(heavy, F.col(key) == F.col("heavy_key"), "left")
+        .withColumn("salts", F.coalesce("salts", F.lit(1)))
+        .drop("heavy_key")
+        for df, key in ((large, large_key), (small, small_key))
     )
+    # A NULL key meets no partner, so such rows may go anywhere.
+    salts = F.when(F.col(large_key).isNull(), buckets).otherwise(F.col("salts"))
+    row = F.xxhash64(*[name for name in large.columns if name != "salts"])
+    salted_large = large.withColumn(
+        SALT, F.when(salts > 1, F.pmod(row, salts)).otherwise(0).cast("int")
+    ).drop("salts")
+    each_salt = F.sequence(F.lit(0), F.col("salts").cast("int") - 1)
+    salted_small = small.withColumn(SALT, F.explode(each_salt)).drop("salts")
     return BucketedPair(
         write_bucketed(salted_large, large_name, buckets, large_key, SALT),
         write_bucketed(salted_small, small_name, buckets, small_key, SALT),
@@ -137,18 +140,3 @@ def cached_table(spark: SparkSession, name: str, lazy: bool = False) -> Iterator
         yield spark.table(name)
     finally:
         spark.sql(f"UNCACHE TABLE IF EXISTS {name}")
-
-
-def spread_evenly(df: DataFrame, partitions: int) -> DataFrame:
-    """Round-robin over ``partitions``: even sizes whatever the keys."""
-    return df.repartition(partitions)
-
-
-def spread_by_range(df: DataFrame, partitions: int, *order: str | Column) -> DataFrame:
-    """Ranges of ``order``. End it with a unique column, so that equal keys can be split."""
-    return df.repartitionByRange(partitions, *order)
-
-
-def fewer_partitions(df: DataFrame, partitions: int) -> DataFrame:
-    """Join neighbouring partitions without a shuffle."""
-    return df.coalesce(partitions)

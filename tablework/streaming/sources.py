@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+# A backlog is taken in batches of this size, so that a failure repeats one of them and not all.
+BYTES_PER_BATCH = 2**40
+
+
 def _reader(spark: SparkSession, schema: StructType | str, files_per_batch: int | None):
     reader = spark.readStream.schema(schema)
     if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader
+        return reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.option("maxBytesPerTrigger", BYTES_PER_BATCH)
 
 
 def json_stream(

@@ -98,3 +98,38 @@ def test_no_valid_interval(spark):
     points = spark.createDataFrame([(1, 1.0)], "p int, v double")
     empty = spark.createDataFrame([(1, 3.0, 2.0)] * 3, "i int, low double, high double")
     assert interval_join(points, empty, "v", "low", "high", broadcast_rows=1).count() == 0
+
+
+@pytest.mark.parametrize("strategy", ["merge", "shuffle_hash"])
+def test_a_hot_key_is_split(spark, strategy):
+    """A third of the rows under one key: adaptive execution cuts that partition in pieces."""
+    settings = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    }
+    before = {"spark.sql.shuffle.partitions": "4", **{key: "" for key in list(settings)[1:]}}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        user = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000)
+        orders = spark.range(0, 200_000, 1, 8).select("id", user.alias("user"))
+        users = spark.range(1000).select(F.col("id").alias("uid"), F.lit("CA").alias("state"))
+        joined = equi_join(orders, users, same(), strategy)
+        assert joined.agg(F.count("id"), F.sum("id")).first()[0] == 200_000
+        rows = joined.select("id", "state")
+        rows.collect()
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
+
+
+def test_a_side_that_unpacks_to_more_than_the_limit_is_not_broadcast(spark, tmp_path):
+    """One long text many times over: small as a file, large in memory."""
+    path = str(tmp_path / "users")
+    text = F.repeat(F.lit("x"), 10_000)
+    spark.range(5000).coalesce(1).select(F.col("id").alias("uid"), text.alias("t")).write.parquet(path)
+    orders, _ = orders_and_users(spark)
+    joined = equi_join(orders, spark.read.parquet(path), same(), "broadcast")
+    assert "SortMergeJoin" in plan_text(joined)

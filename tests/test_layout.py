@@ -8,9 +8,6 @@ from tablework.operators.layout import (
     bucket_count,
     cached,
     cached_table,
-    fewer_partitions,
-    spread_by_range,
-    spread_evenly,
     write_bucketed_pair,
 )
 from tablework.plans.explain import plan_text
@@ -78,10 +75,10 @@ def test_cached_table(spark, lazy):
 @pytest.mark.parametrize(
     "spread",
     [
-        lambda df: spread_evenly(df, 1),
-        lambda df: spread_evenly(df, 7),
-        lambda df: spread_by_range(df, 5, "k", "id"),
-        lambda df: fewer_partitions(df, 2),
+        lambda df: df.repartition(1),
+        lambda df: df.repartition(7),
+        lambda df: df.repartitionByRange(5, "k", "id"),
+        lambda df: df.coalesce(2),
     ],
 )
 def test_partitions_do_not_change_results(spark, spread):
