@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -94,18 +94,16 @@ def _decide_native(pool: DataFrame, distance: float) -> DataFrame:
 
 
 def _decide_cogrouped(pool: DataFrame, distance: float) -> DataFrame:
-    """The same decision by a function that gets both sides of a group as frames."""
+    """The same decision by a function that gets both sides of a group as Arrow tables."""
 
-    def keep(first: pd.DataFrame, second: pd.DataFrame) -> pd.DataFrame:
+    def keep(first: pa.Table, second: pa.Table) -> pa.Table:
         kept: list[float] = []  # sorted, so only two neighbours can be close
         chosen = []
-        for frame in (first, second):
-            if frame.empty:
-                continue
-            frame = frame.sort_values("ordinal")
-            free = [_take(kept, one, distance) for one in frame["v"].tolist()]
-            chosen.append(frame.loc[free, ["k", "side", "ordinal"]])
-        return pd.concat(chosen)
+        for side in (first, second):
+            side = side.sort_by("ordinal")
+            free = [_take(kept, one, distance) for one in side["v"].to_pylist()]
+            chosen.append(side.filter(pa.array(free, pa.bool_())).drop_columns("v"))
+        return pa.concat_tables(chosen)
 
     def grouped(side: int):
         # Each side names its columns anew; a cogroup of one table with itself mixes them up.
@@ -118,7 +116,7 @@ def _decide_cogrouped(pool: DataFrame, distance: float) -> DataFrame:
         return rows.groupBy("k")
 
     places = pool.select("k", "place.side", "place.ordinal").schema
-    chosen = grouped(0).cogroup(grouped(1)).applyInPandas(keep, places)
+    chosen = grouped(0).cogroup(grouped(1)).applyInArrow(keep, places)
     chosen = chosen.select("k", F.struct("side", "ordinal").alias("place"))
     return _matching(pool, chosen, "left_semi", ["k", "place"])
 
