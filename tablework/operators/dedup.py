@@ -48,6 +48,8 @@ def greedy_dedup(
     """
     spark = left.sparkSession
     names = left.columns
+    if "side" in names:
+        raise ValueError("column side is what the result calls the table a row comes from")
     sides = _on_side(left, 0).unionByName(_on_side(right, 1))
     place = F.struct("side", F.col(order).alias("ordinal"))
     row = F.struct(*[F.col(name) for name in names])
