@@ -8,9 +8,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
-
-
 def group_total(df: DataFrame, keys: Sequence[str], measure: Column, name: str) -> DataFrame:
     """Sum per group, largest first; equal sums in key order."""
     return df.groupBy(*keys).agg(F.sum(measure).alias(name)).orderBy(F.desc(name), *keys)
@@ -33,20 +30,21 @@ def distinct_count(
     return df.agg(F.approx_count_distinct(column, relative_error).alias(name))
 
 
-def exact_sum(column: str) -> Column:
-    """Sum that does not depend on the order of addition: decimals, then double."""
-    return F.sum(F.col(column).cast(MONEY)).cast("double")
+def exact_sum(column: str, digits: int = 2) -> Column:
+    """Sum of values that have at most ``digits`` decimals, as money has. They are added as
+    decimals, so the result does not depend on the order in which tasks add them up."""
+    return F.sum(F.col(column).cast(f"decimal({16 + digits},{digits})")).cast("double")
 
 
-def exact_mean(column: str) -> Column:
-    return exact_sum(column) / F.count(column)
+def exact_mean(column: str, digits: int = 2) -> Column:
+    return exact_sum(column, digits) / F.count(column)
 
 
-def summary(df: DataFrame, column: str) -> DataFrame:
+def summary(df: DataFrame, column: str, digits: int = 2) -> DataFrame:
     """Sum, mean, smallest and largest value of a numeric column."""
     return df.agg(
-        exact_sum(column).alias("total"),
-        exact_mean(column).alias("mean"),
+        exact_sum(column, digits).alias("total"),
+        exact_mean(column, digits).alias("mean"),
         F.min(column).alias("smallest"),
         F.max(column).alias("largest"),
     )
@@ -76,9 +74,9 @@ def pivot_labelled(
     return wide.withColumnsRenamed(names)
 
 
-def mean_within(column: str, precision: int, scale: int) -> Column:
-    """Mean as a decimal of fixed width; NULL where it does not fit."""
-    return exact_mean(column).try_cast(f"decimal({precision},{scale})")
+def within(number: Column, precision: int, scale: int) -> Column:
+    """A decimal of fixed width; NULL where the number does not fit."""
+    return number.try_cast(f"decimal({precision},{scale})")
 
 
 def rebuilt_arrays(df: DataFrame, key: str, array: str, element: Column, name: str) -> DataFrame:

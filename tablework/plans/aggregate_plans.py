@@ -128,13 +128,14 @@ def pivot_two_aggs(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated = table(spark, sf_dir, "orders").select(
         "o_orderpriority", F.month("o_orderdate").alias("month"), "o_totalprice"
     )
+    mean = aggregates.exact_mean("o_totalprice")
     wide = aggregates.pivot_labelled(
         dated,
         ["o_orderpriority"],
         "month",
         {1: "JAN", 2: "FEB"},
         {
-            "AvgPrice": aggregates.mean_within("o_totalprice", 12, 2).cast("double"),
+            "AvgPrice": aggregates.within(mean, 12, 2).cast("double"),
             "MaxPrice": F.max("o_totalprice"),
         },
     )

@@ -33,6 +33,8 @@ def test_distinct_count_ignores_null(spark):
 def test_summary(spark):
     df = spark.createDataFrame([(0.1,), (0.2,), (None,)], "x double")
     assert tuple(aggregates.summary(df, "x").first()) == (0.3, 0.15, 0.1, 0.2)
+    fine = spark.createDataFrame([(0.0001,), (0.0002,)], "x double")
+    assert aggregates.summary(fine, "x", digits=4).first().total == 0.0003
 
 
 def pivoted(spark, precision=4):
@@ -43,7 +45,7 @@ def pivoted(spark, precision=4):
         ["destination"],
         "month",
         {1: "JAN", 2: "FEB"},
-        {"AvgDelay": aggregates.mean_within("delay", precision, 2), "MaxDelay": F.max("delay")},
+        {"AvgDelay": aggregates.within(F.avg("delay"), precision, 2), "MaxDelay": F.max("delay")},
     ).orderBy("destination")
 
 

@@ -133,6 +133,21 @@ def test_partitions_are_pruned_and_keep_their_columns(spark, tmp_path):
     assert spark.read.parquet(f"{root}/y=1/m=1").columns == ["id"]
 
 
+def test_a_large_partition_is_written_by_several_tasks(spark, tmp_path):
+    """Most rows in one month; the small months still get one file each."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "50KB")
+    try:
+        month = F.when(F.col("id") % 10 < 8, 1).otherwise(F.col("id") % 10)
+        df = spark.range(0, 100_000, 1, 8).select("id", month.alias("month"))
+        write_partitioned(df, str(tmp_path / "tree"), "month")
+    finally:
+        spark.conf.unset(key)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "tree").glob("month=*")}
+    assert files["month=1"] > 1 and set(files) == {"month=1", "month=8", "month=9"}
+    assert read_parquet(spark, str(tmp_path / "tree")).count() == 100_000
+
+
 def test_file_view_and_rows(spark, tmp_path):
     path = str(tmp_path / "p")
     people = rows_to_table(spark, [("Ann", "CA"), ("Bo", "TX")], "name STRING, state STRING")
