@@ -56,8 +56,7 @@ def greedy_dedup(
     firsts = (
         sides.where(F.col(value).isNotNull())
         .groupBy(F.col(key).alias("k"), F.col(value).alias("v"))
-        .agg(F.min(F.struct(place.alias("place"), row.alias("row"))).alias("first"))
-        .select("k", "v", "first.place", "first.row")
+        .agg(F.min(place).alias("place"), F.min_by(row, place).alias("row"))
     )
     path = fresh_path(spark, "dedup-pool")
     firsts.write.parquet(path)

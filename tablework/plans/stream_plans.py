@@ -37,9 +37,11 @@ def stream_json_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _table_stream(
+    spark: SparkSession, sf_dir: str, name: str, many_keys: bool = False
+) -> DataFrame:
     schema = table(spark, sf_dir, name).schema
-    return parquet_stream(stream_session(spark), f"{sf_dir}/{name}*.parquet", schema)
+    return parquet_stream(stream_session(spark, many_keys), f"{sf_dir}/{name}*.parquet", schema)
 
 
 @query("SELECT event_type, CAST(COUNT(*) AS BIGINT) AS count FROM events GROUP BY ALL")
@@ -57,7 +59,7 @@ def stream_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many keys: each batch publishes only the words whose count changed."""
-    texts = _table_stream(spark, sf_dir, "documents")
+    texts = _table_stream(spark, sf_dir, "documents", many_keys=True)
     words = texts.select(F.explode(whitespace_split("text")).alias("word")).where("word <> ''")
     path = fresh_path(spark, "result")
     counts = words.groupBy("word").count()

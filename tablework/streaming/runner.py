@@ -8,19 +8,29 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+FEW_KEYS_WIDTH = 64
+
+
+def stream_session(
+    spark: SparkSession, many_keys: bool = False, state_partitions: int | None = None
+) -> SparkSession:
     """A session for streams, with settings of its own on the same cluster.
 
     The shuffle width of a stateful query is fixed for the life of its checkpoint and adaptive
-    execution does not change it, so it is set here rather than taken from the batch session. State
-    lives in RocksDB, off the heap, with only changes written to the checkpoint.
+    execution does not change it, so it is set here rather than taken from the batch session. A
+    state of ``many_keys`` is spread over all cores and kept in RocksDB, off the heap, with only
+    changes written to the checkpoint; a small one stays on the heap of a few tasks.
     """
     own = spark.newSession()
-    width = state_partitions or spark.sparkContext.defaultParallelism
+    cores = spark.sparkContext.defaultParallelism
+    width = state_partitions or (cores if many_keys else min(cores, FEW_KEYS_WIDTH))
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     own.conf.set("spark.sql.shuffle.partitions", str(width))
-    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    if many_keys:
+        own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        own.conf.set(
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
+        )
     return own
 
 

@@ -91,9 +91,10 @@ def test_batch_and_stream_share_a_table(spark, streams, tmp_path):
     assert sorted(r.name for r in evolving.loaded(spark, path).collect()) == ["Pasta", "Pizza", "Soup"]
 
 
-@pytest.mark.parametrize("mode", ["complete", "update"])
-def test_word_counts(spark, streams, tmp_path, mode):
+@pytest.mark.parametrize("mode, many_keys", [("complete", False), ("update", True)])
+def test_word_counts(spark, tmp_path, mode, many_keys):
     """Without explode the key is the whole list of words, with it each word."""
+    streams = stream_session(spark, many_keys, state_partitions=2)
     inbox = tmp_path / "in"
     inbox.mkdir()
     (inbox / "1.txt").write_text("a b\na b\n")
@@ -146,6 +147,12 @@ def test_a_stream_over_its_time_is_stopped(streams, tmp_path):
         run_available(writer, 1)
 
 
+def test_state_of_many_keys_is_kept_off_the_heap(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    assert "RocksDB" in stream_session(spark, many_keys=True).conf.get(key)
+    assert "RocksDB" not in stream_session(spark).conf.get(key)
+
+
 def test_stream_settings_stay_in_their_session(spark, streams):
     assert streams.conf.get("spark.sql.shuffle.partitions") == "2"
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
