@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,18 +35,22 @@ def write_json_arrays(df: DataFrame, path: str) -> None:
     Every partition streams its rows into its own file, so file size follows partition size.
     """
     lines = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
-    lines.mapInPandas(_as_array_lines, "value string").write.text(path)
+    lines.mapInArrow(_as_array_lines, "value string").write.text(path)
 
 
-def _as_array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _as_array_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Wrap the objects of one partition in brackets, with a comma after all but the last."""
     last = None
     for batch in batches:
-        objects = batch["value"].tolist()
+        objects = batch.column("value").to_pylist()
         if not objects:
             continue
         before = ["["] if last is None else [last + ","]
-        yield pd.DataFrame({"value": before + [text + "," for text in objects[:-1]]})
+        yield _lines(before + [text + "," for text in objects[:-1]])
         last = objects[-1]
     if last is not None:
-        yield pd.DataFrame({"value": [last, "]"]})
+        yield _lines([last, "]"])
+
+
+def _lines(values: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"value": values})

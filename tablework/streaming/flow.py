@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from tablework.operators.columns import flag_valid
-from tablework.streaming.runner import run_available
+from tablework.streaming.runner import run_available, run_every
 from tablework.streaming.sinks import append_files, publish_running
 from tablework.streaming.sources import json_stream, parquet_stream
 
@@ -39,17 +41,38 @@ class LandingFlow:
     def run(self, spark: SparkSession, timeout_seconds: float | None = None) -> None:
         """Take in what has arrived. The second stream starts when the first has its rows in the
         table, so there is nothing to wait for or to guess."""
+        run_available(self._lander(spark), timeout_seconds)
+        if self._has_landed(spark):
+            run_available(self._publisher(spark), timeout_seconds)
+
+    def start(
+        self, spark: SparkSession, interval: str | None = "1 second"
+    ) -> tuple[StreamingQuery, StreamingQuery]:
+        """Keep both streams running side by side. Something must have arrived in the inbox."""
+        lander = run_every(self._lander(spark), interval)
+        lander.processAllAvailable()
+        return lander, run_every(self._publisher(spark), interval)
+
+    def _lander(self, spark: SparkSession) -> DataStreamWriter:
         arrived = json_stream(spark, self.inbox, self.schema, self.arrays, self.files_per_batch)
-        lander = append_files(arrived, self.landing, f"{self.home}/checkpoints/land", "land")
-        run_available(lander, timeout_seconds)
-        landed = parquet_stream(spark, self.landing, self.schema)
-        publisher = publish_running(
-            self.transform(landed), self.result, f"{self.home}/checkpoints/publish", name="publish"
-        )
-        run_available(publisher, timeout_seconds)
+        return append_files(arrived, self.landing, f"{self.home}/checkpoints/land", "land")
+
+    def _publisher(self, spark: SparkSession) -> DataStreamWriter:
+        result = self.transform(parquet_stream(spark, self.landing, self.schema))
+        checkpoint = f"{self.home}/checkpoints/publish"
+        return publish_running(result, self.result, checkpoint, name="publish")
+
+    def _has_landed(self, spark: SparkSession) -> bool:
+        try:
+            spark.read.schema(self.schema).parquet(self.landing)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
+        return True
 
 
-def gate(stream: DataFrame, rule: Column, path: str, checkpoint: str):
+def gate(stream: DataFrame, rule: Column, path: str, checkpoint: str) -> DataStreamWriter:
     """Writer that splits a stream into rows that meet ``rule`` and a quarantine of the others.
 
     Both are partitions of one table, so a batch is computed and committed once.

@@ -56,6 +56,27 @@ def test_two_streams_in_a_row(spark, streams, tmp_path, files_per_batch):
     assert names(latest_complete(spark, flow.result)) == {"Pizza": 3, "Pasta": 1}
 
 
+def test_two_streams_side_by_side(spark, streams, tmp_path):
+    inbox = tmp_path / "inbox"
+    flow = LandingFlow(
+        ORDERS, lambda df: df.groupBy("name").count(), str(inbox), str(tmp_path / "home")
+    )
+    inbox.mkdir()
+    flow.run(streams, LIMIT)  # nothing has arrived yet
+    drop(inbox, "a.json", [order("Pizza"), order("Pizza")])
+    queries = flow.start(streams)
+    try:
+        assert [q.name for q in queries] == ["land", "publish"]
+        drop(inbox, "b.json", [order("Pasta")])
+        for q in queries:
+            q.processAllAvailable()
+        assert all(q.isActive for q in queries)
+    finally:
+        for q in queries:
+            q.stop()
+    assert names(latest_complete(spark, flow.result)) == {"Pizza": 2, "Pasta": 1}
+
+
 def test_a_batch_that_runs_again_lands_once(spark, streams, tmp_path):
     """As if the driver was lost between writing a batch and committing it."""
     inbox, path, checkpoint = tmp_path / "in", str(tmp_path / "t"), tmp_path / "c"
