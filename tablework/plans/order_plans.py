@@ -18,7 +18,8 @@ SUPPLIER_TOTALS = """
 @query(f"""
     SELECT nation, supplier, quantity, rank FROM (
         SELECT nation, supplier, quantity,
-               CAST(dense_rank() OVER (PARTITION BY nation ORDER BY quantity DESC) AS BIGINT) AS rank
+               CAST(dense_rank() OVER (PARTITION BY nation ORDER BY quantity DESC) AS BIGINT)
+                   AS rank
         FROM ({SUPPLIER_TOTALS}) totals) ranked
     WHERE rank <= 3
 """)

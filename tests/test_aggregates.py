@@ -11,7 +11,8 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def counts(spark):
-    rows = [("CA", "Red", 5), ("CA", "Blue", 7), ("CA", "Red", 4), ("TX", "Red", 7), ("TX", None, 1)]
+    rows = [("CA", "Red", 5), ("CA", "Blue", 7), ("CA", "Red", 4)]
+    rows += [("TX", "Red", 7), ("TX", None, 1)]
     return spark.createDataFrame(rows, "state string, color string, n int")
 
 
@@ -51,7 +52,9 @@ def pivoted(spark, precision=4):
 
 def test_pivot_names_absent_cells_and_overflow(spark):
     wide = pivoted(spark)
-    assert wide.columns == ["destination", "JAN_AvgDelay", "JAN_MaxDelay", "FEB_AvgDelay", "FEB_MaxDelay"]
+    assert wide.columns == [
+        "destination", "JAN_AvgDelay", "JAN_MaxDelay", "FEB_AvgDelay", "FEB_MaxDelay"
+    ]
     lax, sfo = wide.collect()
     assert (lax.JAN_AvgDelay, lax.JAN_MaxDelay, float(lax.FEB_AvgDelay)) == (None, None, 3.0)
     # 200 does not fit decimal(4,2): NULL, not an error.
@@ -67,12 +70,13 @@ def test_pivot_with_one_aggregate(spark):
 
 def test_arrays_are_rebuilt_in_order(spark):
     df = spark.createDataFrame([(1, [3, 1, 2]), (2, [9])], "id int, xs array<int>").repartition(3)
-    rows = aggregates.rebuilt_arrays(df, "id", "xs", F.col("item") + 1, "ys").orderBy("id").collect()
-    assert [r.ys for r in rows] == [[4, 2, 3], [10]]
+    rebuilt = aggregates.rebuilt_arrays(df, "id", "xs", F.col("item") + 1, "ys")
+    assert [r.ys for r in rebuilt.orderBy("id").collect()] == [[4, 2, 3], [10]]
 
 
 def test_dense_rank_keeps_ties_and_nulls(spark):
-    rows = [("a", i, v) for i, v in enumerate([9, 9, 8, 7, 7, 6, None])] + [(None, 1, 2), ("b", 1, None)]
+    rows = [("a", i, v) for i, v in enumerate([9, 9, 8, 7, 7, 6, None])]
+    rows += [(None, 1, 2), ("b", 1, None)]
     df = spark.createDataFrame(rows, "g string, i int, v int")
     top = top_dense_rank(df, "g", "v", 3)
     expected = df.selectExpr(

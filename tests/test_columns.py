@@ -5,10 +5,21 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 
 from tablework.functions import nested, text, udfs
 from tablework.functions.temporal import calendar_part, parsed_timestamp
-from tablework.operators.columns import conform, delay_band, flag_valid, not_null, recast, usage_cost
+from tablework.operators.columns import (
+    conform,
+    delay_band,
+    flag_valid,
+    not_null,
+    recast,
+    usage_cost,
+)
 
 RECORD = StructType(
-    [StructField("b", StringType()), StructField("a", IntegerType()), StructField("c", DoubleType())]
+    [
+        StructField("b", StringType()),
+        StructField("a", IntegerType()),
+        StructField("c", DoubleType()),
+    ]
 )
 
 
@@ -49,7 +60,8 @@ def test_usage_cost(spark):
 
 
 def test_rule_that_is_null_is_not_met(spark):
-    df = flag_valid(spark.createDataFrame([(1,), (0,), (None,)], "quantity int"), F.expr("quantity > 0"))
+    orders = spark.createDataFrame([(1,), (0,), (None,)], "quantity int")
+    df = flag_valid(orders, F.col("quantity") > 0)
     assert [r.is_valid for r in df.collect()] == [True, False, False]
 
 

@@ -53,7 +53,8 @@ def test_a_side_over_the_limit_is_not_broadcast(spark):
 
 def test_duplicate_keys_fan_out(spark):
     left = spark.createDataFrame([("Big", 1)], "code string, n int")
-    right = spark.createDataFrame([("Big", "AK"), ("Big", "TN"), ("Big", "CA")], "code string, s string")
+    states = [("Big", "AK"), ("Big", "TN"), ("Big", "CA")]
+    right = spark.createDataFrame(states, "code string, s string")
     assert equi_join(left, right, "code").count() == 3
 
 
@@ -129,7 +130,8 @@ def test_a_side_that_unpacks_to_more_than_the_limit_is_not_broadcast(spark, tmp_
     """One long text many times over: small as a file, large in memory."""
     path = str(tmp_path / "users")
     text = F.repeat(F.lit("x"), 10_000)
-    spark.range(5000).coalesce(1).select(F.col("id").alias("uid"), text.alias("t")).write.parquet(path)
+    users = spark.range(5000).coalesce(1).select(F.col("id").alias("uid"), text.alias("t"))
+    users.write.parquet(path)
     orders, _ = orders_and_users(spark)
     joined = equi_join(orders, spark.read.parquet(path), same(), "broadcast")
     assert "SortMergeJoin" in plan_text(joined)

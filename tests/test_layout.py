@@ -134,7 +134,8 @@ def test_shared_folder_is_the_one_the_cluster_names(monkeypatch, tmp_path):
             return None
 
     monkeypatch.setattr("tablework.storage._delete_at_exit", lambda spark, path: None)
-    assert shared_root(Session("hdfs://shared/dir/", "yarn")).startswith("hdfs://shared/dir/tablework-")
+    on_cluster = shared_root(Session("hdfs://shared/dir/", "yarn"))
+    assert on_cluster.startswith("hdfs://shared/dir/tablework-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_root(Session(None, "yarn"))
     monkeypatch.setattr("tempfile.mkdtemp", lambda prefix: str(tmp_path))

@@ -109,7 +109,8 @@ def test_batch_and_stream_share_a_table(spark, streams, tmp_path):
     load()
     shutil.rmtree(checkpoint / "commits")
     load()
-    assert sorted(r.name for r in evolving.loaded(spark, path).collect()) == ["Pasta", "Pizza", "Soup"]
+    loaded = evolving.loaded(spark, path).collect()
+    assert sorted(r.name for r in loaded) == ["Pasta", "Pizza", "Soup"]
 
 
 @pytest.mark.parametrize("mode, many_keys", [("complete", False), ("update", True)])
@@ -127,7 +128,10 @@ def test_word_counts(spark, tmp_path, mode, many_keys):
     for i, counts in enumerate((lists, words)):
         path = str(tmp_path / f"r{i}")
         run_available(publish_running(counts, path, str(tmp_path / f"c{i}"), mode), LIMIT)
-        newest = latest_complete(spark, path) if mode == "complete" else latest_update(spark, path, ["word"])
+        if mode == "complete":
+            newest = latest_complete(spark, path)
+        else:
+            newest = latest_update(spark, path, ["word"])
         results.append({str(r.word): r["count"] for r in newest.collect()})
     assert results == [{"['a', 'b']": 2, "['b', 'c']": 1}, {"a": 2, "b": 3, "c": 1}]
 
