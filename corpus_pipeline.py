@@ -5,10 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablework.llm import decontaminate, jaccard_join, line_dedup
+from tablework.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules
 from tablework.llm.shared import documents, written
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality_rules.passing(docs)
+
+
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of many documents stay in one of them."""
     return line_dedup.without_shared_lines(docs)
@@ -25,10 +30,17 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.without_benchmark(docs, benchmark)
 
 
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents become pieces of training sequences."""
+    return packing.packed(docs)
+
+
 STAGES = [
+    ("quality rules", quality),
     ("line dedup", lines),
     ("n-gram Jaccard join", near_copies),
     ("benchmark decontamination", decontamination),
+    ("best-fit packing", sequences),
 ]
 
 # Near-copy components and SimHash candidates have no SQL form.

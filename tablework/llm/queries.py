@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tablework.llm import decontaminate, jaccard_join, line_dedup
+from tablework.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules
 
 QUERIES = {
     f.__name__: f
     for f in (
         decontaminate.op1_benchmark_decontamination,
         line_dedup.op3_line_dedup,
+        packing.op4_best_fit_packing,
+        quality_rules.op8_quality_rules,
         jaccard_join.op10_ngram_jaccard_join,
     )
 }
