@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
-from tablework.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules
+from tablework.llm import (
+    decontaminate,
+    jaccard_join,
+    line_dedup,
+    packing,
+    quality_model,
+    quality_rules,
+    toxicity,
+)
 
 QUERIES = {
     f.__name__: f
     for f in (
         decontaminate.op1_benchmark_decontamination,
+        toxicity.op2_toxicity,
         line_dedup.op3_line_dedup,
         packing.op4_best_fit_packing,
+        quality_model.op5_quality_classifier,
         quality_rules.op8_quality_rules,
         jaccard_join.op10_ngram_jaccard_join,
     )
