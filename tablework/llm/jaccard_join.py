@@ -233,7 +233,7 @@ def _signature_rows(shared, bits: int, needed=None):
                         own = signatures(tokens, classes)
                         if needed is not None:
                             slots = (own & np.uint64((1 << BITS) - 1)).astype(np.int64)
-                            own = own[_set_bits(needed.value, slots)]
+                            own = own[set_bits(needed.value, slots)]
                         signs.append(own)
                         sizes.append(len(own))
                         keys.append(set_key(tokens))
@@ -255,7 +255,7 @@ def _needed_texts(needed):
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             slot = batch.column("slot").to_numpy()
-            batch = batch.filter(pa.array(_set_bits(bits, slot)))
+            batch = batch.filter(pa.array(set_bits(bits, slot)))
             texts = [pack(x.encode()) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "packed"]
@@ -268,7 +268,7 @@ def _slot(name: str):
     return F.pmod(F.xxhash64(name), F.lit(1 << BITS)).cast("int")
 
 
-def _filter_bits(spark: SparkSession, slots: DataFrame):
+def filter_bits(spark: SparkSession, slots: DataFrame):
     """The set slots of a filter of fixed size (a column ``slot``), told to all tasks."""
     marks = slots.groupBy(F.expr("slot div 64").alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(slot % 64 AS INT))")).alias("bits")
@@ -278,14 +278,14 @@ def _filter_bits(spark: SparkSession, slots: DataFrame):
     return spark.sparkContext.broadcast(bits)
 
 
-def _set_bits(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
+def set_bits(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
     return (bits[slot >> 6] >> (slot & 63)) & 1 == 1
 
 
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Compressed texts of the documents named in ``ids``, once each. A filter of fixed size keeps
     most other texts out of the shuffle; the join decides."""
-    needed = _filter_bits(docs.sparkSession, ids.select(_slot("doc_id").alias("slot")))
+    needed = filter_bits(docs.sparkSession, ids.select(_slot("doc_id").alias("slot")))
     rows = docs.select("doc_id", "text", _slot("doc_id").alias("slot")).mapInArrow(
         _needed_texts(needed), "doc_id long, packed binary"
     )
@@ -435,7 +435,7 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     groups = written(groups.where("low <> high"), "signatures")
     small = groups.where("rows = 2").select(F.col("low").alias("x"), F.col("high").alias("y"))
     large = groups.where("rows > 2").select("sign")
-    needed = _filter_bits(spark, large.select(F.expr(f"sign & {(1 << BITS) - 1}L").alias("slot")))
+    needed = filter_bits(spark, large.select(F.expr(f"sign & {(1 << BITS) - 1}L").alias("slot")))
     signs = texts.mapInArrow(_signature_rows(shared, bits, needed), "sign long, key long")
     members = written(
         signs.distinct().join(large, "sign", "left_semi")

@@ -5,10 +5,13 @@ from __future__ import annotations
 from tablework.llm import (
     decontaminate,
     jaccard_join,
+    language,
     line_dedup,
     packing,
+    paragraph_dedup,
     quality_model,
     quality_rules,
+    secrets,
     toxicity,
 )
 
@@ -20,7 +23,10 @@ QUERIES = {
         line_dedup.op3_line_dedup,
         packing.op4_best_fit_packing,
         quality_model.op5_quality_classifier,
+        secrets.op6_secret_scans,
+        language.op7_language_id,
         quality_rules.op8_quality_rules,
+        paragraph_dedup.op9_substring_dedup,
         jaccard_join.op10_ngram_jaccard_join,
     )
 }

@@ -18,6 +18,7 @@ BLOCK_BYTES = 1 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+NOT_ALNUM = np.array([not (chr(b).isalnum() or b > 127) for b in range(256)])
 
 
 def _values(seed: int) -> np.ndarray:
@@ -102,12 +103,13 @@ class Words:
         return np.repeat(np.arange(len(self.rows) - 1), np.diff(self.rows))
 
 
-def words(part: Part, fold: bool = True) -> Words:
+def words(part: Part, fold: bool = True, gaps: np.ndarray = SPACE) -> Words:
+    """The words of a part; ``gaps`` marks the bytes between words."""
     table = _FOLDED if fold else _EXACT
     data, size = part.data, len(part.data)
     edge = np.zeros(size + 1, bool)
     edge[part.offsets] = True
-    solid = ~SPACE[data]
+    solid = ~gaps[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1] | edge[1:size]
     last = solid
