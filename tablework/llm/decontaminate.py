@@ -34,6 +34,7 @@ RADIUS = 3
 BLOCK_BITS = 64 // (RADIUS + 1)
 CLASSES = [(16, 39, 4), (8, 15, 4), (4, 4, 1), (2, 2, 1), (1, 1, 1)]  # window, least words, step
 BROADCAST_ROWS = 200_000  # of the items' index, about 60 bytes each
+BROADCAST_TEXTS = 500_000  # documents with candidates, 16 bytes each
 
 
 def _hashes(text):
@@ -235,8 +236,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return spark.createDataFrame([], schema)
     hashed = rows.select("doc_id", "text_hash", _hashes("text").alias("hashes"))
     places = written(_candidates(hashed, items), "candidates")
-    # Only texts with a candidate are needed again; the candidates are joined by the size they have.
-    texts = rows.join(places.select("doc_id", "text_hash").distinct(), ["doc_id", "text_hash"], "left_semi")
+    # Only texts with a candidate are needed again. Beyond the limit all texts are shuffled.
+    needed = written(places.select("doc_id", "text_hash").distinct(), "needed")
+    if needed.count() <= BROADCAST_TEXTS:
+        needed = F.broadcast(needed)
+    texts = rows.join(needed, ["doc_id", "text_hash"], "left_semi")
     texts = texts.dropDuplicates(["doc_id", "text_hash"]).select(
         "doc_id", "text_hash", _hashes("text").alias("all_hashes")
     )
