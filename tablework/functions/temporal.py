@@ -19,3 +19,10 @@ def calendar_part(column: str, part: str) -> Column:
     """``year``, ``month`` or ISO ``week`` number, as bigint."""
     parts = {"year": F.year, "month": F.month, "week": F.weekofyear}
     return parts[part](F.col(column)).cast("bigint")
+
+
+def in_year(column: str, year: int) -> Column:
+    """Whether a date or time lies in a year, as a range that reaches the scan's row groups."""
+    return (F.col(column) >= F.lit(f"{year}-01-01").cast("date")) & (
+        F.col(column) < F.lit(f"{year + 1}-01-01").cast("date")
+    )

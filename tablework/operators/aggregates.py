@@ -30,21 +30,22 @@ def distinct_count(
     return df.agg(F.approx_count_distinct(column, relative_error).alias(name))
 
 
-def exact_sum(column: str, digits: int = 2) -> Column:
+def exact_sum(column: str, digits: int) -> Column:
     """Sum of values that have at most ``digits`` decimals, as money has. They are added as
     decimals, so the result does not depend on the order in which tasks add them up."""
-    return F.sum(F.col(column).cast(f"decimal({16 + digits},{digits})")).cast("double")
+    return F.sum(F.col(column).cast(f"decimal(28,{digits})")).cast("double")
 
 
-def exact_mean(column: str, digits: int = 2) -> Column:
+def exact_mean(column: str, digits: int) -> Column:
     return exact_sum(column, digits) / F.count(column)
 
 
-def summary(df: DataFrame, column: str, digits: int = 2) -> DataFrame:
-    """Sum, mean, smallest and largest value of a numeric column."""
+def summary(df: DataFrame, column: str, digits: int | None = None) -> DataFrame:
+    """Sum, mean, smallest and largest value of a numeric column; with ``digits``, of values that
+    have at most so many decimals, added exactly."""
     return df.agg(
-        exact_sum(column, digits).alias("total"),
-        exact_mean(column, digits).alias("mean"),
+        (F.sum(column) if digits is None else exact_sum(column, digits)).alias("total"),
+        (F.avg(column) if digits is None else exact_mean(column, digits)).alias("mean"),
         F.min(column).alias("smallest"),
         F.max(column).alias("largest"),
     )
@@ -81,10 +82,21 @@ def within(number: Column, precision: int, scale: int) -> Column:
 
 def rebuilt_arrays(df: DataFrame, key: str, array: str, element: Column, name: str) -> DataFrame:
     """Explode arrays, compute ``element`` from column ``item``, and collect them in their order.
+    Empty and NULL arrays stay what they are.
 
-    ``key`` must identify a row, so that a group is no longer than its array. A transform of the
-    array in place does the same without a shuffle.
+    ``key`` must identify a row, so that a group is no longer than its array; a key that repeats
+    is an error. A transform of the array in place does the same without a shuffle.
     """
-    items = df.select(key, F.posexplode(array).alias("position", "item"))
-    pairs = F.collect_list(F.struct("position", element.alias("item")))
-    return items.groupBy(key).agg(F.array_sort(pairs)["item"].alias(name))
+    size = F.when(F.col(array).isNotNull(), F.size(array))
+    items = df.select(
+        key, size.alias("n_items"), F.posexplode_outer(array).alias("position", "item")
+    )
+    pairs = F.collect_list(
+        F.when(F.col("position").isNotNull(), F.struct("position", element.alias("item")))
+    )
+    n_items = F.max("n_items")
+    rebuilt = F.when(n_items.isNotNull(), F.array_sort(pairs)["item"])
+    alone = F.count(F.lit(1)) == F.greatest(F.coalesce(n_items, F.lit(0)), F.lit(1))
+    message = F.concat(F.lit("key repeats: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+    checked = F.when(alone, rebuilt).otherwise(F.raise_error(message))
+    return items.groupBy(key).agg(checked.alias(name))

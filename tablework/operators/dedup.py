@@ -19,6 +19,8 @@ from tablework.storage import fresh_path
 # Rows of one group that one task looks at in a round. Spark cuts a row_number filter on the map
 # side up to this limit (spark.sql.optimizer.windowGroupLimitThreshold).
 HEAD_ROWS = 1000
+# Different values of one group that one task decides in one step, some 50 bytes each.
+TASK_ROWS = 1_000_000
 LAST_CELL = 2.0**61
 
 
@@ -31,45 +33,74 @@ def greedy_dedup(
     distance: float,
     method: str = "native",
     head_rows: int = HEAD_ROWS,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
-    """Kept rows of both tables. ``order`` must be unique within a table. A row with a NULL value
-    has no distance to any other and is kept; so is one NaN per group.
+    """Kept rows of both tables. ``order`` must be unique within a table. No row is closer than
+    ``distance`` to one whose value is NULL, NaN or infinite, so all of those are kept, and all rows
+    are if the distance is not above 0.
 
     1. Of equal values in a group only the first row can be kept, so they are combined by key and
        value before the shuffle. Copies never meet in one task.
-    2. A group of up to ``head_rows`` values is decided in one step. From a larger one, each round
-       decides its first ``head_rows`` rows exactly, and all rows that come first within reach of
-       their value (found by aggregates over cells of the value axis, not by group). What lies
-       close to a kept row is then dropped by an equi-join on cells, and the rest goes to the
-       next round. No task ever holds a whole large group.
+    2. What is decided on are triples of key, value and place; whole rows are joined at the end.
+       Groups of up to ``head_rows`` values are decided by array functions, groups of up to
+       ``task_rows`` by one task each, in one step.
+    3. If a group is larger, each round decides its first ``head_rows`` rows exactly, and all rows
+       that come first within reach of their value (found by aggregates over cells of the value
+       axis, not by group). What lies close to a kept row is then dropped by an equi-join on cells,
+       and the rest goes to the next round.
 
     ``method`` is how a bounded head is decided: ``native`` array functions, or ``cogroup`` with a
     Python function over the two grouped sides.
     """
-    spark = left.sparkSession
     names = left.columns
     if "side" in names:
         raise ValueError("column side is what the result calls the table a row comes from")
+    if distance != distance:
+        raise ValueError("distance is NaN")
     sides = _on_side(left, 0).unionByName(_on_side(right, 1))
-    place = F.struct("side", F.col(order).alias("ordinal"))
-    row = F.struct(*[F.col(name) for name in names])
+    if distance <= 0:
+        return sides.select("side", *names)
+    number = F.col(value).cast("double")
+    ordinary = F.coalesce(
+        ~F.isnan(number) & (F.abs(number) < F.lit(float("inf"))), F.lit(False)
+    )
+    place = [F.min(F.when(F.col("side") == side, F.col(order))) for side in (0, 1)]
     firsts = (
-        sides.where(F.col(value).isNotNull())
+        sides.where(ordinary)
         .groupBy(F.col(key).alias("k"), F.col(value).alias("v"))
-        .agg(F.min(place).alias("place"), F.min_by(row, place).alias("row"))
+        .agg(place[0].alias("l"), place[1].alias("r"))
+        .select(
+            "k", "v",
+            F.struct(
+                F.when(F.col("l").isNull(), 1).otherwise(0).alias("side"),
+                F.coalesce("l", "r").alias("ordinal"),
+            ).alias("place"),
+        )
     )
-    path = fresh_path(spark, "dedup-pool")
-    firsts.write.parquet(path)
-    pool = spark.read.parquet(path)
-    decide = _decide_cogrouped if method == "cogroup" else _decide_native
+    pool = _saved(firsts, "dedup-pool")
     largest = pool.groupBy("k").count().agg(F.max("count")).first()[0] or 0
-
     if largest <= head_rows:
+        decide = _decide_cogrouped if method == "cogroup" else _decide_native
         kept = decide(pool, distance)
+    elif largest <= task_rows:
+        kept = _decide_cogrouped(pool, distance)
     else:
+        decide = _decide_cogrouped if method == "cogroup" else _decide_native
         kept = _decide_in_rounds(pool, distance, decide, head_rows)
-    loose = sides.where(F.col(value).isNull()).select("side", *names)
-    return kept.select(F.col("place.side").alias("side"), "row.*").unionByName(loose)
+    chosen = kept.select("k", "place.side", "place.ordinal")
+    same = (
+        F.col(f"s.{key}").eqNullSafe(F.col("c.k"))
+        & (F.col("s.side") == F.col("c.side"))
+        & (F.col(f"s.{order}") == F.col("c.ordinal"))
+    )
+    rows = sides.where(ordinary).alias("s").join(chosen.alias("c"), same, "left_semi")
+    return rows.select("side", *names).unionByName(sides.where(~ordinary).select("side", *names))
+
+
+def _saved(df: DataFrame, label: str) -> DataFrame:
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _on_side(df: DataFrame, side: int) -> DataFrame:
@@ -78,7 +109,7 @@ def _on_side(df: DataFrame, side: int) -> DataFrame:
 
 def _decide_native(pool: DataFrame, distance: float) -> DataFrame:
     """Walk each group in order, keeping what no kept row is close to, in array functions."""
-    in_order = F.array_sort(F.collect_list(F.struct("place", "v", "row")))
+    in_order = F.array_sort(F.collect_list(F.struct("place", "v")))
 
     def step(kept: Column, one: Column) -> Column:
         taken = F.exists(kept, lambda other: F.abs(other["v"] - one["v"]) < distance)
@@ -90,7 +121,7 @@ def _decide_native(pool: DataFrame, distance: float) -> DataFrame:
         pool.groupBy("k")
         .agg(in_order.alias("in_order"))
         .select("k", F.explode(kept).alias("one"))
-        .select("k", "one.v", "one.place", "one.row")
+        .select("k", "one.v", "one.place")
     )
 
 
@@ -124,8 +155,6 @@ def _decide_cogrouped(pool: DataFrame, distance: float) -> DataFrame:
 
 def _take(kept: list[float], one: float, distance: float) -> bool:
     """Add a value to the sorted kept ones unless one of them is close."""
-    if one != one:  # NaN, close to nothing
-        return True
     at = bisect_left(kept, one)
     if any(abs(one - other) < distance for other in kept[max(at - 1, 0) : at + 1]):
         return False
@@ -147,7 +176,7 @@ def _decide_in_rounds(pool: DataFrame, distance: float, decide, head_rows: int)
         decided = decide(heads, distance)
         early = _matching(_first_within_reach(pool), decided, "left_anti", ["k", "v"])
         rounds.append(fresh_path(spark, "dedup-kept"))
-        columns = ["k", "v", "place", "row"]
+        columns = ["k", "v", "place"]
         decided.select(*columns).union(early.select(*columns)).write.parquet(rounds[-1])
         open_path = fresh_path(spark, "dedup-open")
         _out_of_reach(pool, spark.read.parquet(rounds[-1]), distance).write.parquet(open_path)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -38,36 +39,59 @@ def append_enforced(df: DataFrame, path: str, schema: StructType | None = None)
     """Append rows that fit the table. Another column or another type is refused before anything
     is written; a missing column reads as NULL. Pass the table's ``schema`` where it is known, or
     it is found from the footers of all files."""
-    extra = _checked(df, path, schema)
-    if extra:
-        raise SchemaMismatch(f"columns not in the table: {extra}")
-    df.write.mode("append").parquet(path)
+    _fitting(df, schema or current(df.sparkSession, path).schema).write.mode("append").parquet(path)
 
 
 def append_evolving(df: DataFrame, path: str, schema: StructType | None = None) -> None:
     """Append rows that may bring new columns. A changed type is still refused."""
-    _checked(df, path, schema)
-    df.write.mode("append").parquet(path)
+    known = schema or current(df.sparkSession, path).schema
+    _fitting(df, known, more=True).write.mode("append").parquet(path)
 
 
-def _checked(df: DataFrame, path: str, schema: StructType | None) -> list[str]:
-    """Refuse changed types; return the columns that the table does not have."""
-    known = schema or current(df.sparkSession, path).schema
-    table = {f.name: f.dataType for f in known.fields}
+def _fitting(df: DataFrame, known: StructType, more: bool = False) -> DataFrame:
+    """The rows under the table's column names, which Spark reads without regard to case. Changed
+    types are refused and, unless ``more`` are allowed, new columns. Whether a field, element or
+    value may be NULL is no part of a type: files hold it, tables do not enforce it."""
+    table = {f.name.lower(): f for f in known.fields}
+    names = [name.lower() for name in df.columns]
+    if len(set(names)) < len(names):
+        raise SchemaMismatch(f"columns that differ in case only: {df.columns}")
     changed = [
-        f"{f.name}: {table[f.name].simpleString()} -> {f.dataType.simpleString()}"
+        f"{f.name}: {table[f.name.lower()].dataType.simpleString()} -> {f.dataType.simpleString()}"
         for f in df.schema.fields
-        if f.name in table and f.dataType != table[f.name]
+        if f.name.lower() in table
+        and f.dataType.simpleString() != table[f.name.lower()].dataType.simpleString()
     ]
     if changed:
         raise SchemaMismatch(f"types differ from the table: {changed}")
-    return [name for name in df.columns if name not in table]
+    extra = [name for name in df.columns if name.lower() not in table]
+    if extra and not more:
+        raise SchemaMismatch(f"columns not in the table: {extra}")
+    return df.select(
+        [F.col(f"`{c}`").alias(table[c.lower()].name if c.lower() in table else c) for c in df.columns]
+    )
 
 
-def load_once(df: DataFrame, path: str, load: str, batch: int = 0) -> None:
-    """Write rows as one named batch. Loading the same batch again replaces it."""
+def _known(spark: SparkSession, path: str) -> StructType | None:
+    """Schema of the loads so far; None before the first."""
+    try:
+        return loaded(spark, path).schema
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def load_once(
+    df: DataFrame, path: str, load: str, batch: int = 0, schema: StructType | None = None
+) -> None:
+    """Write rows as one named batch. Loading the same batch again replaces it. Rows that do not fit
+    the table (its ``schema`` or, if not given, that of the loads so far) are refused before
+    anything is written."""
+    known = schema or _known(df.sparkSession, path)
+    fitting = df if known is None else _fitting(df, known)
     (
-        df.withColumns({LOAD: F.lit(load), BATCH: F.lit(batch)})
+        fitting.withColumns({LOAD: F.lit(load), BATCH: F.lit(batch)})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(LOAD, BATCH)
@@ -75,15 +99,18 @@ def load_once(df: DataFrame, path: str, load: str, batch: int = 0) -> None:
     )
 
 
-def stream_loader(path: str, load: str) -> Callable[[DataFrame, int], None]:
+def stream_loader(
+    path: str, load: str, schema: StructType | None = None
+) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that adds a stream to a table also loaded in batch.
 
     A batch that runs again after a failure replaces itself, so batch readers see each row once.
+    With the table's ``schema`` no batch has to look for it in the files.
     A stream must not read such a table: it would take the replacing files for new rows.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        load_once(batch, path, load, batch_id)
+        load_once(batch, path, load, batch_id, schema)
 
     return write
 

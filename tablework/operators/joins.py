@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 10 * 1024 * 1024
-BROADCAST_ROWS = 10_000
-# Exponent of the smallest bin width.
+BROADCAST_ROWS = 64
+# Exponent of the smallest bin width, and bits of a bin number at most.
 NARROWEST_BIN = -20
+DOUBLE_BITS = 50
+ODD_LEVEL = -5000
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -31,7 +33,7 @@ def equi_join(
                      should therefore be (nearly) unique
     """
     if strategy == "broadcast":
-        small = planned_bytes(right) <= BROADCAST_BYTES and _text_bytes(right) <= BROADCAST_BYTES
+        small = planned_bytes(right) <= BROADCAST_BYTES and text_bytes(right) <= BROADCAST_BYTES
         strategy = "broadcast" if small else "merge"
     if strategy is not None:
         right = right.hint(strategy)
@@ -50,7 +52,8 @@ def interval_join(
 
     ``intervals`` is measured. Up to ``broadcast_rows`` of them, within ``BROADCAST_BYTES``, are
     broadcast and compared row by row. More are binned, which turns the condition into an
-    equi-join whose hot bins adaptive execution can split.
+    equi-join whose hot bins adaptive execution can split. Both forms compare alike: NaN is above
+    all other numbers and equal to itself, and a NULL meets nothing.
     """
     within = (F.col(value) >= F.col(low)) & (F.col(value) <= F.col(high))
     if _measures_small(intervals, broadcast_rows):
@@ -62,10 +65,10 @@ def _measures_small(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows that together are short enough to broadcast. Looks
     at no more than one row above the limit."""
     some = df.limit(rows + 1)
-    return some.count() <= rows and _text_bytes(some) <= BROADCAST_BYTES
+    return some.count() <= rows and text_bytes(some) <= BROADCAST_BYTES
 
 
-def _text_bytes(df: DataFrame) -> int:
+def text_bytes(df: DataFrame) -> int:
     """Length of all rows as text: unlike file sizes, it does not shrink by compression."""
     length = F.octet_length(F.to_json(F.struct("*")))
     return df.agg(F.sum(length)).first()[0] or 0
@@ -74,26 +77,47 @@ def _text_bytes(df: DataFrame) -> int:
 def _binned_interval_join(
     points: DataFrame, intervals: DataFrame, value: str, low: str, high: str, within: Column
 ) -> DataFrame:
-    """Bin widths are powers of two. An interval takes the smallest width that is no shorter than
-    itself and so touches at most three bins; a point looks into one bin per width in use. Widths
-    are exponents of doubles, so there are at most about a thousand, and few in practice."""
-    length = F.col(high).cast("double") - F.col(low).cast("double")
-    level = F.greatest(
-        F.lit(NARROWEST_BIN),
-        F.when(length > 0, F.ceil(F.log2(length)).cast("int")).otherwise(F.lit(NARROWEST_BIN)),
+    """Bin widths are powers of two. An interval, cut to the range of the points, takes the smallest
+    width that is no shorter than itself, and no narrower than doubles of its size can tell apart; so
+    it touches at most three bins. A point looks into one bin per width in use. Points that are
+    infinite or NaN meet intervals without a finite end in a bin of their own."""
+    number = F.col(value).cast("double")
+    span = points.where(_finite(number)).agg(F.min(number).alias("a"), F.max(number).alias("b"))
+    span = span.first()
+    first, last = F.col(low).cast("double"), F.col(high).cast("double")
+    shared = intervals.where(F.col(low) <= F.col(high))
+    odd = shared.where(~(_finite(first) & _finite(last))).withColumns(
+        {"_level": F.lit(ODD_LEVEL), "_bin": F.lit(0).cast("bigint")}
+    )
+    binned = odd
+    levels = [ODD_LEVEL]
+    if span["a"] is not None:
+        start = F.greatest(first, F.lit(span["a"]))
+        end = F.least(last, F.lit(span["b"]))
+        length, size = end - start, F.greatest(F.abs(start), F.abs(end))
+        level = F.greatest(
+            F.lit(NARROWEST_BIN),
+            F.when(length > 0, F.ceil(F.log2(length)).cast("int")).otherwise(NARROWEST_BIN),
+            F.when(size > 0, F.ceil(F.log2(size)).cast("int") - DOUBLE_BITS).otherwise(NARROWEST_BIN),
+        )
+        met = shared.where((first <= F.lit(span["b"])) & (last >= F.lit(span["a"])))
+        met = met.withColumn("_level", level)
+        levels += [row["_level"] for row in met.select("_level").distinct().collect()]
+        bins = F.sequence(_bin(start, F.col("_level")), _bin(end, F.col("_level")))
+        binned = met.withColumn("_bin", F.explode(bins)).unionByName(odd)
+    in_use = F.when(_finite(number), F.array(*[F.lit(x) for x in levels[1:]]).cast("array<int>"))
+    probes = points.withColumn("_level", F.explode(in_use.otherwise(F.array(F.lit(ODD_LEVEL)))))
+    probes = probes.withColumn(
+        "_bin",
+        F.when(F.col("_level") == ODD_LEVEL, 0).otherwise(_bin(number, F.col("_level"))),
     )
-    levelled = intervals.where(F.col(low) <= F.col(high)).withColumn("_level", level)
-    levels = [row["_level"] for row in levelled.select("_level").distinct().collect()]
-    if not levels:
-        return points.join(intervals.limit(0), F.lit(False))
-    bins = F.sequence(_bin(low, "_level"), _bin(high, "_level"))
-    binned = levelled.withColumn("_bin", F.explode(bins))
-    probes = points.withColumn(
-        "_level", F.explode(F.array(*[F.lit(one) for one in levels]))
-    ).withColumn("_bin", _bin(value, "_level"))
     same_bin = (F.col("p._level") == F.col("i._level")) & (F.col("p._bin") == F.col("i._bin"))
     return probes.alias("p").join(binned.alias("i"), same_bin & within).drop("_level", "_bin")
 
 
-def _bin(column: str, level: str) -> Column:
-    return F.floor(F.col(column).cast("double") / F.pow(F.lit(2.0), F.col(level)))
+def _finite(number: Column) -> Column:
+    return number.isNotNull() & ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
+
+
+def _bin(number: Column, level: Column) -> Column:
+    return F.floor(number / F.pow(F.lit(2.0), level))

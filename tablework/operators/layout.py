@@ -11,25 +11,35 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablework.operators.joins import BROADCAST_BYTES, text_bytes
 from tablework.storage import fresh_path
 
 ROWS_PER_BUCKET = 16_000_000
-MAX_BUCKETS = 100_000
+BROADCAST_KEYS = 200_000
 SALT = "bucket_salt"
 
 
 def bucket_count(rows: int, at_least: int = 8) -> int:
-    return min(MAX_BUCKETS, max(at_least, math.ceil(rows / ROWS_PER_BUCKET)))
+    return max(at_least, math.ceil(rows / ROWS_PER_BUCKET))
 
 
-def write_bucketed(df: DataFrame, name: str, buckets: int, *keys: str) -> DataFrame:
-    """Managed table hashed into buckets by ``keys`` and sorted within each.
+def write_bucketed(
+    df: DataFrame, name: str, buckets: int, *keys: str, writers: int = 1
+) -> DataFrame:
+    """Managed table hashed into buckets by ``keys`` and sorted within each file.
 
-    Rows are brought to their bucket first, so that a bucket is one file.
+    Rows are brought to their bucket first, so that a bucket is ``writers`` files. Take more than
+    one where a key may hold much of the rows: its bucket is then written by as many tasks. How rows
+    are dealt to the tasks does not depend on what they hold.
     """
+    if writers == 1:
+        dealt = df.repartition(buckets, *keys)
+    else:
+        turn = F.pmod(F.monotonically_increasing_id(), F.lit(writers))
+        dealt = df.withColumn("_writer", turn).repartition(buckets * writers, *keys, "_writer")
+        dealt = dealt.drop("_writer")
     (
-        df.repartition(buckets, *keys)
-        .write.format("parquet")
+        dealt.write.format("parquet")
         .mode("overwrite")
         .bucketBy(buckets, *keys)
         .sortBy(*keys)
@@ -69,55 +79,62 @@ def write_bucketed_pair(
     """Bucket two tables by their join key for repeated joins.
 
     A join of buckets has no shuffle at which adaptive execution could split a hot key, so it is
-    split here: a key with more than ``heavy_rows`` rows in ``large`` (by default half a bucket's
-    share) is spread over several salts, and its rows in ``small`` are written once per salt.
-    There are fewer than two such keys per bucket, because each holds over half a bucket's share.
+    split here. A key with more than ``heavy_rows`` rows in either table (by default half a bucket's
+    share of that table) gets a grid of salts, as many rows of salts as its rows in ``large`` need
+    and as many columns as those in ``small`` need. A row of ``large`` goes to one grid row, in all
+    its columns, and a row of ``small`` to one column, in all its rows: each pair meets once. Which
+    one is dealt by turns, so equal rows are spread like others. There are fewer than two heavy keys
+    per bucket and table, because each holds over half a bucket's share.
     """
-    spark = large.sparkSession
-    rows = large.count()
-    buckets = buckets or bucket_count(rows)
-    heavy_rows = heavy_rows or max(1, math.ceil(rows / buckets / 2))
-    heavy = _heavy_keys(large, large_key, heavy_rows)
+    counts = [df.count() for df in (large, small)]
+    buckets = buckets or bucket_count(max(counts))
+    limits = [heavy_rows or max(1, math.ceil(n / buckets / 2)) for n in counts]
+    heavy = _heavy_keys(large, large_key, limits[0], small, small_key, limits[1])
     heavy_count = heavy.count()
-    if heavy_count <= 2 * MAX_BUCKETS:
+    if heavy_count <= BROADCAST_KEYS and text_bytes(heavy) <= BROADCAST_BYTES:
         heavy = F.broadcast(heavy)
-    large, small = (
-        df.withColumn("salts", F.lit(1))
-        if heavy_count == 0
-        else df.join(heavy, F.col(key) == F.col("heavy_key"), "left")
-        .withColumn("salts", F.coalesce("salts", F.lit(1)))
-        .drop("heavy_key")
-        for df, key in ((large, large_key), (small, small_key))
-    )
-    # A NULL key meets no partner, so such rows may go anywhere.
-    salts = F.when(F.col(large_key).isNull(), buckets).otherwise(F.col("salts"))
-    row = F.xxhash64(*[name for name in large.columns if name != "salts"])
-    salted_large = large.withColumn(
-        SALT, F.when(salts > 1, F.pmod(row, salts)).otherwise(0).cast("int")
-    ).drop("salts")
-    each_salt = F.sequence(F.lit(0), F.col("salts").cast("int") - 1)
-    salted_small = small.withColumn(SALT, F.explode(each_salt)).drop("salts")
+    tables = []
+    for df, key, own, other in ((large, large_key, "down", "across"), (small, small_key, "across", "down")):
+        # A NULL key meets no partner, so such rows may go anywhere.
+        turn = F.monotonically_increasing_id()
+        sized = df.withColumns({"down": F.lit(1), "across": F.lit(1)})
+        if heavy_count:
+            sized = df.join(heavy, F.col(key) == F.col("heavy_key"), "left").drop("heavy_key")
+            sized = sized.withColumns({c: F.coalesce(c, F.lit(1)) for c in ("down", "across")})
+        mine = F.pmod(turn, F.col(own))
+        sized = sized.withColumn("_mine", mine).withColumn(
+            "_other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other).cast("bigint") - 1))
+        )
+        down, across = ("_mine", "_other") if own == "down" else ("_other", "_mine")
+        salt = F.col(down) * F.col("across") + F.col(across)
+        salt = F.when(F.col(key).isNull(), F.pmod(turn, F.lit(buckets))).otherwise(salt)
+        tables.append(
+            sized.withColumn(SALT, salt.cast("int")).drop("_mine", "_other", "down", "across")
+        )
     return BucketedPair(
-        write_bucketed(salted_large, large_name, buckets, large_key, SALT),
-        write_bucketed(salted_small, small_name, buckets, small_key, SALT),
+        write_bucketed(tables[0], large_name, buckets, large_key, SALT),
+        write_bucketed(tables[1], small_name, buckets, small_key, SALT),
         large_key,
         small_key,
     )
 
 
-def _heavy_keys(df: DataFrame, key: str, heavy_rows: int) -> DataFrame:
-    """Keys with more than ``heavy_rows`` rows and the number of salts that brings them below it.
-    Written out, as both sides of the pair use it."""
-    path = fresh_path(df.sparkSession, "heavy-keys")
-    (
-        df.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("heavy_key"))
-        .count()
-        .where(F.col("count") > heavy_rows)
-        .select("heavy_key", F.ceil(F.col("count") / heavy_rows).alias("salts"))
-        .write.parquet(path)
-    )
-    return df.sparkSession.read.parquet(path)
+def _heavy_keys(
+    large: DataFrame, large_key: str, large_rows: int, small: DataFrame, small_key: str, small_rows: int
+) -> DataFrame:
+    """Keys with too many rows in either table, and the numbers of salts that bring them below the
+    limits. Written out, as both sides of the pair use it."""
+
+    def heavy(df: DataFrame, key: str, most: int, name: str) -> DataFrame:
+        counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("heavy_key")).count()
+        counts = counts.where(F.col("count") > most)
+        return counts.select("heavy_key", F.ceil(F.col("count") / most).alias(name))
+
+    path = fresh_path(large.sparkSession, "heavy-keys")
+    down = heavy(large, large_key, large_rows, "down")
+    across = heavy(small, small_key, small_rows, "across")
+    down.join(across, "heavy_key", "full_outer").write.parquet(path)
+    return large.sparkSession.read.parquet(path)
 
 
 @contextmanager

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.functions.temporal import calendar_part
+from tablework.functions.temporal import calendar_part, in_year
 from tablework.operators import aggregates
 from tablework.operators.ranking import top_rows
 from tablework.plans.registry import query, table
@@ -56,7 +56,7 @@ def group_count_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders
 """)
 def global_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.summary(table(spark, sf_dir, "orders"), "o_totalprice")
+    return aggregates.summary(table(spark, sf_dir, "orders"), "o_totalprice", digits=2)
 
 
 @query("""
@@ -69,7 +69,7 @@ def group_max_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["o_orderstatus", "o_orderpriority"]
     return (
         table(spark, sf_dir, "orders")
-        .where(F.year("o_orderdate") == 1998)
+        .where(in_year("o_orderdate", 1998))
         .groupBy(*keys)
         .agg(F.max(price).cast("double").alias("highest"))
         .orderBy(F.desc("highest"), *keys)
@@ -81,7 +81,7 @@ def group_max_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders WHERE year(o_orderdate) = 1998 GROUP BY 1 ORDER BY n_orders DESC
 """)
 def count_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where(F.year("o_orderdate") == 1998)
+    orders = table(spark, sf_dir, "orders").where(in_year("o_orderdate", 1998))
     monthly = orders.select(calendar_part("o_orderdate", "month").alias("order_month"))
     return aggregates.group_counts(monthly, ["order_month"], "n_orders")
 
@@ -91,7 +91,7 @@ def count_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders WHERE year(o_orderdate) = 1998 GROUP BY 1 ORDER BY n_orders DESC, order_week LIMIT 1
 """)
 def top_week(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where(F.year("o_orderdate") == 1998)
+    orders = table(spark, sf_dir, "orders").where(in_year("o_orderdate", 1998))
     weekly = orders.groupBy(calendar_part("o_orderdate", "week").alias("order_week"))
     counts = weekly.agg(F.count(F.lit(1)).alias("n_orders"))
     return top_rows(counts, 1, F.desc("n_orders"), F.asc("order_week"))
@@ -128,12 +128,12 @@ def pivot_two_aggs(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated = table(spark, sf_dir, "orders").select(
         "o_orderpriority", F.month("o_orderdate").alias("month"), "o_totalprice"
     )
-    mean = aggregates.exact_mean("o_totalprice")
+    mean = aggregates.exact_mean("o_totalprice", 2)
     wide = aggregates.pivot_labelled(
         dated,
         ["o_orderpriority"],
         "month",
-        {1: "JAN", 2: "FEB"},
+        {1: "JAN", 2: "FEB"},  # fixed values
         {
             "AvgPrice": aggregates.within(mean, 12, 2).cast("double"),
             "MaxPrice": F.max("o_totalprice"),

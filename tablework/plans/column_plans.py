@@ -49,7 +49,7 @@ def flag_big_hitters(spark: SparkSession, sf_dir: str) -> DataFrame:
        "CASE WHEN CAST(value AS INTEGER) > value THEN 1 ELSE 0 END AS value FROM events")
 def cast_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text to number with NULL for dirty text, and double to integer by truncation."""
-    key = F.regexp_extract("props", r'"k": (\d+)', 1)
+    key = F.get_json_object("props", "$.k")
     events = table(spark, sf_dir, "events").select("event_id", key.alias("k"), "value")
     clean = columns.recast(events, {"k": "bigint"}, dirty="null")
     return columns.recast(columns.recast(clean, {"value": "int"}), {"value": "bigint"})
@@ -116,6 +116,7 @@ def not_null_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columns.not_null(ranked, ["priority"])
 
 
+# Limits and names of the delay bands.
 BANDS = """
     CASE WHEN delay > 100 THEN 'Very Long Delay' WHEN delay > 50 THEN 'Long Delay'
          WHEN delay > 10 THEN 'Medium Delay' WHEN delay > 0 THEN 'Tolerable Delay'

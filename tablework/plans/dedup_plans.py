@@ -9,6 +9,7 @@ from tablework.operators.dedup import greedy_dedup
 from tablework.plans.registry import query, table
 
 SECOND_HALF = "2024-01-16"
+DISTANCE = 5.0  # fixed value
 
 # In DuckDB a list is folded per user: a value joins the kept ones if none of them is close.
 GREEDY_SQL = f"""
@@ -31,7 +32,8 @@ def _dedup(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     second_half = F.col("ts") >= F.lit(SECOND_HALF).cast("timestamp_ntz")
     kept = greedy_dedup(
-        events.where(~second_half), events.where(second_half), "user_id", "value", "event_id", 5.0,
+        events.where(~second_half), events.where(second_half), "user_id", "value", "event_id",
+        DISTANCE,
         method,
     )
     return kept.select("user_id", "value")

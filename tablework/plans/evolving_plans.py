@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablework.functions.text import whitespace_split
 from tablework.operators import evolving
 from tablework.plans.registry import query, table
+from tablework.sinks.files import write_json_lines
 from tablework.storage import fresh_path
 from tablework.streaming.runner import run_available, stream_session
 from tablework.streaming.sources import json_stream
@@ -50,19 +53,55 @@ def append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evolving.current(spark, path)
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders")
+@query("SELECT * FROM orders")
 def batch_plus_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Old orders are loaded in batch, newer ones by a stream into the same table."""
     orders = table(spark, sf_dir, "orders")
-    newer = F.year("o_orderdate") >= 2000
-    columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
+    newer = F.col("o_orderdate") >= F.lit("2000-01-01").cast("date")
     inbox, path = fresh_path(spark, "inbox"), fresh_path(spark, "growing")
-    evolving.load_once(orders.where(~newer).select(*columns), path, "history")
-    arriving = orders.where(newer).select(*columns)
-    arriving.write.json(inbox)
+    evolving.load_once(orders.where(~newer), path, "history")
+    arriving = orders.where(newer)
+    write_json_lines(arriving, inbox)
     stream = json_stream(stream_session(spark), inbox, arriving.schema)
     run_available(
         stream.writeStream.option("checkpointLocation", fresh_path(spark, "checkpoint"))
         .foreachBatch(evolving.stream_loader(path, "stream"))
     )
     return evolving.loaded(spark, path)
+
+
+@query(r"""
+    SELECT doc_id, CAST(len(string_split_regex(text, '\s')) AS BIGINT) AS n_words
+    FROM (SELECT * FROM documents UNION ALL SELECT * FROM documents) twice
+""")
+def append_enforced_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column of arrays; the same rows fit the table that was made from them."""
+    path = fresh_path(spark, "growing")
+    words = table(spark, sf_dir, "documents").select("doc_id", whitespace_split("text").alias("words"))
+    evolving.create_table(words, path)
+    evolving.append_enforced(words, path)
+    n_words = F.size("words").cast("bigint").alias("n_words")
+    return evolving.current(spark, path).select("doc_id", n_words)
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def stream_load_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders are loaded in batch; a stream that brings the price as text is refused before anything
+    is written, and the table reads as before."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    inbox, path = fresh_path(spark, "inbox"), fresh_path(spark, "growing")
+    evolving.load_once(orders, path, "history")
+    unfit = orders.withColumn("o_totalprice", F.col("o_totalprice").cast("string"))
+    unfit.write.json(inbox)
+    stream = json_stream(stream_session(spark), inbox, unfit.schema)
+    try:
+        run_available(
+            stream.writeStream.option("checkpointLocation", fresh_path(spark, "checkpoint"))
+            .foreachBatch(evolving.stream_loader(path, "stream", orders.schema))
+        )
+    except StreamingQueryException as error:
+        if "types differ" not in str(error):
+            raise
+    else:
+        raise RuntimeError("a batch that does not fit was loaded")
+    return evolving.loaded(spark, path)

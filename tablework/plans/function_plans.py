@@ -48,9 +48,8 @@ def text_contains_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def split_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Split without explode: what is counted is the whole list of words of a text."""
-    words = table(spark, sf_dir, "documents").select(text.whitespace_split("text").alias("words"))
-    counts = words.groupBy("words").count()
-    return counts.withColumn("words", F.array_join("words", " "))
+    blanks = F.array_join(text.whitespace_split("text"), " ")
+    return table(spark, sf_dir, "documents").groupBy(blanks.alias("words")).count()
 
 
 @query("""
@@ -137,6 +136,7 @@ def array_exists_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Factors of the fields of a struct.
 STRENGTHS = {"strength": 0.5, "dexterity": 3.0}
 STRUCT_SQL = """
     SELECT event_id, CAST(user_id AS DOUBLE) * 0.5::DOUBLE AS strength,
@@ -182,3 +182,28 @@ def udf_cubed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).createOrReplaceTempView(name)
     cubes = spark.sql(f"SELECT *, cubed(quantity) AS by_udf FROM {name}")
     return cubes.withColumn("by_native", udfs.cubed_native(F.col("quantity")))
+
+
+RECORD = (
+    "struct<body: struct<strength: double, dexterity: double>, "
+    "mind: struct<kind: string, wisdom: double>>"
+)
+
+
+@query("""
+    SELECT event_id, CAST(user_id AS DOUBLE) * 0.5::DOUBLE AS strength,
+           value * 3.0::DOUBLE AS dexterity, event_type AS kind, value * 2.0::DOUBLE AS wisdom
+    FROM events
+""")
+def nested_record_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two structs inside a record are rebuilt and bound to the record's type."""
+    body = F.struct(F.col("user_id").cast("double").alias("strength"), F.col("value").alias("dexterity"))
+    mind = F.struct(F.col("event_type").alias("kind"), F.col("value").alias("wisdom"))
+    records = table(spark, sf_dir, "events").select(
+        "event_id", F.struct(body.alias("body"), mind.alias("mind")).alias("record")
+    )
+    record = F.col("record")
+    rebuilt = record.withField("body", nested.scaled_fields(record["body"], STRENGTHS))
+    rebuilt = rebuilt.withField("mind", nested.scaled_fields(record["mind"], {"wisdom": 2.0}))
+    bound = records.select("event_id", rebuilt.cast(RECORD).alias("record"))
+    return bound.select("event_id", "record.body.*", "record.mind.*")

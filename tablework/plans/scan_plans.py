@@ -22,6 +22,7 @@ from tablework.sources import (
     read_partitions,
     read_text,
     read_tsv,
+    rows_to_table,
 )
 from tablework.storage import fresh_name, fresh_path
 
@@ -100,12 +101,12 @@ def json_lines_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", n_words, "source", "n_chars")
 
 
-@query("SELECT event_id, user_id, event_type, value, props FROM events")
+@query("SELECT * FROM events")
 def json_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "json-arrays")
-    columns = ["event_id", "user_id", "event_type", "value", "props"]
-    write_json_arrays(table(spark, sf_dir, "events").select(*columns), path)
-    return read_json_arrays(spark, path).select(*columns)
+    events = table(spark, sf_dir, "events")
+    write_json_arrays(events, path)
+    return read_json_arrays(spark, path, events.schema)
 
 
 @query(r"""
@@ -178,15 +179,52 @@ def sql_file_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH ids AS (SELECT unnest(range((SELECT COUNT(*) FROM lineitem))) AS id)
-    SELECT id, CAST(CAST(id AS DECIMAL(19,0)) * CAST(id AS DECIMAL(19,0)) AS VARCHAR) AS square,
-           ['north', 'east', 'south', 'west', 'centre'][CAST(id % 5 AS INTEGER) + 1] AS label
-    FROM ids
+    SELECT c_custkey AS id, c_name,
+           CAST(CAST(c_custkey AS DECIMAL(19,0)) * CAST(c_custkey AS DECIMAL(19,0)) AS VARCHAR)
+               AS square,
+           ['north', 'east', 'south', 'west', 'centre'][CAST(c_custkey % 5 AS INTEGER) + 1] AS label
+    FROM customer
 """)
 def range_square(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many generated rows as the largest table has."""
-    rows = table(spark, sf_dir, "lineitem").count()
+    """Generated rows up to the largest customer number, joined to the customers they stand for."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    last = customers.agg(F.max("c_custkey")).first()[0]
     wide = F.col("id").cast("decimal(19,0)")
-    return generated_rows(
-        spark, rows, square=(wide * wide).cast("string"), label=label_for(F.col("id"), LABELS)
+    rows = generated_rows(
+        spark, last + 1, square=(wide * wide).cast("string"), label=label_for(F.col("id"), LABELS)
     )
+    return rows.join(customers, rows["id"] == customers["c_custkey"]).drop("c_custkey")
+
+
+@query("""
+    SELECT doc_id, CASE WHEN n_chars * 1000000 <= 2147483647 THEN n_chars * 1000000 ELSE -1 END
+           AS micros, source
+    FROM documents
+""")
+def json_array_linemode_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A number that does not fit its field is NULL, and its row stays."""
+    path = fresh_path(spark, "json-arrays")
+    micros = (F.col("n_chars") * 1_000_000).alias("micros")
+    write_json_arrays(table(spark, sf_dir, "documents").select("doc_id", micros, "source"), path)
+    rows = read_json_array_lines(
+        spark, path, "doc_id bigint, micros int, source string", "doc_id", corrupt="line"
+    )
+    micros = F.coalesce(F.col("micros").cast("bigint"), F.lit(-1)).alias("micros")
+    return rows.select("doc_id", micros, "source")
+
+
+@query("""
+    SELECT doc_id, language, source
+    FROM documents JOIN (VALUES ('en', 'English'), ('de', 'German'), ('fr', 'French'),
+                                ('es', 'Spanish')) names(code, language) ON lang = code
+""")
+def in_memory_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A short list of names as a table, joined to the documents."""
+    names = rows_to_table(
+        spark,
+        [("en", "English"), ("de", "German"), ("fr", "French"), ("es", "Spanish")],
+        "code string, language string",
+    )
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    joined = documents.join(names, documents["lang"] == names["code"])
+    return joined.select("doc_id", "language", "source")

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from tablework.functions.text import whitespace_split
 from tablework.plans.registry import query, table
+from tablework.sinks.files import write_json_lines
 from tablework.storage import fresh_path
 from tablework.streaming.flow import LandingFlow, gate, gated
-from tablework.streaming.runner import run_available, stream_session
+from tablework.streaming.runner import run_available, run_every, stream_session
 from tablework.streaming.sinks import (
     append_files,
     latest_complete,
@@ -18,17 +19,14 @@ from tablework.streaming.sinks import (
 )
 from tablework.streaming.sources import json_stream, parquet_stream
 
-EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value"]
-
-
 def _event_inbox(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    events = table(spark, sf_dir, "events").select(*EVENT_COLUMNS)
+    events = table(spark, sf_dir, "events")
     inbox = fresh_path(spark, "inbox")
-    events.write.json(inbox)
+    write_json_lines(events, inbox)
     return inbox, events
 
 
-@query("SELECT event_id, user_id, event_type, value FROM events")
+@query("SELECT * FROM events")
 def stream_json_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     inbox, events = _event_inbox(spark, sf_dir)
     path = fresh_path(spark, "landing")
@@ -41,7 +39,7 @@ def _table_stream(
     spark: SparkSession, sf_dir: str, name: str, many_keys: bool = False
 ) -> DataFrame:
     schema = table(spark, sf_dir, name).schema
-    return parquet_stream(stream_session(spark, many_keys), f"{sf_dir}/{name}*.parquet", schema)
+    return parquet_stream(stream_session(spark, many_keys), f"{sf_dir}/{name}.parque[t]", schema)
 
 
 @query("SELECT event_type, CAST(COUNT(*) AS BIGINT) AS count FROM events GROUP BY ALL")
@@ -63,7 +61,9 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = texts.select(F.explode(whitespace_split("text")).alias("word")).where("word <> ''")
     path = fresh_path(spark, "result")
     counts = words.groupBy("word").count()
-    run_available(publish_running(counts, path, fresh_path(spark, "checkpoint"), mode="update"))
+    run_available(publish_running(
+        counts, path, fresh_path(spark, "checkpoint"), mode="update", keys=["word"]
+    ))
     return latest_update(spark, path, ["word"])
 
 
@@ -77,7 +77,7 @@ def two_stage_stream_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_complete(spark, flow.result)
 
 
-@query("SELECT event_id, value, CASE WHEN value > 10 THEN 'valid' ELSE 'quarantine' END AS side "
+@query("SELECT *, CASE WHEN value > 10 THEN 'valid' ELSE 'quarantine' END AS side "
        "FROM events")
 def quality_gate_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     inbox, events = _event_inbox(spark, sf_dir)
@@ -86,6 +86,20 @@ def quality_gate_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_available(gate(stream, F.col("value") > 10, path, fresh_path(spark, "checkpoint")))
     sides = {"valid": gated(spark, path, True), "quarantine": gated(spark, path, False)}
     columns = [
-        df.select("event_id", "value", F.lit(side).alias("side")) for side, df in sides.items()
+        df.withColumn("side", F.lit(side)) for side, df in sides.items()
     ]
     return columns[0].unionByName(columns[1])
+
+
+@query("SELECT * FROM events")
+def stream_every_second(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that starts a batch every second, stopped once the inbox is consumed."""
+    inbox, events = _event_inbox(spark, sf_dir)
+    path = fresh_path(spark, "landing")
+    stream = json_stream(stream_session(spark), inbox, events.schema)
+    running = run_every(append_files(stream, path, fresh_path(spark, "checkpoint")), "1 second")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.read.parquet(path)

@@ -34,7 +34,7 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(WHOLE_CUSTOMER)
 def compressed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "parquet")
-    write_parquet(table(spark, sf_dir, "customer"), path, compression="snappy")
+    write_parquet(table(spark, sf_dir, "customer"), path, compression="zstd")
     return _customers(spark.read.parquet(path))
 
 
@@ -47,7 +47,7 @@ def partitioned_write_year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree.groupBy(
         F.col("order_year").cast("bigint").alias("order_year"),
         F.col("order_month").cast("bigint").alias("order_month"),
-    ).agg(F.count(F.lit(1)).alias("n_orders"), exact_sum("o_totalprice").alias("total"))
+    ).agg(F.count(F.lit(1)).alias("n_orders"), exact_sum("o_totalprice", 2).alias("total"))
 
 
 @query(WHOLE_CUSTOMER)
@@ -137,5 +137,5 @@ def repartition_invariance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         ranged.coalesce(width)
         .groupBy("l_returnflag")
-        .agg(F.count(F.lit(1)).alias("n_lines"), exact_sum("l_extendedprice").alias("total"))
+        .agg(F.count(F.lit(1)).alias("n_lines"), exact_sum("l_extendedprice", 2).alias("total"))
     )

@@ -8,18 +8,20 @@ import os
 from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
-MAX_SHUFFLE_WIDTH = 50_000
+TASK_BYTES = 200 * MIB
+DEFAULT_WIDTH = 200
 
 
-def shuffle_width(cores: int, input_bytes: int | None = None) -> int:
-    """Initial shuffle partitions: one per GiB of input, at least one per core.
+def shuffle_width(cores: int | None, shuffled_bytes: int | None = None) -> int:
+    """Initial shuffle partitions: one per 200 MiB of the largest shuffle, uncompressed, and at
+    least one per core. Without a size, one per core; without both, Spark's default.
 
-    Adaptive execution joins small partitions afterwards, so some too many cost little. There is a
-    block per map task and partition, though, so the number must not follow 100 TB all the way.
+    Adaptive execution joins small partitions afterwards, so some too many cost little; it does not
+    split the partitions of an aggregate, so too few would let tasks grow with the data.
     """
-    if input_bytes is None:
-        return cores
-    return max(cores, min(MAX_SHUFFLE_WIDTH, math.ceil(input_bytes / (1024 * MIB))))
+    if shuffled_bytes is None:
+        return cores or DEFAULT_WIDTH
+    return max(cores or 1, math.ceil(shuffled_bytes / TASK_BYTES))
 
 
 def split_bytes(input_bytes: int | None = None) -> int:
@@ -27,7 +29,9 @@ def split_bytes(input_bytes: int | None = None) -> int:
     return 512 * MIB if input_bytes and input_bytes >= 1024 * 1024 * MIB else 128 * MIB
 
 
-def session_settings(cores: int, input_bytes: int | None = None) -> dict[str, str]:
+def session_settings(
+    cores: int | None, input_bytes: int | None = None, shuffled_bytes: int | None = None
+) -> dict[str, str]:
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -37,7 +41,7 @@ def session_settings(cores: int, input_bytes: int | None = None) -> dict[str, st
         "spark.sql.ansi.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.files.maxPartitionBytes": str(split_bytes(input_bytes)),
-        "spark.sql.shuffle.partitions": str(shuffle_width(cores, input_bytes)),
+        "spark.sql.shuffle.partitions": str(shuffle_width(cores, shuffled_bytes)),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
 
@@ -47,9 +51,13 @@ def build_session(
     master: str | None = None,
     cores: int | None = None,
     input_bytes: int | None = None,
+    shuffled_bytes: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Get or create a session. Without ``master`` the cluster's own setting is used."""
+    """Get or create a session. Without ``master`` the cluster's own setting is used.
+
+    ``input_bytes`` are the compressed bytes that scans read, ``shuffled_bytes`` the uncompressed
+    ones of the largest shuffle. Only a local session takes its cores from this machine."""
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
@@ -59,7 +67,9 @@ def build_session(
                 .config("spark.driver.host", "127.0.0.1")
                 .config("spark.ui.enabled", "false")
             )
-    settings = session_settings(cores or os.cpu_count() or 1, input_bytes)
+    if cores is None and master is not None and master.startswith("local"):
+        cores = os.cpu_count()
+    settings = session_settings(cores, input_bytes, shuffled_bytes)
     settings.update(extra or {})
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,12 +30,28 @@ def write_tsv(df: DataFrame, path: str, line_end: str = "\n") -> None:
     df.write.option("header", True).option("sep", "\t").option("lineSep", line_end).csv(path)
 
 
-def write_json_arrays(df: DataFrame, path: str) -> None:
+ROWS_PER_ARRAY = 500_000
+# Times with all their digits; Spark's own layout ends at milliseconds.
+JSON_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+JSON_OPTIONS = {"ignoreNullFields": "false", **JSON_TIMES}
+
+
+def write_json_lines(df: DataFrame, path: str) -> None:
+    """One JSON object per line."""
+    df.write.options(**JSON_TIMES).json(path)
+
+
+def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_ARRAY) -> None:
     """A folder of files that each hold one JSON array, one object per line.
 
-    Every partition streams its rows into its own file, so file size follows partition size.
+    Such a file is read by one task, so rows are counted and dealt evenly to as many files as it
+    takes for none to hold more than about ``rows_per_file``.
     """
-    lines = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    lines = df.select(F.to_json(F.struct("*"), JSON_OPTIONS).alias("value"))
+    lines = lines.repartition(max(1, math.ceil(df.count() / rows_per_file)))
     lines.mapInArrow(_as_array_lines, "value string").write.text(path)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 Schema = StructType | str
 
@@ -63,15 +63,22 @@ def read_json_arrays(spark: SparkSession, path: str, schema: Schema | None = Non
 
 
 def read_json_array_lines(
-    spark: SparkSession, path: str, schema: Schema, key: str
+    spark: SparkSession, path: str, schema: Schema, key: str, corrupt: str | None = None
 ) -> DataFrame:
     """Array files with one object per line, read line by line so that they split.
 
-    The bracket lines hold no object: they are dropped as malformed, and the ``key`` check drops
-    what a lenient parser would turn into an all-NULL row.
+    A field that does not fit its type is NULL and its row stays. Rows whose ``key`` is NULL go,
+    as the lines of the brackets do. With ``corrupt`` nothing but the brackets goes: a column of
+    that name has the text of lines that do not fit the schema.
     """
-    reader = spark.read.schema(schema).option("mode", "DROPMALFORMED")
-    return reader.json(path).where(F.col(key).isNotNull())
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    if corrupt is None:
+        return spark.read.schema(schema).json(path).where(F.col(key).isNotNull())
+    reader = spark.read.schema(StructType([*schema.fields, StructField(corrupt, StringType())]))
+    rows = reader.option("columnNameOfCorruptRecord", corrupt).json(path)
+    bracket = F.trim(corrupt).isin("[", "]")
+    return rows.where(F.col(key).isNotNull() | ~F.coalesce(bracket, F.lit(False)))
 
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:

@@ -12,8 +12,9 @@ from pyspark.sql.types import StructType
 
 def file_view(spark: SparkSession, name: str, path: str, file_format: str = "parquet") -> DataFrame:
     """Declare files as a temporary SQL view and read it by name."""
+    quoted = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
-        f"CREATE OR REPLACE TEMPORARY VIEW `{name}` USING {file_format} OPTIONS (path '{path}')"
+        f"CREATE OR REPLACE TEMPORARY VIEW `{name}` USING {file_format} OPTIONS (path '{quoted}')"
     )
     return spark.table(name)
 

@@ -55,7 +55,8 @@ def run_database(spark: SparkSession) -> str:
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> str:
     """Create a database unless it exists. Callers qualify table names; the session's current
     database stays as it is."""
-    at = f" LOCATION '{location}'" if location else ""
+    quoted = location.replace("\\", "\\\\").replace("'", "\\'") if location else None
+    at = f" LOCATION '{quoted}'" if quoted else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{at}")
     return name
 

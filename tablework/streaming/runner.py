@@ -8,22 +8,19 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-FEW_KEYS_WIDTH = 64
-
-
 def stream_session(
     spark: SparkSession, many_keys: bool = False, state_partitions: int | None = None
 ) -> SparkSession:
     """A session for streams, with settings of its own on the same cluster.
 
-    The shuffle width of a stateful query is fixed for the life of its checkpoint and adaptive
-    execution does not change it, so it is set here rather than taken from the batch session. A
-    state of ``many_keys`` is spread over all cores and kept in RocksDB, off the heap, with only
-    changes written to the checkpoint; a small one stays on the heap of a few tasks.
+    The shuffle width of a stateful query is fixed for the life of its checkpoint, and adaptive
+    execution does not change it: a stream that is to last needs ``state_partitions`` for the keys
+    it will have one day. Without it the width set for the batch session is taken, never what
+    executors happen to be there. A state of ``many_keys`` is kept in RocksDB, off the heap, with
+    only changes written to the checkpoint.
     """
     own = spark.newSession()
-    cores = spark.sparkContext.defaultParallelism
-    width = state_partitions or (cores if many_keys else min(cores, FEW_KEYS_WIDTH))
+    width = state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     own.conf.set("spark.sql.shuffle.partitions", str(width))
     if many_keys:

@@ -33,7 +33,10 @@ def test_distinct_count_ignores_null(spark):
 
 def test_summary(spark):
     df = spark.createDataFrame([(0.1,), (0.2,), (None,)], "x double")
-    assert tuple(aggregates.summary(df, "x").first()) == (0.3, 0.15, 0.1, 0.2)
+    assert tuple(aggregates.summary(df, "x", digits=2).first()) == (0.3, 0.15, 0.1, 0.2)
+    small = spark.range(1000).selectExpr("CAST(0.004 AS DOUBLE) AS x")
+    total, mean, smallest, _ = aggregates.summary(small, "x").first()
+    assert abs(total - 4.0) < 1e-9 and abs(mean - 0.004) < 1e-12 and smallest == 0.004
     fine = spark.createDataFrame([(0.0001,), (0.0002,)], "x double")
     assert aggregates.summary(fine, "x", digits=4).first().total == 0.0003
 
@@ -137,3 +140,13 @@ def test_unknown_group_column(spark):
 def test_filters_and_columns_reach_the_scan(spark, name, pushed, columns):
     plan = plan_text(all_queries()[name](spark, SF_DIR))
     assert pushed in plan and columns in plan
+
+
+def test_rebuilt_arrays_keeps_empty_and_null_arrays(spark):
+    df = spark.createDataFrame([(1, [1, 2, None]), (2, []), (3, None)], "id int, xs array<int>")
+    rebuilt = aggregates.rebuilt_arrays(df, "id", "xs", F.col("item") + 1, "ys")
+    assert {r.id: r.ys for r in rebuilt.collect()} == {1: [2, 3, None], 2: [], 3: None}
+    for again in ([(1, [1, 2]), (1, [3])], [(1, [1]), (1, [])], [(1, None), (1, None)]):
+        df = spark.createDataFrame(again, "id int, xs array<int>")
+        with pytest.raises(Exception, match="key repeats"):
+            aggregates.rebuilt_arrays(df, "id", "xs", F.col("item"), "ys").collect()

@@ -142,3 +142,15 @@ def test_cubes_do_not_wrap_around(spark):
         big.select(udfs.cubed_native(F.col("id"))).collect()
     with pytest.raises(Exception, match="not a bigint"):
         big.select(udfs.cubed(F.col("id"))).collect()
+
+
+def test_null_structs_and_arrays_stay_null(spark):
+    from tablework.functions.udfs import fahrenheit_arrays, field_scaler
+
+    df = spark.sql("SELECT * FROM VALUES (1, named_struct('a', 1D, 'b', 2D)), (2, NULL) t(id, s)")
+    scaled = df.select("id", field_scaler("a double, b double", {"a": 3.0})("s").alias("s"))
+    rows = {r.id: r.s for r in scaled.collect()}
+    assert tuple(rows[1]) == (3.0, 2.0) and rows[2] is None
+    arrays = spark.createDataFrame([(1, [0.0, None]), (2, None), (3, [])], "id int, xs array<double>")
+    rows = {r.id: r.ys for r in arrays.coalesce(1).select("id", fahrenheit_arrays("xs").alias("ys")).collect()}
+    assert rows == {1: [32.0, None], 2: None, 3: []}

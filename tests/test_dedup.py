@@ -18,6 +18,7 @@ def expected(left, right, distance=5.0):
         [(*row, 0) for row in left] + [(*row, 1) for row in right], key=lambda r: (r[4], r[3])
     ):
         same = [k for k in kept if k[0] == name and k[2] is not None and age is not None]
+        # A difference of infinite values is NaN, which is not below any distance.
         if age is None or not any(abs(k[2] - age) < distance for k in same):
             kept.append((name, note, age, seq, side))
     return sorted(kept, key=repr)
@@ -25,6 +26,8 @@ def expected(left, right, distance=5.0):
 
 def actual(spark, left, right, **options):
     frames = [spark.createDataFrame(rows, COLUMNS) for rows in (left, right)]
+    if options.get("head_rows", 1000) < 1000:
+        options.setdefault("task_rows", options["head_rows"])  # in rounds
     kept = greedy_dedup(*frames, "name", "age", "seq", 5.0, **options)
     return sorted([(r.name, r.note, r.age, r.seq, r.side) for r in kept.collect()], key=repr)
 
@@ -69,7 +72,29 @@ def test_null_nan_and_infinite_values(spark):
     for method in ("native", "cogroup"):
         for head_rows in (1000, 1):
             rows = actual(spark, left, right, method=method, head_rows=head_rows)
-            assert sorted(row[1] for row in rows) == [1, 2, 3, 4, 6]
+            assert repr(rows) == repr(expected(left, right))
+            assert sorted(row[1] for row in rows) == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_a_distance_of_nothing_keeps_all(spark):
+    rows = numbered([("a", 1, 2.0), ("a", 2, 2.0)])
+    frames = [spark.createDataFrame(x, COLUMNS) for x in (rows[:1], rows[1:])]
+    assert greedy_dedup(*frames, "name", "age", "seq", 0.0).count() == 2
+
+
+def test_a_hot_key_of_dense_rising_values_is_decided_at_once(spark):
+    n = 100_000
+    values = spark.range(n).selectExpr(
+        "'hot' AS name", "CAST(id AS INT) AS note", "id * 0.01D AS age", "id AS seq"
+    )
+    kept = greedy_dedup(values, values.limit(0), "name", "age", "seq", 5.0)
+    expected_ages, last = [], None
+    for i in range(n):
+        age = i * 0.01
+        if last is None or not abs(last - age) < 5.0:
+            expected_ages.append(age)
+            last = age
+    assert sorted(r.age for r in kept.select("age").collect()) == expected_ages
 
 
 @settings(max_examples=8, deadline=None)

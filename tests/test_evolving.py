@@ -57,3 +57,35 @@ def test_a_load_that_runs_again_replaces_itself(spark, tmp_path):
         write(df, batch_id)
     table = evolving.loaded(spark, path)
     assert table.columns == df.columns and table.count() == 6
+
+
+def test_rows_of_a_table_fit_it_whatever_may_be_null_in_them(spark, tmp_path):
+    path = str(tmp_path / "nested")
+    df = spark.sql(
+        "SELECT array('a') AS tags, map('k', 1) AS m, struct(1 AS x, array(1) AS ys) AS s"
+    )
+    evolving.create_table(df, path)
+    evolving.append_enforced(df, path)
+    evolving.append_evolving(df, path)
+    assert evolving.current(spark, path).count() == 3
+    for unfit in ("array(1) AS tags", "map('k', 'v') AS m", "struct(1 AS x, array('a') AS ys) AS s"):
+        with pytest.raises(evolving.SchemaMismatch):
+            evolving.append_enforced(spark.sql(f"SELECT {unfit}"), path)
+
+
+def test_names_in_another_case_are_the_same_column(spark, tmp_path):
+    path = str(tmp_path / "t")
+    evolving.create_table(spark.sql("SELECT 1L AS id"), path)
+    evolving.append_evolving(spark.sql("SELECT 2L AS ID"), path)
+    assert sorted(r.id for r in evolving.current(spark, path).collect()) == [1, 2]
+    with pytest.raises(evolving.SchemaMismatch):
+        evolving.append_enforced(spark.sql("SELECT 'x' AS ID"), path)
+
+
+def test_unfit_loads_are_refused_and_the_table_still_reads(spark, tmp_path):
+    path = str(tmp_path / "t")
+    evolving.load_once(spark.sql("SELECT 1L AS n"), path, "history")
+    for unfit in ("SELECT 'x' AS n", "SELECT 1L AS n, 2 AS more"):
+        with pytest.raises(evolving.SchemaMismatch):
+            evolving.stream_loader(path, "stream")(spark.sql(unfit), 0)
+    assert evolving.loaded(spark, path).count() == 1

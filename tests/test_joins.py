@@ -135,3 +135,31 @@ def test_a_side_that_unpacks_to_more_than_the_limit_is_not_broadcast(spark, tmp_
     orders, _ = orders_and_users(spark)
     joined = equi_join(orders, spark.read.parquet(path), same(), "broadcast")
     assert "SortMergeJoin" in plan_text(joined)
+
+
+@pytest.mark.parametrize("kind", ["double", "bigint"])
+def test_interval_join_does_not_depend_on_its_form(spark, kind):
+    inf, nan = float("inf"), float("nan")
+    values = [1.0, 2.5, -3.0, 0.0, 1e15 + 2, -1e300, 5e-9, None]
+    odd = [inf, -inf, nan] if kind == "double" else []
+    ends = [(0.0, 2.0), (2.0, inf), (-inf, 1.0), (1.0, nan), (nan, nan), (3.0, 1.0), (None, 2.0),
+            (1e15, 1e15 + 4), (inf, inf), (-inf, inf), (-1e301, -1e299), (2.5, 2.5)]
+    if kind == "bigint":
+        values = [None if v is None else int(v) for v in values if v != -1e300]
+        ends = [(a, b) for a, b in ends if a is None or abs(a) < 1e18 and abs(b) < 1e18]
+        ends = [(None if a is None else int(a), int(b)) for a, b in ends]
+    points = spark.createDataFrame([(i, v) for i, v in enumerate(values + odd)], f"p int, v {kind}")
+    intervals = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(ends)], f"i int, a {kind}, b {kind}")
+    found = []
+    for limit in (1000, 0):
+        rows = interval_join(points, intervals, "v", "a", "b", broadcast_rows=limit)
+        assert set(rows.columns) == {"p", "v", "i", "a", "b"}
+        found.append(sorted((r.p, r.i) for r in rows.collect()))
+    assert found[0] == found[1] and found[0]
+
+
+def test_many_times_of_no_length_do_not_share_a_bin(spark):
+    times = spark.range(2000).selectExpr("id AS i", "1700000000000000 + id AS t")
+    spans = times.selectExpr("i AS j", "t AS a", "t AS b")
+    joined = interval_join(times, spans, "t", "a", "b", broadcast_rows=0)
+    assert joined.where("i = j").count() == joined.count() == 2000

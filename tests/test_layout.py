@@ -48,7 +48,7 @@ def test_a_hot_key_is_spread_over_buckets(spark):
 
 
 def test_bucket_count_follows_the_rows():
-    assert [bucket_count(n) for n in (0, 10**9, 10**14)] == [8, 63, 100_000]
+    assert [bucket_count(n) for n in (0, 10**9, 10**14)] == [8, 63, 6_250_000]
 
 
 def test_cache_is_filled_once_and_released(spark):
@@ -140,3 +140,26 @@ def test_shared_folder_is_the_one_the_cluster_names(monkeypatch, tmp_path):
         shared_root(Session(None, "yarn"))
     monkeypatch.setattr("tempfile.mkdtemp", lambda prefix: str(tmp_path))
     assert shared_root(Session(None, "local[4]")).startswith(f"{tmp_path}/")
+
+
+@pytest.mark.parametrize("hot", ["large", "small", "both", "null"])
+def test_hot_keys_are_spread_whatever_their_rows_hold(spark, hot):
+    database = run_database(spark)
+    n = 2000
+    one = spark.range(n).selectExpr("CAST(id AS INT) AS k", "'x' AS v").withColumn("k", F.col("k") % 200)
+    two = spark.range(200).selectExpr("CAST(id AS INT) AS k", "'y' AS w")
+    same = spark.range(n).selectExpr("7 AS k", "'same' AS v")
+    if hot in ("large", "both"):
+        one = one.union(same)
+    if hot in ("small", "both"):
+        two = two.union(same.limit(n if hot == "small" else 100))
+    if hot == "null":
+        nulls = spark.range(n).selectExpr("CAST(NULL AS INT) AS k", "'n' AS v")
+        one, two = one.union(nulls), two.union(nulls)
+    names = [f"{database}.{fresh_name(x)}" for x in ("a", "b")]
+    pair = write_bucketed_pair(one, two, "k", "k", *names, buckets=8, heavy_rows=300)
+    expected_rows = one.join(two, "k").count()
+    assert pair.join().count() == expected_rows
+    for table in (pair.large, pair.small):
+        most = table.groupBy("k", "bucket_salt").count().agg(F.max("count")).first()[0]
+        assert most <= 600

@@ -161,3 +161,13 @@ def test_generated_rows_use_every_label(spark):
     assert {r.label: r["count"] for r in df.groupBy("label").count().collect()} == {
         "AZ": 20, "CO": 20, "CA": 20
     }
+
+
+def test_a_field_that_does_not_fit_is_null_and_its_row_stays(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[\n{"id":1,"hits":3},\n{"id":2,"hits":"x"},\n{"hits":4}\n]\n')
+    rows = read_json_array_lines(spark, str(tmp_path), "id int, hits int", "id").collect()
+    assert sorted((r.id, r.hits) for r in rows if r.hits is not None) == [(1, 3)]
+    assert [(r.id, r.hits) for r in rows if r.hits is None] == [(2, None)]
+    kept = read_json_array_lines(spark, str(tmp_path), "id int, hits int", "id", corrupt="line")
+    kept = kept.cache().collect()
+    assert len(kept) == 3 and [r.line for r in kept if r.id == 2] == ['{"id":2,"hits":"x"},']

@@ -9,7 +9,14 @@ from tablework.functions.text import whitespace_split
 from tablework.operators import evolving
 from tablework.streaming.flow import LandingFlow, gate, gated
 from tablework.streaming.runner import run_available, run_every, stream_session
-from tablework.streaming.sinks import append_files, latest_complete, latest_update, publish_running
+from tablework.streaming.sinks import (
+    MERGE_EVERY,
+    _version_writer,
+    append_files,
+    latest_complete,
+    latest_update,
+    publish_running,
+)
 from tablework.streaming.sources import json_stream, parquet_stream, text_stream
 
 ORDERS = (
@@ -127,7 +134,7 @@ def test_word_counts(spark, tmp_path, mode, many_keys):
     results = []
     for i, counts in enumerate((lists, words)):
         path = str(tmp_path / f"r{i}")
-        run_available(publish_running(counts, path, str(tmp_path / f"c{i}"), mode), LIMIT)
+        run_available(publish_running(counts, path, str(tmp_path / f"c{i}"), mode, keys=["word"]), LIMIT)
         if mode == "complete":
             newest = latest_complete(spark, path)
         else:
@@ -136,6 +143,24 @@ def test_word_counts(spark, tmp_path, mode, many_keys):
     assert results == [{"['a', 'b']": 2, "['b', 'c']": 1}, {"a": 2, "b": 3, "c": 1}]
 
 
+@pytest.mark.parametrize("keys", [None, ["word"]])
+def test_versions_do_not_pile_up(spark, tmp_path, keys):
+    """What is stored and read stays the same however many batches there were."""
+    path, n = str(tmp_path / "r"), 24
+    write = _version_writer(path, keys)
+    for i in range(n):
+        words = spark.createDataFrame([(f"w{i % 3}", i)], "word string, n int").coalesce(1)
+        write(words, i)
+    write(words, n - 1)
+    if keys is None:
+        assert [tuple(r) for r in latest_complete(spark, path).collect()] == [(f"w{(n - 1) % 3}", n - 1)]
+        assert len(list((tmp_path / "r").iterdir())) == 2
+    else:
+        newest = {r.word: r.n for r in latest_update(spark, path, keys).collect()}
+        assert newest == {"w0": 21, "w1": 22, "w2": 23}
+        assert len(list((tmp_path / "r").iterdir())) <= 2 * MERGE_EVERY + 2
+
+
 def test_gate(spark, streams, tmp_path):
     inbox, path = tmp_path / "in", str(tmp_path / "t")
     drop(inbox, "a.json", [order("Pizza", 3), order("Pasta", 0), order("Soup", None)])
