@@ -1,0 +1,264 @@
+"""Line dedup, Jaccard join, decontamination and paragraph dedup against brute force."""
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from tablework.llm import decontaminate, jaccard_join, line_dedup, paragraph_dedup
+from tests.llm.conftest import SCHEMA, item_texts, sentence, text
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
+
+
+def shingles(value):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (value or "").translate(LOWER))
+    if len(words) < 5:
+        return frozenset([tuple(words)]) if words else frozenset()
+    return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+
+
+def components(rows):
+    """Smallest doc_id that links reach, for each row with an id."""
+    own = [(r[0], shingles(r[1])) for r in rows if r[0] is not None]
+    root = list(range(len(own)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, (a, x) in enumerate(own):
+        for j in range(i):
+            b, y = own[j]
+            if x and y and 100 * len(x & y) >= 75 * len(x | y):
+                root[top(i)] = top(j)
+    smallest = defaultdict(lambda: 10**9)
+    for i, (a, _) in enumerate(own):
+        smallest[top(i)] = min(smallest[top(i)], a)
+    return sorted((a, len(x), smallest[top(i)]) for i, (a, x) in enumerate(own))
+
+
+def joined(docs):
+    found = jaccard_join.jaccard_components(docs)
+    return [tuple(r) for r in found.select("doc_id", "n_shingles", "component_id").collect()]
+
+
+def test_jaccard_join(docs, rows):
+    found = joined(docs)
+    assert sorted(r for r in found if r[0] is not None) == components(rows)
+    assert sorted(r[1:] for r in found if r[0] is None) == sorted(
+        (len(shingles(r[1])), None) for r in rows if r[0] is None
+    )
+
+
+@pytest.mark.parametrize("settings", [{}, {"RARE": 3, "COMMON": 5}, {"RARE": 2, "COMMON": 3, "PAIRED": 3, "CHUNK_SETS": 4}])
+def test_jaccard_join_with_groups_of_near_copies(spark, monkeypatch, settings):
+    """Links that no centre has, in classes of all kinds."""
+    for name, value in settings.items():
+        monkeypatch.setattr(jaccard_join, name, value)
+    rng, made = random.Random(9), []
+    for _ in range(3):
+        base = text(rng, 4).split(" ")
+        for _ in range(14):
+            words = list(base)
+            for _ in range(rng.randint(0, 4)):
+                words[rng.randrange(len(words))] = f"w{rng.randrange(10**6)}"
+            made.append(" ".join(words[rng.randint(0, 6) :]))
+    made += ["one two three four five", "one two three four five six"] * 2
+    rows = [(i, t) for i, t in enumerate(made)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(joined(docs)) == components(rows)
+
+
+def test_one_of_each_keeps_the_smallest(docs, rows):
+    kept = jaccard_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
+    assert set(ids) == {c for _, _, c in components(rows)}
+
+
+def test_jaccard_join_of_nothing(nothing):
+    assert joined(nothing) == [] and jaccard_join.one_of_each(nothing).count() == 0
+
+
+def kept_lines(rows):
+    """Per row: lines, dropped lines, digest of the rest."""
+    keys = defaultdict(set)
+    for doc_id, value, *_ in rows:
+        for line in (value or "").split("\n"):
+            key = line.strip(SPACES).translate(LOWER)
+            if doc_id is not None and len(key) >= 20:
+                keys[key].add(doc_id)
+    found = []
+    for doc_id, value, *_ in rows:
+        lines = (value or "").split("\n")
+        kept = [
+            x for x in lines
+            if doc_id is None
+            or len(keys.get(x.strip(SPACES).translate(LOWER), ())) < 3
+            or max(keys[x.strip(SPACES).translate(LOWER)]) == doc_id
+        ]
+        digest = hashlib.sha256("\n".join(kept).encode()).hexdigest()
+        found.append((doc_id, len(lines), len(lines) - len(kept), digest))
+    return found
+
+
+def test_line_dedup(docs, rows):
+    bitmaps = line_dedup.keep_bitmaps(docs).collect()
+    assert sorted((repr(r.doc_id), r.n_lines, r.n_dropped) for r in bitmaps) == sorted(
+        (repr(a), b, c) for a, b, c, _ in kept_lines(rows)
+    )
+    cleaned = line_dedup.without_shared_lines(docs)
+    assert cleaned.columns == docs.columns
+    digests = sorted(
+        (repr(r.doc_id), hashlib.sha256((r.text or "").encode()).hexdigest()) for r in cleaned.collect()
+    )
+    assert digests == sorted((repr(a), d) for a, _, _, d in kept_lines(rows))
+    assert cleaned.where("text IS NULL").count() == docs.where("text IS NULL").count()
+    assert cleaned.where("n_chars <> length(text)").count() == docs.where("n_chars <> length(text)").count()
+
+
+def test_line_dedup_query_equals_sql(spark, rows, tmp_path):
+    own = [r[:2] for r in rows if r[0] is not None]
+    own = list({r[0]: r for r in own}.values())
+    spark.createDataFrame(own, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = [tuple(r) for r in line_dedup.op3_line_dedup(spark, str(tmp_path)).collect()]
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(found) == sorted(duck.execute(line_dedup.SQL).fetchall())
+
+
+def test_line_dedup_of_nothing(nothing):
+    assert line_dedup.keep_bitmaps(nothing).count() == 0
+    assert line_dedup.without_shared_lines(nothing).count() == 0
+
+
+def words_of(value):
+    return [x for x in re.split(r"[\W_]+", (value or "").lower()) if x]
+
+
+def counted(words):
+    if len(words) < 5:
+        return Counter([tuple(words)])
+    return Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+
+
+def passages(rows, items):
+    found = set()
+    for doc_id, value, *_ in rows:
+        words = words_of(value)
+        for item_id, item in enumerate(items):
+            own = words_of(item)
+            target = counted(own)
+            for start in range(-len(own), len(words)):
+                window = words[max(start, 0) : max(start + len(own), 0)]
+                if not window or doc_id is None:
+                    continue
+                there = counted(window)
+                same = sum((there & target).values())
+                if 100 * same >= 75 * (sum(there.values()) + sum(target.values()) - same):
+                    found.add((doc_id, item_id))
+                    break
+    return found
+
+
+def test_decontamination(spark, docs, rows):
+    items = item_texts()
+    benchmark = spark.createDataFrame(
+        [*enumerate(items), (None, items[0]), (99, None), (98, " .. ")],
+        "item_id bigint, text string",
+    ).withColumn("doc_id", F.lit("clash"))
+    found = decontaminate.contaminated(docs, benchmark).collect()
+    expected = passages(rows, items)
+    assert len(expected) >= 12
+    # A passage of a few words more or less than the item may lie beside the places compared.
+    assert {(r.doc_id, r.item_id) for r in found} == expected
+    assert all(r.similarity >= 0.75 for r in found) and len(found) == len(expected)
+    clean = decontaminate.without_benchmark(docs, benchmark)
+    assert clean.columns == docs.columns
+    left = {r.doc_id for r in clean.collect()}
+    assert left == {r[0] for r in rows} - {a for a, _ in expected}
+
+
+def test_decontamination_of_nothing(spark, docs, nothing):
+    benchmark = spark.createDataFrame([(1, "a b c d e f")], "item_id bigint, text string")
+    assert decontaminate.contaminated(nothing, benchmark).count() == 0
+    assert decontaminate.contaminated(docs, benchmark.limit(0)).count() == 0
+
+
+def test_fingerprints_are_majorities(spark):
+    rng = random.Random(1)
+    hashes = [rng.getrandbits(64) - 2**63 for _ in range(40)]
+    df = spark.createDataFrame([(1, hashes)], "id int, hashes array<bigint>")
+    for window, _, step in decontaminate.CLASSES:
+        rows = decontaminate.window_fingerprints(df, window, step).collect()
+        assert sorted(r.place for r in rows) == list(range(0, 40 - window + 1, step))
+        for r in rows:
+            own = hashes[r.place : r.place + window]
+            for bit in range(64):
+                ones = sum((h >> bit) & 1 for h in own)
+                assert (r.print >> bit) & 1 == (2 * ones >= window)
+
+
+def test_paragraph_dedup(docs, rows):
+    found = paragraph_dedup.repeated_passages(docs).collect()
+    texts = defaultdict(set)
+    for r in rows:
+        texts[r[0]].add(r[1])
+    for r in found:
+        assert any(r.end <= len(t or "") for t in texts[r.doc_id])
+    ids = {r.doc_id for r in found}
+    values = [(r[0], r[1] or "") for r in rows if r[0] is not None]
+    # Whole copies, and the six texts with a passage of 66 words in other surroundings.
+    copies = [i for i, t in values if sum(t == u for _, u in values) > 1 and len(t.split()) > 30]
+    assert set(copies) <= ids
+    removed = {r.doc_id for r in found if r.removed}
+    kept = {r.doc_id for r in found if not r.removed}
+    assert removed and kept
+
+
+def test_paragraph_dedup_finds_set_in_passages_and_leaves_others(spark):
+    rng = random.Random(2)
+    passage = " ".join(sentence(rng, 11) for _ in range(6))
+    rows = []
+    for i in range(40):
+        words = text(rng, 4).split(" ")
+        if i % 4 == 0:
+            words.insert(rng.randrange(len(words)), passage)
+        rows.append((i, " ".join(words)))
+    found = paragraph_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    found = found.collect()
+    assert {r.doc_id for r in found} == set(range(0, 40, 4))
+    assert {r.doc_id for r in found if r.removed} == set(range(4, 40, 4))
+    by_id = dict(rows)
+    known = set(passage.split(" "))
+    for r in found:  # a few words around it may belong to its last paragraph
+        own = by_id[r.doc_id][r.start : r.end].split()
+        assert sum(w in known for w in own) >= 0.75 * len(own)
+
+
+@pytest.mark.parametrize("settings", [{}, {"PAIRED": 2, "CHUNK": 3}])
+def test_similar_paragraphs_share_a_component(spark, monkeypatch, settings):
+    for name, value in settings.items():
+        monkeypatch.setattr(paragraph_dedup, name, value)
+    rng = random.Random(4)
+    base = sentence(rng, 70)
+    rows = []
+    for i in range(30):
+        words = base.split(" ")
+        if i:
+            words[3 + 2 * i] = f"other{i}"
+        rows.append((i, text(rng, 1) + "\n" + " ".join(words) + "\n" + text(rng, 1)))
+    found = paragraph_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r.doc_id for r in found.collect() if r.removed} == set(range(1, 30))
+
+
+def test_paragraph_dedup_of_nothing(nothing):
+    assert paragraph_dedup.repeated_passages(nothing).count() == 0
+    assert SCHEMA.startswith("doc_id")
