@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablework.llm.shared import documents, id_and_text, written
+from tablework.storage import fresh_name
 
 MIN_CHARS, MIN_DOCS = 20, 3
 _BLANKS = "' ', '\\t', '\\n', '\\u000B', '\\f', '\\r'"
@@ -95,19 +96,18 @@ def kept_text(text: str = "text", dropped: str = "dropped"):
 
 def without_shared_lines(docs: DataFrame) -> DataFrame:
     """The documents with their texts and n_chars after dropping; all columns. Null stays null."""
-    lost = written(dropped_lines(docs), "bitmaps").select(
-        F.col("doc_id").alias("lost_id"), F.col("text_hash").alias("lost_hash"), "dropped"
-    )
-    text = docs["text"]
-    joined = docs.join(
-        lost, (docs["doc_id"] == F.col("lost_id")) & (F.xxhash64(text) == F.col("lost_hash")), "left"
-    )
-    new = F.when(F.col("dropped").isNull(), text).otherwise(kept_text())
+    lost = written(dropped_lines(docs), "bitmaps").select("doc_id", "text_hash", "dropped")
+    names = [fresh_name(c) for c in lost.columns]  # the table may have columns of any name
+    lost_id, lost_hash, dropped = names
+    same = (docs["doc_id"] == F.col(lost_id)) & (F.xxhash64(docs["text"]) == F.col(lost_hash))
+    joined = docs.join(lost.toDF(*names), same, "left")
+    kept = kept_text("text", dropped)
     columns = {
-        "text": new.alias("text"),
-        "n_chars": F.when(F.col("dropped").isNull(), F.col("n_chars"))
-        .otherwise(F.length(kept_text()).cast("long")).alias("n_chars"),
+        "text": F.when(F.col(dropped).isNull(), docs["text"]).otherwise(kept).alias("text")
     }
+    if "n_chars" in docs.columns:
+        n_chars = F.when(F.col(dropped).isNull(), docs["n_chars"])
+        columns["n_chars"] = n_chars.otherwise(F.length(kept).cast("long")).alias("n_chars")
     return joined.select([columns.get(c, docs[c]) for c in docs.columns])
 
 

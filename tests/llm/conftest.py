@@ -3,7 +3,7 @@ import random
 import pytest
 
 SCHEMA = (
-    "doc_id bigint, text string, lang string, source string, n_chars bigint, "
+    "doc_id bigint, text string, lang string, source string, n_chars bigint, dropped string, "
     "key string, start int, sign binary, hashes string, component boolean"
 )
 SYLLABLES = "the an re th er on ti ed ha in or ou ea st nd".split()
@@ -59,7 +59,7 @@ def make_texts():
 
 def make_rows():
     rows = [
-        (i * 3 + 1, t, None if i % 7 == 0 else "en", None, len(t or ""), "k", 1, b"s", "h", True)
+        (i * 3 + 1, t, None if i % 7 == 0 else "en", None, len(t or ""), "d", "k", 1, b"s", "h", True)
         for i, t in enumerate(make_texts())
     ]
     rows += [rows[3], rows[3], rows[-9]]  # repeated rows
