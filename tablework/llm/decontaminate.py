@@ -27,14 +27,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm.shared import documents, id_and_text, written
+from tablework.llm.shared import documents, id_and_text, small_broadcast, written
 
 WORDS, PERCENT = 5, 75
 RADIUS = 3
 BLOCK_BITS = 64 // (RADIUS + 1)
 CLASSES = [(16, 39, 4), (8, 15, 4), (4, 4, 1), (2, 2, 1), (1, 1, 1)]  # window, least words, step
 BROADCAST_ROWS = 200_000  # of the items' index, about 60 bytes each
-BROADCAST_TEXTS = 500_000  # documents with candidates, 16 bytes each
 
 
 def _hashes(text):
@@ -238,9 +237,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     places = written(_candidates(hashed, items), "candidates")
     # Only texts with a candidate are needed again. Beyond the limit all texts are shuffled.
     needed = written(places.select("doc_id", "text_hash").distinct(), "needed")
-    if needed.count() <= BROADCAST_TEXTS:
-        needed = F.broadcast(needed)
-    texts = rows.join(needed, ["doc_id", "text_hash"], "left_semi")
+    texts = rows.join(small_broadcast(needed), ["doc_id", "text_hash"], "left_semi")
     texts = texts.dropDuplicates(["doc_id", "text_hash"]).select(
         "doc_id", "text_hash", _hashes("text").alias("all_hashes")
     )
@@ -278,8 +275,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark passage; all columns."""
-    found = written(contaminated(docs, benchmark), "contaminated")
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    found = written(contaminated(docs, benchmark).select("doc_id").distinct(), "contaminated")
+    return docs.join(small_broadcast(found), "doc_id", "left_anti").select(docs.columns)
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

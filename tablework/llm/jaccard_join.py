@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.llm import words as W
-from tablework.llm.shared import components, documents, id_and_text, written
+from tablework.llm.shared import components, documents, id_and_text, small_broadcast, written
 
 WORDS, PERCENT = 5, 75
 RARE = 8  # fewer documents than this: a rare shingle
@@ -42,7 +42,7 @@ MOST_FREQUENT = 1 << 20  # frequent shingles that are told to all tasks, at most
 PAIRED = 32  # signatures of at most so many sets are compared pair by pair, larger ones in blocks
 SMALL_SET = 16  # smaller sets use single shingles only
 CHUNK_SETS, CHUNK_SHINGLES = 256, 1 << 19  # sets and shingles of a chunk of a block, about
-COUNT_ROWS = 4 << 20  # shingles that a task counts before it passes them on
+COUNT_ROWS = 1 << 20  # shingles that a task counts before it passes them on
 BUCKET_SIZE = 4 << 20  # shingles counted at once after the shuffle, about
 BITS = 25  # of the filters that tell which texts and signatures are needed again, 4 MB each
 
@@ -497,7 +497,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         jaccard_components(docs).select("doc_id", "component_id").where("doc_id <> component_id").distinct(),
         "dropped",
     )
-    return docs.join(found.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    found = small_broadcast(found.select("doc_id"))
+    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,15 +20,32 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     )
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS_PER_BATCH = 1000  # long rows: a batch is held several times on its way to Python and back
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The same rows read back from a table in the shared folder. It cuts the lineage: a lost
     executor costs reading them again and not computing them again."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    rows = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, str(min(int(rows), TEXTS_PER_BATCH)))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, rows)
     return spark.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_IDS = 500_000  # of at most 16 bytes each
+
+
+def small_broadcast(ids: DataFrame) -> DataFrame:
+    """A written table of ids, to be broadcast if it is counted to be small; else joined as usual."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected links ``(a, b)``: rows ``(node, component)``, where the
     component is the smallest node. Links from a node to itself keep it as a node of its own.

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PART_BYTES = 8 << 20
+PART_BYTES = 2 << 20
 BLOCK_BYTES = 1 << 20
 
 SPACE = np.zeros(256, bool)
