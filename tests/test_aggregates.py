@@ -150,3 +150,9 @@ def test_rebuilt_arrays_keeps_empty_and_null_arrays(spark):
         df = spark.createDataFrame(again, "id int, xs array<int>")
         with pytest.raises(Exception, match="key repeats"):
             aggregates.rebuilt_arrays(df, "id", "xs", F.col("item"), "ys").collect()
+
+
+@pytest.mark.parametrize("name", ["group_max_cast", "count_by_month", "top_week"])
+def test_a_year_reaches_the_scan_as_a_range(spark, name):
+    plan = plan_text(all_queries()[name](spark, SF_DIR))
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
