@@ -26,7 +26,7 @@ from tablework.llm.shared import documents, id_and_text, written
 SEQUENCE = 4096
 END = 1
 GROUP_TOKENS = 4 << 20
-CACHED_WORDS = 400_000  # words whose ids a task keeps; the store starts anew when it is full
+CACHED_WORDS = 1_000_000  # words whose ids a task keeps; the store starts anew when it is full
 VOCABULARY = "word_bpe_49k.json"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -41,22 +41,21 @@ class WordIds:
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[bytes, bytes] = {}
 
-    def of(self, text: bytes) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        words, known = text.split(), self._known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            new = list({w for w in words if w not in known})
+    def of(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers. New words of all texts are
+        looked up together."""
+        known, split = self._known, [t.split() for t in texts]
+        new = {w for words in split for w in words if w not in known}
         if len(known) + len(new) > CACHED_WORDS:
             known.clear()
-            new = list(set(words))
-        for low in range(0, len(new), 4096):
-            some = new[low : low + 4096]
+            new = {w for words in split for w in words}
+        ordered = list(new)
+        for low in range(0, len(ordered), 8192):
+            some = ordered[low : low + 8192]
             found = self._tokenizer.encode_batch([w.decode() for w in some], add_special_tokens=False)
             for word, x in zip(some, found):
                 known[word] = np.array(x.ids, "<u4").tobytes()
-        return b"".join([known[w] for w in words])
+        return [b"".join([known[w] for w in words]) for words in split]
 
 
 def _pieces(path: str, sequence: int):
@@ -65,8 +64,9 @@ def _pieces(path: str, sequence: int):
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = ids_of(text.as_buffer().to_pybytes()) + end
+            texts = [x.as_buffer().to_pybytes() for x in batch.column("text")]
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), ids_of(texts)):
+                ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * sequence)):
                     part = ids[at : at + 4 * sequence]
                     rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
