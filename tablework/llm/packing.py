@@ -52,7 +52,7 @@ class WordIds:
         ordered = list(new)
         for low in range(0, len(ordered), 8192):
             some = ordered[low : low + 8192]
-            found = self._tokenizer.encode_batch([w.decode() for w in some], add_special_tokens=False)
+            found = self._tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
             for word, x in zip(some, found):
                 known[word] = np.array(x.ids, "<u4").tobytes()
         return [b"".join([known[w] for w in words]) for words in split]
