@@ -31,6 +31,7 @@ BANDS, ROWS = 5, 2
 STRETCH_WORDS = 20  # neighbouring paragraphs of a document count together; fewer words stay
 PAIRED = 32
 CHUNK = 256
+PLACES = "doc_id long, start long, end long, before long, next long, word long, words long, key long"
 
 _SEEDS = W.mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _STOP = np.zeros(256, bool)
@@ -69,26 +70,32 @@ def _shingles(found: W.Words, first: np.ndarray, last: np.ndarray):
     return tokens, at, W.mix(keys + sizes.astype(np.uint64)).view(np.int64)
 
 
+def _place_rows(ids: pa.Array, part: W.Part, found: W.Words, first, last, keys) -> pa.RecordBatch:
+    row = np.searchsorted(found.rows, first, "right") - 1
+    points = np.append(0, np.cumsum((part.data & 0xC0) != 0x80))
+    zero = points[part.offsets[:-1]][row]
+    starts, ends = points[np.append(found.starts, 0)], points[np.append(found.ends, 0)]
+    return pa.RecordBatch.from_arrays(
+        [
+            ids.slice(part.first, len(part)).take(pa.array(row)),
+            pa.array(starts[first] - zero), pa.array(ends[last - 1] - zero),
+            pa.array(ends[first - 1] - zero, mask=first == found.rows[row]),
+            pa.array(starts[last] - zero, mask=last == found.rows[row + 1]),
+            pa.array(first - found.rows[row]), pa.array(last - first), pa.array(keys),
+        ],
+        ["doc_id", "start", "end", "before", "next", "word", "words", "key"],
+    )
+
+
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Where paragraphs lie: number in the document, code points, words, key."""
+    """Where paragraphs lie: code points, the end of the word before and the start of the next one,
+    number of the first word in the document, words, key."""
     with np.errstate(over="ignore"):
         for batch in batches:
             for part in W.parts(batch.column("text")):
                 found, first, last = paragraphs(part)
-                row = np.searchsorted(found.rows, first, "right") - 1
-                points = np.append(0, np.cumsum((part.data & 0xC0) != 0x80))
-                zero = points[part.offsets[:-1]]
-                begin, end = (found.starts[first], found.ends[last - 1]) if len(first) else (first, last)
                 _, _, keys = _shingles(found, first, last)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(part.first, len(part)).take(pa.array(row)),
-                        pa.array(points[begin] - zero[row]), pa.array(points[end] - zero[row]),
-                        pa.array(first - found.rows[row]), pa.array(last - first),
-                        pa.array(keys),
-                    ],
-                    ["doc_id", "start", "end", "word", "words", "key"],
-                )
+                yield _place_rows(batch.column("doc_id"), part, found, first, last, keys)
 
 
 def band_keys(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -242,16 +249,13 @@ def linked_paragraphs(docs: DataFrame) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """Stretches of paragraphs that also stand elsewhere, at least STRETCH_WORDS words long:
-    ``doc_id, start, end`` (code points), ``words``, ``first_doc_id`` (the smallest document in
-    which its first paragraph's component stands) and ``removed`` (not the first place of each of
-    its paragraphs). Null and empty texts and rows without doc_id have none; rows that repeat hold
+    """Stretches of paragraphs that also stand elsewhere, at least STRETCH_WORDS words long in all,
+    split into removed and kept parts of any length: ``doc_id, start, end`` (code points),
+    ``words``, ``first_doc_id`` (the smallest document in which a paragraph of it stands) and
+    ``removed`` (not the first place of a paragraph of it). Null and empty texts and rows without doc_id have none; rows that repeat hold
     the same passages, of which all but one are removed."""
     docs = id_and_text(docs).where("doc_id IS NOT NULL")
-    places = written(
-        docs.mapInArrow(_places, "doc_id long, start long, end long, word long, words long, key long"),
-        "places",
-    )
+    places = written(docs.mapInArrow(_places, PLACES), "places")
     labels = linked_paragraphs(docs.select("text"))
     twice = places.groupBy("key").agg(F.count("*").alias("places")).where("places > 1").select("key")
     nodes = labels.select(F.col("node").alias("key"), "component")
@@ -262,21 +266,52 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     found = written(places.join(known, "key").drop("key"), "found")
     first = found.groupBy("component").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
     marked = found.join(first.where("n > 1"), "component").select(
-        "doc_id", "start", "end", "word", "words", F.col("first.doc_id").alias("first_doc_id"),
+        "doc_id", "start", "end", "before", "next", "word", "words", F.col("first.doc_id").alias("first_doc_id"),
         ((F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start"))).alias("removed"),
     )
-    own = Window.partitionBy("doc_id", "removed").orderBy("word", "start", "end")
-    fresh = F.coalesce(F.lag(F.col("word") + F.col("words")).over(own) < F.col("word"), F.lit(True))
-    marked = marked.withColumn("fresh", fresh.cast("int"))
-    marked = marked.withColumn("stretch", F.sum("fresh").over(own))
-    passages = marked.groupBy("doc_id", "removed", "stretch").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"),
-        (F.max(F.col("word") + F.col("words")) - F.min("word")).alias("words"),
-        F.min("first_doc_id").alias("first_doc_id"),
+    return stretches(marked)
+
+
+def stretches(marked: DataFrame) -> DataFrame:
+    """Stretches of neighbouring paragraphs, tested for length as a whole and only then split by
+    ``removed``. Words that several paragraphs hold are removed if one of these is."""
+    gone = F.col("removed").cast("int")
+    begin = F.struct(
+        F.col("word").alias("at"), F.col("before").alias("until"), "start", gone.alias("gone"),
+        (1 - gone).alias("kept"), F.when(F.col("removed"), F.col("first_doc_id")).alias("first_doc_id"),
+    )
+    end = F.struct(
+        (F.col("word") + F.col("words")).alias("at"), F.col("end").alias("until"), F.col("next").alias("start"),
+        (-gone).alias("gone"), (gone - 1).alias("kept"), F.lit(None).cast("long").alias("first_doc_id"),
+    )
+    edges = marked.select("doc_id", F.explode(F.array(begin, end)).alias("edge")).select("doc_id", "edge.*")
+    edges = edges.groupBy("doc_id", "at").agg(
+        F.max("until").alias("until"), F.min("start").alias("start"), F.sum("gone").alias("gone"),
+        F.sum("kept").alias("kept"), F.min("first_doc_id").alias("first_doc_id"),
     )
-    return passages.where(F.col("words") >= STRETCH_WORDS).select(
-        "doc_id", "start", "end", "words", "first_doc_id", "removed"
+    own = Window.partitionBy("doc_id").orderBy("at")
+    spans = edges.select(
+        "doc_id", "at", F.lead("at").over(own).alias("to"), "start", F.lead("until").over(own).alias("end"),
+        F.sum("gone").over(own).alias("gone"), F.sum("kept").over(own).alias("kept"),
+        F.last("first_doc_id", ignorenulls=True).over(own).alias("first"),
+    ).where("gone > 0 OR kept > 0")
+    spans = spans.select(
+        "doc_id", "at", "to", "start", "end", (F.col("gone") > 0).alias("removed"),
+        F.when(F.col("gone") > 0, F.col("first")).otherwise(F.col("doc_id")).alias("first_doc_id"),
+    )
+    gap = F.col("at") - F.lag("to").over(own)
+    turn = (gap > 0) | (F.col("removed") != F.lag("removed").over(own))
+    spans = spans.withColumns({
+        "stretch": F.coalesce(gap > 0, F.lit(True)).cast("int"), "turn": F.coalesce(turn, F.lit(True)).cast("int"),
+    })
+    spans = spans.withColumns({"stretch": F.sum("stretch").over(own), "turn": F.sum("turn").over(own)})
+    length = F.sum(F.col("to") - F.col("at")).over(Window.partitionBy("doc_id", "stretch"))
+    passages = spans.withColumn("length", length).where(F.col("length") >= STRETCH_WORDS)
+    passages = passages.groupBy("doc_id", "turn", "removed").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"),
+        (F.max("to") - F.min("at")).alias("words"), F.min("first_doc_id").alias("first_doc_id"),
     )
+    return passages.select("doc_id", "start", "end", "words", "first_doc_id", "removed")
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

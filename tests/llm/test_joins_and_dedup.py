@@ -259,6 +259,17 @@ def test_similar_paragraphs_share_a_component(spark, monkeypatch, settings):
     assert {r.doc_id for r in found.collect() if r.removed} == set(range(1, 30))
 
 
+def test_length_of_a_passage_is_tested_before_it_is_split(spark):
+    """The first place of one half is not that of the other; each half is under STRETCH_WORDS."""
+    rng = random.Random(6)
+    one, two = sentence(rng, 15), sentence(rng, 15)
+    both = f"{one}\n{two}"
+    rows = [(1, f"{sentence(rng, 30)}\n{two}"), (2, both), (3, both), (4, sentence(rng, 40))]
+    found = paragraph_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    found = {(r.doc_id, r.removed): dict(rows)[r.doc_id][r.start : r.end] for r in found.collect()}
+    assert found[2, False] == one and found[2, True] == two and found[3, True] == both
+
+
 def test_paragraph_dedup_of_nothing(nothing):
     assert paragraph_dedup.repeated_passages(nothing).count() == 0
     assert SCHEMA.startswith("doc_id")
