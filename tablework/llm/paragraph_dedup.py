@@ -1,9 +1,17 @@
-"""Substring dedup by paragraph MinHash banding.
+"""Substring dedup by windows of words and by paragraph MinHash banding.
 
-A paragraph is a stretch of sentences of one line. Lines end paragraphs, and so do three quarters of
-the sentence ends, chosen by the hash of the sentence's last word: a passage set into other text is
-cut at the same places as elsewhere, so its inner paragraphs are found whatever surrounds them.
-Paragraphs of fewer than MIN_WORDS words are left alone.
+Windows are cut by their content. Of each CUT_SPAN neighbouring runs of CUT_WORDS words the one with the
+smallest hash makes a cut, whatever the text looks like, and a window goes from each cut to the
+first one at least WINDOW_WORDS words on; windows overlap, and every word of a text of STRETCH_WORDS
+words lies in one. A passage of 3 * CUT_SPAN + WINDOW_WORDS + CUT_WORDS - 3 = 32 words holds a whole
+window that does not depend on what stands around it: at most CUT_SPAN - 1 words before its first cut
+and CUT_SPAN + CUT_WORDS - 2 after its last one are outside such windows. So that whole lines and texts
+have no such rest, further windows go from the start of each line to a cut and from a cut to its end.
+Equal windows are the same text.
+
+A paragraph is a stretch of sentences of one line, for passages that are similar only. Lines end
+paragraphs, and so do three quarters of the sentence ends, chosen by the hash of the sentence's last
+word. Paragraphs of fewer than MIN_WORDS words are compared as windows only.
 
 Equal paragraphs share a key. Of each key BANDS bands of ROWS MinHashes over its 5-word shingles are
 joined: at a similarity of 0.75 a pair meets in a band with probability 1 - (1 - 0.75 ** 2) ** 5 =
@@ -28,12 +36,18 @@ from tablework.llm.shared import components, documents, id_and_text, written
 PERCENT = 75
 MIN_WORDS = 6
 BANDS, ROWS = 5, 2
-STRETCH_WORDS = 20  # neighbouring paragraphs of a document count together; fewer words stay
+CUT_WORDS, CUT_SPAN = 3, 8
+WINDOW_WORDS = 8
+GAP_WORDS = 2 * CUT_SPAN + CUT_WORDS - 1  # one changed word can part equal windows by so many
+STRETCH_WORDS = 20  # neighbours at most GAP_WORDS apart count together; fewer repeated words stay
 PAIRED = 32
 CHUNK = 256
 PLACES = "doc_id long, start long, end long, before long, next long, word long, words long, key long"
 
 _SEEDS = W.mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_WINDOW = np.uint64(0x8EBC6AF09C88C6E3)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_UNBASE = np.uint64(pow(int(_BASE), -1, 2**64))
 _STOP = np.zeros(256, bool)
 _STOP[list(b".!?")] = True
 
@@ -56,6 +70,86 @@ def paragraphs(part: W.Part) -> tuple[W.Words, np.ndarray, np.ndarray]:
     return found, first[long_], last[long_]
 
 
+def _sliding(values: np.ndarray, least) -> np.ndarray:
+    """``least`` (minimum or maximum) of CUT_SPAN neighbours, CUT_SPAN - 1 fewer than values."""
+    size = 1
+    while size < CUT_SPAN:
+        step = min(size, CUT_SPAN - size)
+        values = least(values[:-step], values[step:])
+        size += step
+    return values
+
+
+def cuts(found: W.Words) -> np.ndarray:
+    """Words before which a text is cut: those whose run of CUT_WORDS words has the smallest hash of
+    CUT_SPAN neighbouring runs of a row. Of equal smallest ones all are cuts."""
+    runs = W.mix(W.runs(found.hashes, CUT_WORDS)) | np.uint64(1)
+    if len(runs) < CUT_SPAN:
+        return np.zeros(0, np.int64)
+    low = _sliding(runs, np.minimum)
+    stop = np.repeat(found.rows[1:], np.diff(found.rows))
+    at = np.arange(len(low))
+    low[at + CUT_SPAN + CUT_WORDS - 1 > stop[: len(low)]] = 0
+    none = np.zeros(CUT_SPAN - 1, np.uint64)
+    return np.flatnonzero(_sliding(np.concatenate([none, low, none]), np.maximum) == runs)
+
+
+def windows(part: W.Part) -> tuple[W.Words, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of a part, first and last + 1 word of each window, and the windows' keys."""
+    found = W.words(part)
+    n = len(found.starts)
+    cut = cuts(found)
+    if not len(cut):
+        return found, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    lines = np.append(0, np.cumsum(part.data == 10))
+    edge = np.zeros(n + 1, bool)
+    edge[1:n] = lines[found.ends[:-1]] != lines[found.starts[1:]]
+    edge[found.rows] = True
+    edge = np.flatnonzero(edge)
+    stop = np.repeat(found.rows[1:], np.diff(found.rows))
+    begin = np.union1d(cut, edge[:-1])
+    to = np.append(cut, n)[np.searchsorted(cut, begin + WINDOW_WORDS)]
+    to = np.minimum(to, stop[begin])  # no further cut: to the end of the text
+    back = np.searchsorted(cut, edge[1:] - WINDOW_WORDS, "right") - 1
+    first = np.append(begin, cut[back])
+    last = np.append(to, np.where(back < 0, 0, edge[1:]))
+    good = (last - first >= WINDOW_WORDS) & (last <= stop[first])
+    first, last = np.divmod(np.unique(first[good] * (n + 1) + last[good]), n + 1)
+    sums = np.append(np.uint64(0), np.cumsum(W.mix(found.hashes + _WINDOW) * W.powers(_BASE, n)))
+    keys = (sums[last] - sums[first]) * W.powers(_UNBASE, n)[first]
+    return found, first, last, W.mix(keys + W.mix((last - first).astype(np.uint64))).view(np.int64)
+
+
+def _window_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            for part in W.parts(batch.column("text")):
+                yield pa.RecordBatch.from_arrays([pa.array(windows(part)[3])], ["key"])
+
+
+def _window_places(needed):
+    """Places of windows whose keys the filter lets through."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for part in W.parts(batch.column("text")):
+                    found, first, last, keys = windows(part)
+                    good = set_bits(needed.value, keys & ((1 << BITS) - 1))
+                    yield _place_rows(batch.column("doc_id"), part, found, first[good], last[good], keys[good])
+
+    return rows
+
+
+def repeated_windows(docs: DataFrame) -> DataFrame:
+    """Places of windows that stand at several places. A filter of fixed size keeps most others
+    out of the table; the counts of places decide later."""
+    counts = docs.select("text").mapInArrow(_window_keys, "key long").groupBy("key").count()
+    twice = written(counts.where("count > 1").select("key"), "twice")
+    slots = twice.select(F.expr(f"key & {(1 << BITS) - 1}L").alias("slot"))
+    return docs.mapInArrow(_window_places(filter_bits(docs.sparkSession, slots)), PLACES)
+
+
 def _shingles(found: W.Words, first: np.ndarray, last: np.ndarray):
     """Hashes of the shingles of all paragraphs in a row, where each begins, and the paragraphs'
     keys: hashes of their words in order."""
@@ -249,8 +343,8 @@ def linked_paragraphs(docs: DataFrame) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """Stretches of paragraphs that also stand elsewhere, at least STRETCH_WORDS words long in all,
-    split into removed and kept parts of any length: ``doc_id, start, end`` (code points),
+    """Stretches of paragraphs and windows that also stand elsewhere, at least STRETCH_WORDS words long in all,
+    split into removed and kept rows of any length: ``doc_id, start, end`` (code points),
     ``words``, ``first_doc_id`` (the smallest document in which a paragraph of it stands) and
     ``removed`` (not the first place of a paragraph of it). Null and empty texts and rows without doc_id have none; rows that repeat hold
     the same passages, of which all but one are removed."""
@@ -264,17 +358,32 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         "known",
     )
     found = written(places.join(known, "key").drop("key"), "found")
-    first = found.groupBy("component").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
-    marked = found.join(first.where("n > 1"), "component").select(
-        "doc_id", "start", "end", "before", "next", "word", "words", F.col("first.doc_id").alias("first_doc_id"),
-        ((F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start"))).alias("removed"),
+    same = written(repeated_windows(docs), "windows").withColumnRenamed("key", "component")
+    return stretches(_marked(found).union(_marked(same)))
+
+
+def _marked(found: DataFrame) -> DataFrame:
+    """Places of components that have several, with ``first_doc_id`` and ``removed``. Of a place
+    that overlaps the first one, what the first one holds stays."""
+    place = F.struct("doc_id", "start", "end", "next", (F.col("word") + F.col("words")).alias("to"))
+    first = found.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    both = found.join(first.where("n > 1").drop("n"), "component")
+    removed = (F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start"))
+    over = removed & (F.col("doc_id") == F.col("first.doc_id")) & (F.col("word") < F.col("first.to"))
+    over &= F.col("word") + F.col("words") > F.col("first.to")
+    return both.select(
+        "doc_id",
+        F.when(over, F.col("first.next")).otherwise(F.col("start")).alias("start"), "end",
+        F.when(over, F.col("first.end")).otherwise(F.col("before")).alias("before"), "next",
+        F.when(over, F.col("first.to")).otherwise(F.col("word")).alias("word"),
+        F.when(over, F.col("word") + F.col("words") - F.col("first.to")).otherwise(F.col("words")).alias("words"),
+        F.col("first.doc_id").alias("first_doc_id"), removed.alias("removed"),
     )
-    return stretches(marked)
 
 
 def stretches(marked: DataFrame) -> DataFrame:
-    """Stretches of neighbouring paragraphs, tested for length as a whole and only then split by
-    ``removed``. Words that several paragraphs hold are removed if one of these is."""
+    """Stretches of neighbouring paragraphs and windows, tested for length as a whole and only then
+    split by ``removed`` and at gaps. Words that several of them hold are removed if one of these is."""
     gone = F.col("removed").cast("int")
     begin = F.struct(
         F.col("word").alias("at"), F.col("before").alias("until"), "start", gone.alias("gone"),
@@ -302,7 +411,7 @@ def stretches(marked: DataFrame) -> DataFrame:
     gap = F.col("at") - F.lag("to").over(own)
     turn = (gap > 0) | (F.col("removed") != F.lag("removed").over(own))
     spans = spans.withColumns({
-        "stretch": F.coalesce(gap > 0, F.lit(True)).cast("int"), "turn": F.coalesce(turn, F.lit(True)).cast("int"),
+        "stretch": F.coalesce(gap > GAP_WORDS, F.lit(True)).cast("int"), "turn": F.coalesce(turn, F.lit(True)).cast("int"),
     })
     spans = spans.withColumns({"stretch": F.sum("stretch").over(own), "turn": F.sum("turn").over(own)})
     length = F.sum(F.col("to") - F.col("at")).over(Window.partitionBy("doc_id", "stretch"))

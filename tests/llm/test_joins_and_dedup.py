@@ -270,6 +270,82 @@ def test_length_of_a_passage_is_tested_before_it_is_split(spark):
     assert found[2, False] == one and found[2, True] == two and found[3, True] == both
 
 
+def shared_words(rows, size=50):
+    """Per document the words in runs of ``size`` words that stand at several places."""
+    places = defaultdict(list)
+    for doc_id, value in rows:
+        words = value.translate(LOWER).split()
+        for i in range(len(words) - size + 1):
+            places[tuple(words[i : i + size])].append((doc_id, i))
+    found = defaultdict(set)
+    for several in places.values():
+        for doc_id, i in several if len(several) > 1 else ():
+            found[doc_id].update(range(i, i + size))
+    return found
+
+
+def row_words(rows, found):
+    """Per document the words in rows of the result."""
+    words = defaultdict(set)
+    for r in found:
+        value = dict(rows)[r.doc_id]
+        first = len(value[: r.start].split())
+        assert len(value[r.start : r.end].split()) == r.words
+        words[r.doc_id].update(range(first, first + r.words))
+    return words
+
+
+def inner(words):
+    """Words less those that may lie beside the outermost cuts of a passage."""
+    before, after = paragraph_dedup.CUT_SPAN - 1, paragraph_dedup.CUT_SPAN + paragraph_dedup.CUT_WORDS - 2
+    return {w for w in words if all(w + d in words for d in range(-before, after + 1))}
+
+
+def short(rng, n, ends):
+    """n words in lines or sentences of 1-5 words."""
+    made = []
+    while n > 0:
+        k = min(n, rng.randint(1, 5))
+        made.append(sentence(rng, k)[:-1] + rng.choice(ends))
+        n -= k
+    return "".join(made)
+
+
+def set_in(rng, passages, ends):
+    rows = []
+    for i in range(24):
+        own = short(rng, 40, ends).strip() if i % 2 else text(rng, 2)
+        words = own.split(" ")
+        words.insert(rng.randrange(len(words) + 1), passages[i % len(passages)] if i < 16 else "")
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def whole_result(spark, rows):
+    found = paragraph_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    found, expected = found.collect(), shared_words(rows)
+    words = row_words(rows, found)
+    for doc_id, value in rows:
+        assert inner(expected[doc_id]) <= words[doc_id]
+        # Similar paragraphs may add a few words beside a passage.
+        assert len(words[doc_id] - shared_words(rows, 6)[doc_id]) <= 5
+    return found, expected
+
+
+def test_paragraph_dedup_of_short_lines_and_sentences(spark):
+    """Verse, short sentences, alternating lengths, repeated words, against brute force."""
+    rng = random.Random(8)
+    mixed = " ".join(sentence(rng, 4 if i % 2 else 12) for i in range(8))
+    passages = [short(rng, 60, ["\n"]), short(rng, 60, [". ", "! "]), mixed, short(rng, 70, ["\n", ", ", "? "])]
+    rows = set_in(rng, [p.strip() for p in passages], ["\n", ". "])
+    verse = short(rng, 40, ["\n"]).strip()
+    rows += [(30, verse), (31, verse), (32, "word!! " * 60)]
+    found, expected = whole_result(spark, rows)
+    assert set(range(16)) | {32} <= {i for i, words in expected.items() if words}
+    assert [(r.start, r.end) for r in found if r.doc_id == 31 and r.removed] == [(0, len(verse))]
+    assert {(r.words, r.removed) for r in found if r.doc_id == 32} == {(8, False), (52, True)}
+
+
 def test_paragraph_dedup_of_nothing(nothing):
     assert paragraph_dedup.repeated_passages(nothing).count() == 0
     assert SCHEMA.startswith("doc_id")
