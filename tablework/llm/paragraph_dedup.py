@@ -1,13 +1,13 @@
 """Substring dedup by windows of words and by paragraph MinHash banding.
 
 Windows are cut by their content. Of each CUT_SPAN neighbouring runs of CUT_WORDS words the one with the
-smallest hash makes a cut, whatever the text looks like, and a window goes from each cut to the
-first one at least WINDOW_WORDS words on; windows overlap, and every word of a text of STRETCH_WORDS
-words lies in one. A passage of 3 * CUT_SPAN + WINDOW_WORDS + CUT_WORDS - 3 = 32 words holds a whole
-window that does not depend on what stands around it: at most CUT_SPAN - 1 words before its first cut
-and CUT_SPAN + CUT_WORDS - 2 after its last one are outside such windows. So that whole lines and texts
-have no such rest, further windows go from the start of each line to a cut and from a cut to its end.
-Equal windows are the same text.
+smallest hash makes a cut, whatever the text looks like. A window goes from each cut to the first one
+at least WINDOW_WORDS words on, and to each cut from the last one so far before it; windows overlap, and
+every word of a text of STRETCH_WORDS words lies in one. A passage of 3 * CUT_SPAN + WINDOW_WORDS +
+CUT_WORDS - 3 = 32 words holds a whole window that does not depend on what stands around it: at most
+CUT_SPAN - 1 words before its first cut and CUT_SPAN + CUT_WORDS - 1 after its last one are outside
+such windows. So that whole lines and texts have no such rest, further windows go from the start of each
+line to a cut and from a cut to its end. Equal windows are the same text.
 
 A paragraph is a stretch of sentences of one line, for passages that are similar only. Lines end
 paragraphs, and so do three quarters of the sentence ends, chosen by the hash of the sentence's last
@@ -110,9 +110,10 @@ def windows(part: W.Part) -> tuple[W.Words, np.ndarray, np.ndarray, np.ndarray]:
     begin = np.union1d(cut, edge[:-1])
     to = np.append(cut, n)[np.searchsorted(cut, begin + WINDOW_WORDS)]
     to = np.minimum(to, stop[begin])  # no further cut: to the end of the text
-    back = np.searchsorted(cut, edge[1:] - WINDOW_WORDS, "right") - 1
+    end = np.union1d(cut, edge[1:])
+    back = np.searchsorted(cut, end - WINDOW_WORDS, "right") - 1
     first = np.append(begin, cut[back])
-    last = np.append(to, np.where(back < 0, 0, edge[1:]))
+    last = np.append(to, np.where(back < 0, 0, end))
     good = (last - first >= WINDOW_WORDS) & (last <= stop[first])
     first, last = np.divmod(np.unique(first[good] * (n + 1) + last[good]), n + 1)
     sums = np.append(np.uint64(0), np.cumsum(W.mix(found.hashes + _WINDOW) * W.powers(_BASE, n)))

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablework.llm import decontaminate, jaccard_join, line_dedup, paragraph_dedup
+from tablework.llm import words as W
 from tests.llm.conftest import SCHEMA, item_texts, sentence, text
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -297,7 +298,7 @@ def row_words(rows, found):
 
 def inner(words):
     """Words less those that may lie beside the outermost cuts of a passage."""
-    before, after = paragraph_dedup.CUT_SPAN - 1, paragraph_dedup.CUT_SPAN + paragraph_dedup.CUT_WORDS - 2
+    before, after = paragraph_dedup.CUT_SPAN - 1, paragraph_dedup.CUT_SPAN + paragraph_dedup.CUT_WORDS - 1
     return {w for w in words if all(w + d in words for d in range(-before, after + 1))}
 
 
@@ -346,6 +347,33 @@ def test_paragraph_dedup_of_short_lines_and_sentences(spark):
     assert {(r.words, r.removed) for r in found if r.doc_id == 32} == {(8, False), (52, True)}
 
 
+def test_paragraph_dedup_of_long_sentences_and_text_without_stops(spark):
+    """Cuts depend neither on punctuation nor on what stands around a passage."""
+    rng = random.Random(12)
+    plain = sentence(rng, 55)[:-1].lower()
+    listed = "; ".join(sentence(rng, 11)[:-1] for _ in range(5))
+    quoted = " ".join(sentence(rng, 28)[:-1] + end for end in ('."', ".)"))
+    full_width = " ".join(sentence(rng, 20)[:-1] + "\u3002" for _ in range(3))
+    rows = set_in(rng, [plain, listed, quoted, full_width], [" ", "; "])
+    _, expected = whole_result(spark, rows)
+    assert {i for i, words in expected.items() if len(words) >= 50} == set(range(16))
+
+
+def test_cuts_within_a_passage_do_not_depend_on_its_surroundings():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(13)
+    for size in (32, 50, 80):
+        for _ in range(20):
+            own, keys = sentence(rng, size), []
+            for n in (0, 25, 40):
+                (part,) = W.parts(pa.array([f"{sentence(rng, n)} {own} {sentence(rng, n + 9)}"]))
+                with np.errstate(over="ignore"):
+                    keys.append(set(paragraph_dedup.windows(part)[3].tolist()))
+            assert set.intersection(*keys)
+
+
 def test_paragraph_dedup_of_nothing(nothing):
     assert paragraph_dedup.repeated_passages(nothing).count() == 0
     assert SCHEMA.startswith("doc_id")
