@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tablework.llm import (
     decontaminate,
+    filter_audit,
     jaccard_join,
     language,
     line_dedup,
@@ -28,6 +29,10 @@ QUERIES = {
         quality_rules.op8_quality_rules,
         paragraph_dedup.op9_substring_dedup,
         jaccard_join.op10_ngram_jaccard_join,
+        filter_audit.op13_filter_interaction_audit,
     )
 }
-SQL = {"op3_line_dedup": line_dedup.SQL}
+SQL = {
+    "op3_line_dedup": line_dedup.SQL,
+    "op13_filter_interaction_audit": filter_audit.SQL,
+}
