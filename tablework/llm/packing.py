@@ -3,8 +3,8 @@
 Every document becomes token ids, ends in an id of its own and is cut only where it is longer than a
 sequence. Pieces go, largest first, into the open sequence with the least room that still holds
 them; a segment tree over room sizes finds it in logarithmic time. Pieces are dealt by hash into
-groups of about GROUP_TOKENS tokens that are packed independently: each group can leave one badly
-filled sequence, about one in a thousand.
+groups of about GROUP_TOKENS tokens, or GROUP_PIECES pieces where these are short, that are packed
+independently: each group can leave one badly filled sequence, about one in a thousand.
 
 Only ids, lengths and checksums of pieces are shuffled, never text or tokens.
 """
@@ -19,63 +19,46 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from tablework.llm.shared import documents, id_and_text, written
+from tablework.llm.token_ids import token_ids
+from tablework.llm.words import parts
 
 SEQUENCE = 4096
 END = 1
 GROUP_TOKENS = 4 << 20
-CACHED_WORDS = 1_000_000  # words whose ids a task keeps; the store starts anew when it is full
+GROUP_PIECES = 200_000
 VOCABULARY = "word_bpe_49k.json"
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PLACED = f"{PIECES}, sequence_id long, offset long"
-
-
-class WordIds:
-    """Ids of texts under a vocabulary that never merges over white space, word by word: a word
-    that has been seen costs one look-up."""
-
-    def __init__(self, path: str):
-        self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[bytes, bytes] = {}
-
-    def of(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers. New words of all texts are
-        looked up together."""
-        known, split = self._known, [t.split() for t in texts]
-        new = {w for words in split for w in words if w not in known}
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = {w for words in split for w in words}
-        ordered = list(new)
-        for low in range(0, len(ordered), 8192):
-            some = ordered[low : low + 8192]
-            found = self._tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            for word, x in zip(some, found):
-                known[word] = np.array(x.ids, "<u4").tobytes()
-        return [b"".join([known[w] for w in words]) for words in split]
+PIECES = "doc_id long, place long, piece int, start long, length long, ids_crc32 long"
+PLACED = (
+    "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+)
 
 
 def _pieces(path: str, sequence: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = WordIds(path).of
-        end = np.array([END], "<u4").tobytes()
+        store, end = token_ids(path), np.array([END], "<u4").tobytes()
         for batch in batches:
-            rows: list[tuple] = []
-            texts = [x.as_buffer().to_pybytes() for x in batch.column("text")]
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), ids_of(texts)):
-                ids += end
-                for piece, at in enumerate(range(0, len(ids), 4 * sequence)):
-                    part = ids[at : at + 4 * sequence]
-                    rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-            columns = list(zip(*rows)) or [()] * 5
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)],
-                ["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+            doc_ids, places = batch.column("doc_id").to_pylist(), batch.column("place").to_pylist()
+            for part in parts(batch.column("text")):
+                found, rows = store.of(part)
+                raw = memoryview(found.astype("<u4")).cast("B")
+                made: list[tuple] = []
+                for i in range(len(part)):
+                    own, n = raw[4 * rows[i] : 4 * rows[i + 1]], int(rows[i + 1] - rows[i]) + 1
+                    at = part.first + i
+                    for piece, start in enumerate(range(0, n, sequence)):
+                        crc = zlib.crc32(own[4 * start : 4 * (start + sequence)])
+                        length = min(sequence, n - start)
+                        if start + length == n:
+                            crc = zlib.crc32(end, crc)
+                        made.append((doc_ids[at], places[at], piece, start, length, crc))
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*made), kinds)],
+                    ["doc_id", "place", "piece", "start", "length", "ids_crc32"],
+                )
 
     return cut
 
@@ -124,11 +107,12 @@ def best_fit(lengths: np.ndarray, sequence: int) -> tuple[list[int], list[int]]:
 
 def _packed(groups: int, sequence: int):
     def pack(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
+        ties = [(name, "ascending") for name in ("doc_id", "place", "piece")]
+        table = table.sort_by([("length", "descending"), *ties])
         numbers, offsets = best_fit(table.column("length").to_numpy(), sequence)
         first = table.column("bin")[0].as_py()
         ids = np.array(numbers, np.int64) * groups + first
-        return table.drop_columns(["bin"]).append_column("sequence_id", pa.array(ids)).append_column(
+        return table.drop_columns(["bin", "place"]).append_column("sequence_id", pa.array(ids)).append_column(
             "offset", pa.array(offsets, pa.int64())
         )
 
@@ -140,10 +124,13 @@ def packed(docs: DataFrame, path: str | None = None, sequence: int = SEQUENCE) -
     sequence, with a checksum of its ids. A null or empty text is the end id alone; rows that repeat
     are packed each; a missing doc_id stays missing. No documents, no sequences."""
     path = path or public_tokenizers.path(VOCABULARY)
-    pieces = written(id_and_text(docs).mapInArrow(_pieces(path, sequence), PIECES), "pieces")
-    total = pieces.agg(F.sum("length")).first()[0] or 0
-    groups = max(1, -(-total // GROUP_TOKENS))
-    dealt = pieces.withColumn("bin", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
+    # A number of its own for each row, kept with its pieces: rows without or with the same doc_id
+    # are dealt to all groups.
+    rows = id_and_text(docs).withColumn("place", F.monotonically_increasing_id())
+    pieces = written(rows.mapInArrow(_pieces(path, sequence), PIECES), "pieces")
+    total, count = pieces.agg(F.sum("length"), F.count("*")).first()
+    groups = max(1, -(-(total or 0) // GROUP_TOKENS), -(-count // GROUP_PIECES))
+    dealt = pieces.withColumn("bin", F.pmod(F.xxhash64("place", "piece"), F.lit(groups)))
     return dealt.groupBy("bin").applyInArrow(_packed(groups, sequence), PLACED)
 
 

@@ -24,7 +24,7 @@ ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 TEXTS_PER_BATCH = 1000  # long rows: a batch is held several times on its way to Python and back
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """The same rows read back from a table in the shared folder. It cuts the lineage: a lost
     executor costs reading them again and not computing them again."""
     spark = df.sparkSession
@@ -32,7 +32,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     rows = spark.conf.get(ARROW_ROWS)
     spark.conf.set(ARROW_ROWS, str(min(int(rows), TEXTS_PER_BATCH)))
     try:
-        df.write.parquet(path)
+        df.write.option("compression", codec).parquet(path)
     finally:
         spark.conf.set(ARROW_ROWS, rows)
     return spark.read.schema(df.schema).parquet(path)

@@ -103,12 +103,17 @@ class Words:
         return np.repeat(np.arange(len(self.rows) - 1), np.diff(self.rows))
 
 
-def words(part: Part, fold: bool = True, gaps: np.ndarray = SPACE) -> Words:
-    """The words of a part; ``gaps`` marks the bytes between words."""
+def words(
+    part: Part, fold: bool = True, gaps: np.ndarray = SPACE, cuts: np.ndarray | None = None
+) -> Words:
+    """The words of a part; ``gaps`` marks the bytes between words, ``cuts`` the places of a part
+    where a word ends and the next one begins at once."""
     table = _FOLDED if fold else _EXACT
     data, size = part.data, len(part.data)
     edge = np.zeros(size + 1, bool)
     edge[part.offsets] = True
+    if cuts is not None:
+        edge[:size] |= cuts
     solid = ~gaps[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1] | edge[1:size]
