@@ -13,6 +13,7 @@ from tablework.llm import (
     quality_model,
     quality_rules,
     secrets,
+    token_files,
     toxicity,
 )
 
@@ -29,6 +30,7 @@ QUERIES = {
         quality_rules.op8_quality_rules,
         paragraph_dedup.op9_substring_dedup,
         jaccard_join.op10_ngram_jaccard_join,
+        token_files.op12_token_id_output,
         filter_audit.op13_filter_interaction_audit,
     )
 }
