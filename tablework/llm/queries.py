@@ -7,6 +7,7 @@ from tablework.llm import (
     filter_audit,
     jaccard_join,
     language,
+    lexical,
     line_dedup,
     packing,
     paragraph_dedup,
@@ -30,11 +31,13 @@ QUERIES = {
         quality_rules.op8_quality_rules,
         paragraph_dedup.op9_substring_dedup,
         jaccard_join.op10_ngram_jaccard_join,
+        lexical.op11_ranked_lexical_search,
         token_files.op12_token_id_output,
         filter_audit.op13_filter_interaction_audit,
     )
 }
 SQL = {
     "op3_line_dedup": line_dedup.SQL,
+    "op11_ranked_lexical_search": lexical.SQL,
     "op13_filter_interaction_audit": filter_audit.SQL,
 }
