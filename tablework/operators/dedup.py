@@ -8,19 +8,18 @@ A row is kept unless an earlier kept row of its group lies closer than ``distanc
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tablework.storage import fresh_path
 
-# Rows of one group that one task looks at in a round. Spark cuts a row_number filter on the map
-# side up to this limit (spark.sql.optimizer.windowGroupLimitThreshold).
+# Different values of a group that are collected into one array; larger groups are cut into blocks.
 HEAD_ROWS = 1000
-# Different values of one group that one task decides in one step, some 50 bytes each.
-TASK_ROWS = 1_000_000
+# Different values of a block, about. A block is streamed, so this bounds time and not memory.
+BLOCK_ROWS = 1_000_000
 LAST_CELL = 2.0**61
 
 
@@ -33,7 +32,7 @@ def greedy_dedup(
     distance: float,
     method: str = "native",
     head_rows: int = HEAD_ROWS,
-    task_rows: int = TASK_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Kept rows of both tables. ``order`` must be unique within a table. No row is closer than
     ``distance`` to one whose value is NULL, NaN or infinite, so all of those are kept, and all rows
@@ -42,15 +41,13 @@ def greedy_dedup(
     1. Of equal values in a group only the first row can be kept, so they are combined by key and
        value before the shuffle. Copies never meet in one task.
     2. What is decided on are triples of key, value and place; whole rows are joined at the end.
-       Groups of up to ``head_rows`` values are decided by array functions, groups of up to
-       ``task_rows`` by one task each, in one step.
-    3. If a group is larger, each round decides its first ``head_rows`` rows exactly, and all rows
-       that come first within reach of their value (found by aggregates over cells of the value
-       axis, not by group). What lies close to a kept row is then dropped by an equi-join on cells,
-       and the rest goes to the next round.
-
-    ``method`` is how a bounded head is decided: ``native`` array functions, or ``cogroup`` with a
-    Python function over the two grouped sides.
+       Groups of up to ``head_rows`` values are decided by ``method``: ``native`` array functions, or
+       ``cogroup`` with a Python function over the two grouped sides.
+    3. Larger groups are cut along the value axis into blocks of about ``block_rows`` values, each
+       with what lies within reach of its ends. A task streams a block in the order of places and
+       decides all that depends on nothing outside; the few values that do go to the next round, in
+       which the blocks begin elsewhere. Where places rise with the values all the way, a round
+       decides one block of a group: then there are as many rounds as blocks.
     """
     names = left.columns
     if "side" in names:
@@ -78,15 +75,15 @@ def greedy_dedup(
         )
     )
     pool = _saved(firsts, "dedup-pool")
-    largest = pool.groupBy("k").count().agg(F.max("count")).first()[0] or 0
-    if largest <= head_rows:
-        decide = _decide_cogrouped if method == "cogroup" else _decide_native
+    decide = _decide_cogrouped if method == "cogroup" else _decide_native
+    counts = pool.groupBy("k").count().where(F.col("count") > head_rows)
+    large = _saved(counts.select("k"), "dedup-large")
+    if large.isEmpty():
         kept = decide(pool, distance)
-    elif largest <= task_rows:
-        kept = _decide_cogrouped(pool, distance)
     else:
-        decide = _decide_cogrouped if method == "cogroup" else _decide_native
-        kept = _decide_in_rounds(pool, distance, decide, head_rows)
+        few = decide(_matching(pool, large, "left_anti", ["k"]), distance)
+        many = _decide_in_blocks(_matching(pool, large, "left_semi", ["k"]), distance, block_rows)
+        kept = few.select("k", "v", "place").union(many)
     chosen = kept.select("k", "place.side", "place.ordinal")
     same = (
         F.col(f"s.{key}").eqNullSafe(F.col("c.k"))
@@ -162,49 +159,94 @@ def _take(kept: list[float], one: float, distance: float) -> bool:
     return True
 
 
-def _decide_in_rounds(pool: DataFrame, distance: float, decide, head_rows: int) -> DataFrame:
-    spark = pool.sparkSession
-    pool = pool.withColumn("cell", _cell("v", distance))
-    by_place = Window.partitionBy("k").orderBy("place")
-    rounds: list[str] = []
+def _decide_in_blocks(pool: DataFrame, distance: float, block_rows: int) -> DataFrame:
+    """Rounds over blocks of the value axis, until nothing is open.
+
+    A round sees the open values and those that the last round kept; what a kept value reaches is
+    then gone. A block begins at the first open cell of its group and is as many cells long as keep
+    its fullest cells within ``block_rows``. Its own values have all that is within reach in view,
+    because the cells next to its ends are copied to it."""
+    rounds: list[DataFrame] = []
+    seen = _saved(pool.select("k", "v", "place", F.lit(False).alias("kept")), "dedup-open")
     while True:
-        heads = (
-            pool.withColumn("position", F.row_number().over(by_place))
-            .where(F.col("position") <= head_rows)
-            .drop("position")
+        celled = seen.withColumn("cell", _cell("v", distance))
+        cells = celled.where("NOT kept").groupBy("k", "cell").count()
+        spans = cells.groupBy("k").agg(
+            F.min("cell").alias("base"),
+            F.greatest(F.lit(1), F.expr(f"{block_rows} div max(count)")).alias("length"),
         )
-        decided = decide(heads, distance)
-        early = _matching(_first_within_reach(pool), decided, "left_anti", ["k", "v"])
-        rounds.append(fresh_path(spark, "dedup-kept"))
-        columns = ["k", "v", "place"]
-        decided.select(*columns).union(early.select(*columns)).write.parquet(rounds[-1])
-        open_path = fresh_path(spark, "dedup-open")
-        _out_of_reach(pool, spark.read.parquet(rounds[-1]), distance).write.parquet(open_path)
-        pool = spark.read.schema(pool.schema).parquet(open_path)
-        if pool.isEmpty():
-            return spark.read.parquet(*rounds)
-
-
-def _first_within_reach(pool: DataFrame) -> DataFrame:
-    """Rows that come before every other row of their own and the neighbouring cells."""
-    firsts = pool.groupBy("k", "cell").agg(F.min("place").alias("place"))
-    around = (
-        firsts.select("k", F.explode(_cells_around(F.col("cell"))).alias("cell"), "place")
-        .groupBy("k", "cell")
-        .agg(F.min("place").alias("place"))
-    )
-    return _matching(pool, around, "left_semi", ["k", "cell", "place"])
-
-
-def _out_of_reach(pool: DataFrame, kept: DataFrame, distance: float) -> DataFrame:
-    reach = kept.select("k", "v", F.explode(_cells_around(_cell("v", distance))).alias("cell"))
-    decided = F.col("p.v").eqNullSafe(F.col("n.v"))
-    close = (
-        F.col("p.k").eqNullSafe(F.col("n.k"))
-        & (F.col("p.cell") == F.col("n.cell"))
-        & (decided | (F.abs(F.col("p.v") - F.col("n.v")) < distance))
-    )
-    return pool.alias("p").join(reach.alias("n"), close, "left_anti")
+        spans = _saved(spans, "dedup-spans")
+        if spans.isEmpty():
+            return _union(rounds)
+        at = F.col("cell") - F.col("base")
+        block, place_in = F.expr("(cell - base) div length"), F.pmod(at, F.col("length"))
+        blocks = F.array_compact(
+            F.array(
+                block,
+                F.when(place_in == 0, block - 1),
+                F.when(place_in == F.col("length") - 1, block + 1),
+            )
+        )
+        same = F.col("r.k").eqNullSafe(F.col("s.k"))
+        placed = celled.alias("r").join(spans.alias("s"), same).where(at >= -1)
+        placed = placed.select(
+            F.col("r.k").alias("k"), "v", "place", "kept", "cell",
+            F.floor(at / F.col("length")).alias("home"), F.explode(blocks).alias("block"),
+        )
+        placed = placed.withColumn("own", F.col("home") == F.col("block"))
+        dealt = placed.repartition("k", "block").sortWithinPartitions("k", "block", "place")
+        columns = ["k", "v", "place", "kept"]
+        decided = dealt.select(*columns, "cell", "block", "own").mapInArrow(
+            _block_decider(distance), seen.schema
+        )
+        seen = _saved(decided, "dedup-open")
+        rounds.append(seen.where("kept").select("k", "v", "place"))
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    whole = frames[0]
+    for frame in frames[1:]:
+        whole = whole.union(frame)
+    return whole
+
+
+def _block_decider(distance: float):
+    """Streams blocks in the order of places. Of each block it remembers kept values by cell, three
+    a cell at most, and the cells with an open value. A value is open if it is not the block's own,
+    so that it may depend on values out of view, or if an earlier open value may reach it."""
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, kept, open_ = None, {}, set()
+        for batch in batches:
+            keys, values, before, cells, blocks, own = (
+                batch.column(c).to_pylist() for c in ("k", "v", "kept", "cell", "block", "own")
+            )
+            stay, marks = [], []
+            for i, cell in enumerate(cells):
+                block = (blocks[i], keys[i] if keys[i] == keys[i] else "NaN")
+                if block != now:
+                    now, kept, open_ = block, {}, set()
+                around = (cell - 1, cell, cell + 1)
+                v = values[i]
+                if before[i]:
+                    kept.setdefault(cell, []).append(v)
+                elif any(abs(v - other) < distance for c in around for other in kept.get(c, ())):
+                    continue
+                elif not own[i] or not open_.isdisjoint(around):
+                    open_.add(cell)
+                    if own[i]:
+                        stay.append(i)
+                        marks.append(False)
+                else:
+                    kept.setdefault(cell, []).append(v)
+                    stay.append(i)
+                    marks.append(True)
+            rows = batch.select(["k", "v", "place"]).take(pa.array(stay, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, pa.array(marks, pa.bool_())], ["k", "v", "place", "kept"]
+            )
+
+    return decide
 
 
 def _cell(value: str, distance: float) -> Column:
@@ -214,10 +256,6 @@ def _cell(value: str, distance: float) -> Column:
     return F.floor(F.greatest(F.least(cells, F.lit(LAST_CELL)), F.lit(-LAST_CELL)))
 
 
-def _cells_around(cell: Column) -> Column:
-    return F.array(cell - 1, cell, cell + 1)
-
-
 def _matching(rows: DataFrame, chosen: DataFrame, how: str, columns: list[str]) -> DataFrame:
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in columns]
     return rows.alias("r").join(chosen.alias("c"), same, how)

@@ -1,9 +1,11 @@
+import bisect
 import math
 import random
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tablework.operators.dedup import greedy_dedup
 from tablework.plans.explain import plan_text
@@ -27,7 +29,7 @@ def expected(left, right, distance=5.0):
 def actual(spark, left, right, **options):
     frames = [spark.createDataFrame(rows, COLUMNS) for rows in (left, right)]
     if options.get("head_rows", 1000) < 1000:
-        options.setdefault("task_rows", options["head_rows"])  # in rounds
+        options.setdefault("block_rows", 2 * options["head_rows"])
     kept = greedy_dedup(*frames, "name", "age", "seq", 5.0, **options)
     return sorted([(r.name, r.note, r.age, r.seq, r.side) for r in kept.collect()], key=repr)
 
@@ -82,19 +84,68 @@ def test_a_distance_of_nothing_keeps_all(spark):
     assert greedy_dedup(*frames, "name", "age", "seq", 0.0).count() == 2
 
 
-def test_a_hot_key_of_dense_rising_values_is_decided_at_once(spark):
-    n = 100_000
-    values = spark.range(n).selectExpr(
+def rising(spark, n):
+    return spark.range(n).selectExpr(
         "'hot' AS name", "CAST(id AS INT) AS note", "id * 0.01D AS age", "id AS seq"
     )
-    kept = greedy_dedup(values, values.limit(0), "name", "age", "seq", 5.0)
-    expected_ages, last = [], None
+
+
+def rising_by_hand(n):
+    kept, last = [], None
     for i in range(n):
         age = i * 0.01
         if last is None or not abs(last - age) < 5.0:
-            expected_ages.append(age)
+            kept.append(age)
             last = age
-    assert sorted(r.age for r in kept.select("age").collect()) == expected_ages
+    return kept
+
+
+def test_a_hot_key_of_dense_rising_values(spark):
+    """The worst order: each value depends on the one before. One block a round, few jobs, and no
+    task that sees the whole group."""
+    n = 3_000_000
+    values = rising(spark, n)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("rising", "rising")
+    try:
+        kept = greedy_dedup(values, values.limit(0), "name", "age", "seq", 5.0)
+        ages = sorted(r.age for r in kept.select("age").collect())
+        jobs = len(tracker.getJobIdsForGroup("rising"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert ages == rising_by_hand(n)
+    assert jobs <= 40
+
+
+@pytest.mark.parametrize("order", ["id", "-id", "xxhash64(id)", "id div 7 * 7 + pmod(-id, 7)"])
+def test_blocks_of_any_order(spark, order):
+    n = 20_000
+    values = rising(spark, n).withColumn("seq", F.expr(order.replace("id", "note")))
+    values = values.withColumn("age", F.expr("age * 3"))
+    kept = greedy_dedup(values, values.limit(0), "name", "age", "seq", 5.0, head_rows=10, block_rows=3000)
+    places = {r.seq: r.age for r in values.select("seq", "age").collect()}
+    by_hand: list[float] = []
+    for _, age in sorted(places.items()):
+        at = bisect.bisect_left(by_hand, age)
+        if all(abs(age - x) >= 5.0 for x in by_hand[max(0, at - 1) : at + 1]):
+            by_hand.insert(at, age)
+    assert sorted(r.age for r in kept.select("age").collect()) == by_hand
+
+
+def test_small_groups_beside_a_large_one_and_nan_keys(spark):
+    rng = random.Random(3)
+    rows = [(float("nan") if i % 3 == 0 else float(i % 5), i, rng.uniform(0, 300), i) for i in range(900)]
+    frame = spark.createDataFrame(rows, "name double, note int, age double, seq bigint")
+    kept = greedy_dedup(frame, frame.limit(0), "name", "age", "seq", 5.0, head_rows=150, block_rows=40)
+    by_name = {}
+    for name, note, age, _ in rows:
+        own = by_name.setdefault(repr(name), [])
+        if all(abs(age - x) >= 5.0 for x in own):
+            own.append(age)
+    found = {}
+    for r in kept.collect():
+        found.setdefault(repr(r.name), []).append(r.age)
+    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in by_name.items()}
 
 
 @settings(max_examples=8, deadline=None)
