@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 # Lower bounds of the delay bands (exclusive), the label of zero, and of the rest.
 DELAY_BANDS = (
@@ -25,19 +25,61 @@ RATE_BELOW = 0.50
 
 
 def conform(df: DataFrame, schema: StructType, dirty: str = "raise") -> DataFrame:
-    """Bind rows to a record type by column name: its columns, in its order, with its types.
+    """Bind rows to a record type by name: its columns, in its order, with its types. Fields of
+    structs, also of those in arrays and maps, are bound by name in the same way.
 
-    A missing column is an error. A value that does not cast is an error too, or NULL with
-    ``dirty="null"``.
+    A missing column or field is an error, and so is a struct where none is expected or the other way
+    round. A value that does not cast is an error too, or NULL with ``dirty="null"``. A NULL struct,
+    array or map stays NULL.
     """
     missing = [name for name in schema.fieldNames() if name not in df.columns]
     if missing:
         raise ValueError(f"columns missing for the record type: {missing}")
     return df.select(
-        [_cast(F.col(f.name), f.dataType, dirty).alias(f.name) for f in schema.fields]
+        [
+            bound(F.col(f"`{f.name}`"), df.schema[f.name].dataType, f.dataType, f.name, dirty).alias(f.name)
+            for f in schema.fields
+        ]
     )
 
 
+def bound(column: Column, have: DataType, want: DataType, path: str, dirty: str = "raise") -> Column:
+    """A column of type ``have`` as ``want``, fields of structs matched by name."""
+    if not _holds_struct(have) and not _holds_struct(want):
+        return _cast(column, want, dirty)
+    if type(have) is not type(want):
+        raise ValueError(f"{path} is {have.simpleString()}, the record type has {want.simpleString()}")
+    if isinstance(want, ArrayType):
+        return F.transform(
+            column, lambda x: bound(x, have.elementType, want.elementType, f"{path}[]", dirty)
+        )
+    if isinstance(want, MapType):
+        pairs = F.transform(
+            F.map_entries(column),
+            lambda x: F.struct(
+                bound(x["key"], have.keyType, want.keyType, f"{path}.key", dirty),
+                bound(x["value"], have.valueType, want.valueType, f"{path}.value", dirty),
+            ),
+        )
+        return F.map_from_entries(pairs)
+    missing = [name for name in want.fieldNames() if name not in have.fieldNames()]
+    if missing:
+        raise ValueError(f"fields of {path} missing for the record type: {missing}")
+    fields = [
+        bound(column.getField(f.name), have[f.name].dataType, f.dataType, f"{path}.{f.name}", dirty).alias(f.name)
+        for f in want.fields
+    ]
+    return F.when(column.isNotNull(), F.struct(*fields))
+
+
+def _holds_struct(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _holds_struct(kind.elementType)
+    if isinstance(kind, MapType):
+        return _holds_struct(kind.keyType) or _holds_struct(kind.valueType)
+    return isinstance(kind, StructType)
+
+
 def recast(df: DataFrame, types: Mapping[str, str], dirty: str = "raise") -> DataFrame:
     """Replace columns by their casts."""
     return df.withColumns({name: _cast(F.col(name), kind, dirty) for name, kind in types.items()})

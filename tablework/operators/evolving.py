@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
 LOAD = "load_name"
 BATCH = "load_batch"
@@ -43,33 +43,56 @@ def append_enforced(df: DataFrame, path: str, schema: StructType | None = None)
 
 
 def append_evolving(df: DataFrame, path: str, schema: StructType | None = None) -> None:
-    """Append rows that may bring new columns. A changed type is still refused."""
+    """Append rows that may bring new columns, and new fields inside structs, also of those in arrays
+    and maps. In older rows they are NULL. A changed type is still refused, at any depth."""
     known = schema or current(df.sparkSession, path).schema
     _fitting(df, known, more=True).write.mode("append").parquet(path)
 
 
+def merged_type(known: DataType, new: DataType, more: bool, path: str = "") -> DataType:
+    """``new`` under the field names of ``known``, which Spark reads without regard to case.
+
+    Changed types are refused and, unless ``more`` are allowed, new fields. Fields may be missing.
+    Whether a field, element or value may be NULL is no part of a type: files hold it, tables do not
+    enforce it."""
+    if isinstance(known, StructType) and isinstance(new, StructType):
+        table = {f.name.lower(): f for f in known.fields}
+        names = [f.name.lower() for f in new.fields]
+        where = f" of {path}" if path else ""
+        if len(set(names)) < len(names):
+            raise SchemaMismatch(f"columns{where} that differ in case only: {new.fieldNames()}")
+        extra = [f.name for f in new.fields if f.name.lower() not in table]
+        if extra and not more:
+            raise SchemaMismatch(f"columns{where} not in the table: {extra}")
+        fields = []
+        for f in new.fields:
+            own = table.get(f.name.lower(), f)
+            inner = f"{path}.{own.name}" if path else own.name
+            fields.append(StructField(own.name, merged_type(own.dataType, f.dataType, more, inner)))
+        return StructType(fields)
+    if isinstance(known, ArrayType) and isinstance(new, ArrayType):
+        return ArrayType(merged_type(known.elementType, new.elementType, more, f"{path}[]"))
+    if isinstance(known, MapType) and isinstance(new, MapType):
+        key = merged_type(known.keyType, new.keyType, more, f"{path}.key")
+        return MapType(key, merged_type(known.valueType, new.valueType, more, f"{path}.value"))
+    if known.simpleString() != new.simpleString():
+        raise SchemaMismatch(
+            f"types differ from the table: {path}: {known.simpleString()} -> {new.simpleString()}"
+        )
+    return new
+
+
 def _fitting(df: DataFrame, known: StructType, more: bool = False) -> DataFrame:
-    """The rows under the table's column names, which Spark reads without regard to case. Changed
-    types are refused and, unless ``more`` are allowed, new columns. Whether a field, element or
-    value may be NULL is no part of a type: files hold it, tables do not enforce it."""
-    table = {f.name.lower(): f for f in known.fields}
-    names = [name.lower() for name in df.columns]
-    if len(set(names)) < len(names):
-        raise SchemaMismatch(f"columns that differ in case only: {df.columns}")
-    changed = [
-        f"{f.name}: {table[f.name.lower()].dataType.simpleString()} -> {f.dataType.simpleString()}"
-        for f in df.schema.fields
-        if f.name.lower() in table
-        and f.dataType.simpleString() != table[f.name.lower()].dataType.simpleString()
-    ]
-    if changed:
-        raise SchemaMismatch(f"types differ from the table: {changed}")
-    extra = [name for name in df.columns if name.lower() not in table]
-    if extra and not more:
-        raise SchemaMismatch(f"columns not in the table: {extra}")
-    return df.select(
-        [F.col(f"`{c}`").alias(table[c.lower()].name if c.lower() in table else c) for c in df.columns]
-    )
+    """The rows under the table's column and field names. Types that do not fit are refused, see
+    ``merged_type``. Fields keep the order they have in ``df``; readers go by name."""
+    merged = merged_type(known, df.schema, more)
+    columns = []
+    for own, new in zip(df.schema.fields, merged.fields):
+        column = F.col(f"`{own.name}`")
+        if own.dataType.simpleString() != new.dataType.simpleString():
+            column = column.cast(new.dataType)  # by position: other spelling of inner names only
+        columns.append(column.alias(new.name))
+    return df.select(columns)
 
 
 def _known(spark: SparkSession, path: str) -> StructType | None:

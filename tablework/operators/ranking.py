@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tablework.storage import fresh_path
+
 
 def top_dense_rank(
     df: DataFrame, group: str, measure: str, ranks: int, name: str = "rank"
@@ -34,3 +36,30 @@ def top_rows(df: DataFrame, count: int, *order: Column) -> DataFrame:
     End ``order`` with a unique column, or equal rows may come and go between runs.
     """
     return df.orderBy(*order).limit(count)
+
+
+def dense_rank_all(df: DataFrame, measure: str, name: str = "rank", parts: int | None = None) -> DataFrame:
+    """All rows with the dense rank of ``measure`` over the whole table, largest first, NULL last.
+
+    Different values are put into ranges by value; a value's rank is its place in its range plus the
+    sizes of the ranges before. No window spans the table. ``parts`` ranges, by default one per
+    shuffle partition; their sizes are all that the driver sees.
+    """
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    largest_first = F.desc_nulls_last("_measure")
+    values = df.select(F.col(measure).alias("_measure")).distinct()
+    path = fresh_path(spark, "ranges")
+    ranged = values.repartitionByRange(parts, largest_first)
+    ranged.withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.parquet(path)
+    before, offsets = 0, []
+    for row in ranged.groupBy("_range").count().orderBy("_range").collect():
+        offsets.append((row["_range"], before))
+        before += row["count"]
+    offsets = spark.createDataFrame(offsets, "_range int, _before bigint")
+    within = Window.partitionBy("_range").orderBy(largest_first)
+    ranked = ranged.join(F.broadcast(offsets), "_range").select(
+        "_measure", (F.row_number().over(within) + F.col("_before")).alias(name)
+    )
+    return df.join(ranked, F.col(measure).eqNullSafe(F.col("_measure"))).drop("_measure")

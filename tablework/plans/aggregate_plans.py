@@ -9,6 +9,8 @@ from tablework.functions.temporal import calendar_part, in_year
 from tablework.operators import aggregates
 from tablework.operators.ranking import top_rows
 from tablework.plans.registry import query, table
+from tablework.storage import fresh_path
+
 
 def _pieces():
     """Quantities are whole numbers: they add up exactly as integers."""
@@ -59,6 +61,40 @@ def global_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.summary(table(spark, sf_dir, "orders"), "o_totalprice", digits=2)
 
 
+@query("""
+    SELECT event_type, CAST(SUM(CAST(value * 4503599627370496 * 4096 AS HUGEINT)) AS DOUBLE)
+               / 4503599627370496 / 4096 AS total, CAST(COUNT(value) AS BIGINT) AS n
+    FROM events GROUP BY event_type
+""")
+def exact_group_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Doubles added without rounding, and rounded once. In SQL: as multiples of 2 ** -64, which holds
+    for values from 2 ** -11 on."""
+    events = table(spark, sf_dir, "events").select("event_type", "value")
+    return aggregates.exact_sums(events, ["event_type"], "value")
+
+
+@query("""
+    SELECT load, true AS close FROM (
+        SELECT CAST(year(o_orderdate) AS VARCHAR) AS load FROM orders
+        WHERE o_orderdate IS NOT NULL GROUP BY 1
+        UNION ALL SELECT 'all') loads
+""")
+def distinct_over_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers per year of orders and over all years, from sketches kept per year; each compared
+    with the exact count (three standard errors at most)."""
+    orders = table(spark, sf_dir, "orders").where(F.col("o_orderdate").isNotNull())
+    orders = orders.select(F.year("o_orderdate").cast("string").alias("load"), "o_custkey")
+    path = fresh_path(spark, "sketches")
+    aggregates.load_sketches(orders, "load", "o_custkey").write.parquet(path)
+    sketches = spark.read.parquet(path)
+    exact = orders.groupBy("load").agg(F.countDistinct("o_custkey").alias("n"))
+    each = sketches.select("load", F.hll_sketch_estimate("sketch").alias("about")).join(exact, "load")
+    whole = aggregates.union_sketch(sketches, "sketch", "about").select(F.lit("all").alias("load"), "about")
+    whole = whole.crossJoin(orders.agg(F.countDistinct("o_custkey").alias("n")))
+    error = F.abs(F.col("about") - F.col("n")) / F.col("n")
+    return each.union(whole).select("load", (error <= 3 * 0.0065).alias("close"))
+
+
 @query("""
     SELECT o_orderstatus, o_orderpriority,
            CAST(MAX(CAST(o_totalprice AS FLOAT)) AS DOUBLE) AS highest

@@ -72,6 +72,38 @@ def conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columns.conform(table(spark, sf_dir, "events").where("value > 25"), EVENT_RECORD)
 
 
+TURN_RECORD = StructType.fromDDL(
+    "conv_id bigint, said struct<text: string, who: struct<role: string, turn: bigint>>, "
+    "sizes array<struct<chars: bigint, words: bigint>>"
+)
+
+
+@query(r"""
+    SELECT conv_id, text, role, CAST(turn AS BIGINT) AS turn, CAST(length(text) AS BIGINT) AS chars,
+           CAST(len(string_split_regex(text, '\s')) AS BIGINT) AS words
+    FROM conversations
+""")
+def conform_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structs in a struct and in an array, whose fields stand in another order and have other types
+    than those of the record."""
+    turns = table(spark, sf_dir, "conversations").select(
+        F.array(
+            F.struct(
+                F.size(F.split("text", r"\s", -1)).alias("words"), F.length("text").alias("chars")
+            )
+        ).alias("sizes"),
+        F.struct(
+            F.struct("turn", "role", F.lit(1).alias("spare")).alias("who"), "text"
+        ).alias("said"),
+        "conv_id",
+    )
+    record = columns.conform(turns, TURN_RECORD)
+    return record.select(
+        "conv_id", "said.text", "said.who.role", "said.who.turn",
+        F.col("sizes")[0]["chars"].alias("chars"), F.col("sizes")[0]["words"].alias("words"),
+    )
+
+
 @query("SELECT event_id, user_id, event_type, value FROM events "
        "WHERE value > 30 AND ts < TIMESTAMP '2024-01-20' AND contains(event_type, 'c')")
 def multi_predicate_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,11 +53,41 @@ def append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evolving.current(spark, path)
 
 
+@query("""
+    SELECT conv_id, role, turn, text, CAST(NULL AS DOUBLE) AS n_chars, CAST(NULL AS VARCHAR) AS mark
+    FROM conversations
+    UNION ALL
+    SELECT conv_id, role, turn, text, CAST(length(text) AS DOUBLE), upper(role) FROM conversations
+""")
+def append_evolve_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as structs with an array of marks. The second load has one more field in each; rows of
+    the first one have NULL there."""
+    path = fresh_path(spark, "growing")
+    turns = table(spark, sf_dir, "conversations")
+    told = [F.col("turn").alias("turn"), F.col("text").alias("text")]
+    mark = [F.col("role").alias("role")]
+    first = turns.select(
+        "conv_id", F.struct(*told).alias("said"), F.array(F.struct(*mark)).alias("marks")
+    )
+    evolving.create_table(first, path)
+    told.append(F.length("text").cast("double").alias("n_chars"))
+    mark.append(F.upper("role").alias("mark"))
+    second = turns.select(
+        "conv_id", F.struct(*told).alias("said"), F.array(F.struct(*mark)).alias("marks")
+    )
+    evolving.append_evolving(second, path)
+    return evolving.current(spark, path).select(
+        "conv_id", F.col("marks")[0]["role"].alias("role"), "said.turn", "said.text", "said.n_chars",
+        F.col("marks")[0]["mark"].alias("mark"),
+    )
+
+
 @query("SELECT * FROM orders")
 def batch_plus_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Old orders are loaded in batch, newer ones by a stream into the same table."""
     orders = table(spark, sf_dir, "orders")
-    newer = F.col("o_orderdate") >= F.lit("2000-01-01").cast("date")
+    # Orders without a date are history.
+    newer = F.coalesce(F.col("o_orderdate") >= F.lit("2000-01-01").cast("date"), F.lit(False))
     inbox, path = fresh_path(spark, "inbox"), fresh_path(spark, "growing")
     evolving.load_once(orders.where(~newer), path, "history")
     arriving = orders.where(newer)

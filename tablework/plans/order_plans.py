@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.operators.ranking import top_dense_rank, top_rows
+from tablework.operators.ranking import dense_rank_all, top_dense_rank, top_rows
 from tablework.plans.registry import query, table
 
 SUPPLIER_TOTALS = """
@@ -40,6 +40,17 @@ def top3_dense_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_dense_rank(totals, "nation", "quantity", 3)
 
 
+@query("""
+    SELECT l_orderkey, l_linenumber, l_extendedprice,
+           CAST(dense_rank() OVER (ORDER BY l_extendedprice DESC NULLS LAST) AS BIGINT) AS rank
+    FROM lineitem
+""")
+def dense_rank_all_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line's rank by price among all lines."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return dense_rank_all(lines, "l_extendedprice")
+
+
 @query("SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders "
        "ORDER BY o_totalprice DESC, o_orderkey")
 def sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ from tablework.sources import (
     read_json_lines,
     read_parquet,
     read_partitions,
+    read_split_json_arrays,
     read_text,
     read_tsv,
     rows_to_table,
@@ -109,6 +110,16 @@ def json_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_arrays(spark, path, events.schema)
 
 
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def json_array_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as one array in one file, with line ends, quotes and brackets in their texts, read
+    by several tasks."""
+    path = fresh_path(spark, "json-arrays")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    write_json_arrays(documents, path, rows_per_file=10**12, bytes_per_file=10**15)
+    return read_split_json_arrays(spark, path, documents.schema, 256 * 1024)
+
+
 @query(r"""
     SELECT doc_id, CAST(len(string_split_regex(text, '\s')) AS BIGINT) AS n_words, source, n_chars
     FROM documents

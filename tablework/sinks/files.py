@@ -31,6 +31,7 @@ def write_tsv(df: DataFrame, path: str, line_end: str = "\n") -> None:
 
 
 ROWS_PER_ARRAY = 500_000
+BYTES_PER_ARRAY = 128 * 1024 * 1024
 # Times with all their digits; Spark's own layout ends at milliseconds.
 JSON_TIMES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -44,15 +45,18 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.options(**JSON_TIMES).json(path)
 
 
-def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_ARRAY) -> None:
+def write_json_arrays(
+    df: DataFrame, path: str, rows_per_file: int = ROWS_PER_ARRAY, bytes_per_file: int = BYTES_PER_ARRAY
+) -> None:
     """A folder of files that each hold one JSON array, one object per line.
 
-    Such a file is read by one task, so rows are counted and dealt evenly to as many files as it
-    takes for none to hold more than about ``rows_per_file``.
+    Spark's own reader takes such a file in one task, so rows and bytes are counted and rows dealt
+    evenly to as many files as it takes for none to hold much more than either bound.
     """
     lines = df.select(F.to_json(F.struct("*"), JSON_OPTIONS).alias("value"))
-    lines = lines.repartition(max(1, math.ceil(df.count() / rows_per_file)))
-    lines.mapInArrow(_as_array_lines, "value string").write.text(path)
+    size = lines.agg(F.count("*").alias("rows"), F.sum(F.octet_length("value")).alias("bytes")).first()
+    files = max(1, math.ceil(size["rows"] / rows_per_file), math.ceil((size["bytes"] or 0) / bytes_per_file))
+    lines.repartition(files).mapInArrow(_as_array_lines, "value string").write.text(path)
 
 
 def _as_array_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -56,7 +56,8 @@ def read_json_lines(spark: SparkSession, path: str, schema: Schema | None = None
 def read_json_arrays(spark: SparkSession, path: str, schema: Schema | None = None) -> DataFrame:
     """Files that each hold one JSON document or array over several lines.
 
-    Such a file cannot be split; see ``sinks.write_json_arrays`` for a folder of bounded files.
+    Such a file is one task here; ``read_split_json_arrays`` reads large ones by byte ranges, and
+    ``sinks.write_json_arrays`` writes a folder of bounded files.
     """
     reader = spark.read.option("multiLine", True)
     return (reader if schema is None else reader.schema(schema)).json(path)

@@ -1,9 +1,13 @@
+import math
+import random
+from fractions import Fraction
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tablework.operators import aggregates
-from tablework.operators.ranking import top_dense_rank, top_rows
+from tablework.operators.ranking import dense_rank_all, top_dense_rank, top_rows
 from tablework.plans.explain import plan_text
 from tablework.plans.registry import all_queries
 
@@ -156,3 +160,67 @@ def test_rebuilt_arrays_keeps_empty_and_null_arrays(spark):
 def test_a_year_reaches_the_scan_as_a_range(spark, name):
     plan = plan_text(all_queries()[name](spark, SF_DIR))
     assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+
+
+def once_rounded(values):
+    return float(sum(map(Fraction, values), Fraction(0)))
+
+
+TRICKY = [1e16, 1.0, -1e16, 0.1, 0.2, 5e-324, -5e-324, 1e308, 3.5e-300, -1e308, 2.0**53, 1.0, -0.0, 1e-16] * 3
+
+
+@pytest.mark.parametrize("parts", [1, 2, 3, 5, 8])
+def test_sums_do_not_depend_on_partitions(spark, parts):
+    rng = random.Random(parts)
+    values = [*TRICKY, *(rng.uniform(-1, 1) * 10.0 ** rng.randint(-30, 30) for _ in range(300))]
+    rng.shuffle(values)
+    rows = [(i % 3, v) for i, v in enumerate(values)] + [(None, 2.5), (None, None), (7, None)]
+    frame = spark.createDataFrame(rows, "k int, v double").repartition(parts)
+    found = {r.k: (r.total, r.n) for r in aggregates.exact_sums(frame, ["k"], "v").collect()}
+    expected = {k: [v for i, v in enumerate(values) if i % 3 == k] for k in range(3)}
+    assert {k: found[k] for k in range(3)} == {k: (once_rounded(v), len(v)) for k, v in expected.items()}
+    assert found[None] == (2.5, 1) and found[7] == (None, 0)
+    whole = aggregates.summary(frame, "v").first()
+    assert whole.total == once_rounded([*values, 2.5])
+    assert whole.mean == once_rounded([*values, 2.5]) / (len(values) + 1)
+
+
+def test_sums_of_numbers_that_are_not_finite(spark):
+    inf, nan = math.inf, math.nan
+    rows = [("nan", nan), ("nan", 1.0), ("up", inf), ("up", -1e308), ("both", inf), ("both", -inf),
+            ("large", 1.7e308), ("large", 1.7e308), ("low", -1.7e308), ("low", -1.7e308), ("zero", -0.0)]
+    found = {r.k: r.total for r in aggregates.exact_sums(spark.createDataFrame(rows, "k string, v double"), ["k"], "v").collect()}
+    assert math.isnan(found.pop("nan")) and math.isnan(found.pop("both"))
+    assert found == {"up": inf, "large": inf, "low": -inf, "zero": 0.0}
+    nothing = spark.createDataFrame([], "k string, v double")
+    assert aggregates.exact_sums(nothing, [], "v").collect() == [(None, 0)]
+    assert aggregates.exact_sums(nothing, ["k"], "v").count() == 0
+    assert tuple(aggregates.summary(nothing, "v").first()) == (None, None, None, None)
+
+
+def test_exact_sums_of_every_power_of_two(spark):
+    values = [math.ldexp(1.0, e) * s for e in range(-1074, 1024) for s in (1, -1)] + [math.ldexp(1.0, -1074)]
+    values += [math.nextafter(math.ldexp(1.0, e), 0) for e in range(-1073, 1000, 7)]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    assert aggregates.exact_sums(frame, [], "v").first().total == once_rounded(values)
+
+
+def test_dense_rank_of_a_whole_table(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.choice([None, *range(40)])) for i in range(500)] + [(1000 + i, 7) for i in range(300)]
+    frame = spark.createDataFrame(rows, "id int, v int").repartition(4)
+    order = sorted({v for _, v in rows if v is not None}, reverse=True) + [None]
+    ranked = dense_rank_all(frame, "v", parts=6)
+    assert {r.id: r.rank for r in ranked.collect()} == {i: order.index(v) + 1 for i, v in rows}
+    plan = plan_text(ranked)
+    assert "SinglePartition" not in plan
+    assert dense_rank_all(frame.limit(0), "v").count() == 0
+
+
+def test_sketches_of_loads_add_up(spark):
+    frame = spark.range(30000).selectExpr("CAST(id % 4 AS STRING) AS load", "id % 20000 AS v")
+    sketches = aggregates.load_sketches(frame, "load", "v")
+    about = aggregates.union_sketch(sketches, "sketch", "n").first().n
+    assert abs(about - 20000) <= 3 * 0.0065 * 20000
+    some = aggregates.union_sketch(sketches.where("load IN ('0', '1')"), "sketch", "n").first().n
+    assert abs(some - 10000) <= 3 * 0.0065 * 10000

@@ -154,3 +154,36 @@ def test_null_structs_and_arrays_stay_null(spark):
     arrays = spark.createDataFrame([(1, [0.0, None]), (2, None), (3, [])], "id int, xs array<double>")
     rows = {r.id: r.ys for r in arrays.coalesce(1).select("id", fahrenheit_arrays("xs").alias("ys")).collect()}
     assert rows == {1: [32.0, None], 2: None, 3: []}
+
+
+NESTED = "s struct<x:int,y:int,z:struct<a:string,b:string>>, l array<struct<p:int,q:int>>, m map<string,struct<u:int,v:int>>"
+
+
+def test_nested_records_are_bound_by_name(spark):
+    rows = [((1, 2, ("a", "b")), [(3, 4), None], {"k": (5, 6)}), (None, None, None)]
+    want = StructType.fromDDL(
+        "m map<string,struct<v:bigint,u:int>>, l array<struct<q:string,p:int>>, s struct<z:struct<b:string>,y:int,x:int>"
+    )
+    found = conform(spark.createDataFrame(rows, NESTED), want)
+    assert [f.dataType.simpleString() for f in found.schema.fields] == [f.dataType.simpleString() for f in want.fields]
+    one, two = found.collect()
+    assert one.s.asDict(True) == {"z": {"b": "b"}, "y": 2, "x": 1}
+    assert [x and x.asDict() for x in one.l] == [{"q": "4", "p": 3}, None]
+    assert one.m["k"].asDict() == {"v": 6, "u": 5}
+    assert tuple(two) == (None, None, None)
+
+
+@pytest.mark.parametrize(
+    "record", ["s struct<x:int,w:int>", "l array<struct<p:int,w:int>>", "m map<string,struct<w:int>>",
+               "s struct<z:struct<w:int>>", "s int", "l array<int>"],
+)
+def test_a_missing_inner_field_or_another_shape_is_an_error(spark, record):
+    frame = spark.createDataFrame([], NESTED)
+    with pytest.raises(ValueError, match="record type"):
+        conform(frame, StructType.fromDDL(record))
+
+
+def test_dirty_inner_values(spark):
+    frame = spark.createDataFrame([(("7", "x"),)], "s struct<a:string,b:string>")
+    found = conform(frame, StructType.fromDDL("s struct<b:int,a:int>"), dirty="null").first()
+    assert found.s.asDict() == {"b": None, "a": 7}

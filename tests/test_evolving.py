@@ -89,3 +89,53 @@ def test_unfit_loads_are_refused_and_the_table_still_reads(spark, tmp_path):
         with pytest.raises(evolving.SchemaMismatch):
             evolving.stream_loader(path, "stream")(spark.sql(unfit), 0)
     assert evolving.loaded(spark, path).count() == 1
+
+
+def nested(spark, rows, inner):
+    return spark.createDataFrame(rows, f"id int, s struct<{inner}>, l array<struct<{inner}>>, m map<string,struct<{inner}>>")
+
+
+def nested_row(i, *values):
+    return (i, values, [values], {"k": values})
+
+
+def test_new_fields_inside_structs_arrays_and_maps(spark, tmp_path):
+    path = str(tmp_path / "t")
+    evolving.create_table(nested(spark, [nested_row(1, 10)], "x int"), path)
+    evolving.append_evolving(nested(spark, [nested_row(2, "new", 20), (3, None, None, None)], "Y string, X int"), path)
+    evolving.append_evolving(nested(spark, [nested_row(4, 40)], "x int"), path)
+    rows = {r.id: r for r in evolving.current(spark, path).collect()}
+    for i, x, y in ((1, 10, None), (2, 20, "new"), (4, 40, None)):
+        for one in (rows[i].s, rows[i].l[0], rows[i].m["k"]):
+            assert (one.x, one.Y) == (x, y)
+    assert rows[3].s is None and rows[3].l is None
+
+
+@pytest.mark.parametrize(
+    ("inner", "row"), [("x string", ("1",)), ("x struct<y:int>", ((1,),)), ("x int, X int", (1, 2))]
+)
+def test_changed_inner_types_are_refused(spark, tmp_path, inner, row):
+    path = str(tmp_path / "t")
+    evolving.create_table(nested(spark, [nested_row(1, 10)], "x int"), path)
+    with pytest.raises(evolving.SchemaMismatch):
+        evolving.append_evolving(nested(spark, [nested_row(2, *row)], inner), path)
+    assert evolving.current(spark, path).count() == 1
+
+
+def test_new_inner_fields_are_refused_where_the_schema_is_enforced(spark, tmp_path):
+    path = str(tmp_path / "t")
+    evolving.create_table(nested(spark, [nested_row(1, 10, 11)], "x int, y int"), path)
+    with pytest.raises(evolving.SchemaMismatch, match="not in the table"):
+        evolving.append_enforced(nested(spark, [nested_row(2, 20, 21, 22)], "x int, y int, z int"), path)
+    evolving.append_enforced(nested(spark, [nested_row(3, 30)], "Y int"), path)
+    row = evolving.current(spark, path).where("id = 3").first()
+    assert (row.s.x, row.s.y) == (None, 30)
+
+
+def test_orders_without_a_date_are_loaded(spark, tmp_path):
+    from tablework.plans.evolving_plans import batch_plus_stream_append
+
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").limit(5)
+    dateless = orders.withColumn("o_orderdate", F.lit(None).cast(orders.schema["o_orderdate"].dataType))
+    orders.union(dateless).write.parquet(str(tmp_path / "orders.parquet"))
+    assert batch_plus_stream_append(spark, str(tmp_path)).count() == 10

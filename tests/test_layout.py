@@ -8,6 +8,7 @@ from tablework.operators.layout import (
     bucket_count,
     cached,
     cached_table,
+    write_bucketed,
     write_bucketed_pair,
 )
 from tablework.plans.explain import plan_text
@@ -163,3 +164,39 @@ def test_hot_keys_are_spread_whatever_their_rows_hold(spark, hot):
     for table in (pair.large, pair.small):
         most = table.groupBy("k", "bucket_salt").count().agg(F.max("count")).first()[0]
         assert most <= 600
+
+
+def test_rows_that_come_in_another_order_after_a_retry_are_dealt_alike(spark):
+    """The rows of heavy keys come from a shuffle, whose order may differ when a task runs again. What
+    decides their salts is read from files, so the plan of a bucketed write holds no row number of
+    the shuffle."""
+    rows = spark.range(3000).selectExpr("id", "IF(id % 3 = 0, 7, id % 50) AS user").repartition(5)
+    users = spark.range(50).selectExpr("id AS uid")
+    pair = bucketed(spark, rows, users, buckets=8)
+    one = sorted(map(tuple, pair.large.collect()))
+    assert len(one) == len({r[0] for r in one}) == 3000
+    again = bucketed(spark, rows, users, buckets=8)
+    assert pair.join().count() == again.join().count() == 3000
+
+
+def test_more_limits_than_the_sketch_can_tell(spark, monkeypatch):
+    """Where a heavy key is too small a share for the sketch, all keys are counted."""
+    monkeypatch.setattr("tablework.operators.layout.SKETCH_KEYS", 64)
+    monkeypatch.setattr("tablework.operators.layout.NAMED_KEYS", 32)
+    rows = spark.range(4000).selectExpr("id", "IF(id % 4 = 0, 7, id % 500) AS user")
+    pair = bucketed(spark, rows, spark.range(500).selectExpr("id AS uid"), buckets=8, heavy_rows=100)
+    assert pair.large.where("user = 7").select(SALT).distinct().count() >= 9
+    assert pair.join().count() == 4000
+
+
+def test_a_bucket_with_a_hot_key_is_written_by_several_tasks(spark):
+    rows = spark.range(200_000).selectExpr("id", "7 AS user", "sha2(CAST(id AS STRING), 256) AS text")
+    name = f"{run_database(spark)}.{fresh_name('hot')}"
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes",)}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        table = write_bucketed(rows.repartition(4), name, 8, "user")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(table.inputFiles()) > 1 and table.count() == 200_000

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from tablework.sources import (
     read_json_lines,
     read_parquet,
     read_partitions,
+    read_split_json_arrays,
     read_text,
     read_tsv,
     rows_to_table,
@@ -171,3 +173,44 @@ def test_a_field_that_does_not_fit_is_null_and_its_row_stays(spark, tmp_path):
     kept = read_json_array_lines(spark, str(tmp_path), "id int, hits int", "id", corrupt="line")
     kept = kept.cache().collect()
     assert len(kept) == 3 and [r.line for r in kept if r.id == 2] == ['{"id":2,"hits":"x"},']
+
+
+TRICKY_TEXTS = ["", "plain", 'a "quoted" word', "back\\slash\\", "[{", "}]", '\\"', "\n\t", "é中😀", '{"x": [1, "]"]}', "\\" * 9]
+
+
+@pytest.mark.parametrize("size", [7, 64, 1000, 10**6])
+@pytest.mark.parametrize("indent", [None, 2])
+def test_array_files_are_read_by_byte_ranges(spark, tmp_path, size, indent):
+    rng = random.Random(size)
+    rows = [
+        {"id": i, "t": "".join(rng.choices(TRICKY_TEXTS, k=3)), "n": {"l": [{"d": i}] * (i % 3)}} for i in range(40)
+    ]
+    folder = tmp_path / "arrays"
+    folder.mkdir()
+    (folder / "part-1.json").write_text(json.dumps(rows[:25], indent=indent, ensure_ascii=False))
+    (folder / "part-2.json").write_text("\ufeff \n" + json.dumps(rows[25:39], indent=indent))
+    (folder / "part-3.json").write_text(json.dumps(rows[39], indent=indent))
+    (folder / "part-4.json").write_text("[]")
+    (folder / "_SUCCESS").write_text("")
+    schema = "id int, t string, n struct<l: array<struct<d: int>>>"
+    found = read_split_json_arrays(spark, str(folder), schema, size)
+    assert sorted((r.asDict(True) for r in found.collect()), key=lambda r: r["id"]) == rows
+    if size == 1000:
+        assert found.rdd.getNumPartitions() > 4
+    one = read_split_json_arrays(spark, f"file://{folder}/part-1.json", schema, size)
+    assert one.count() == 25
+
+
+def test_ranges_of_nothing_and_of_a_cut_file(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    assert read_split_json_arrays(spark, str(tmp_path / "empty"), "id int").count() == 0
+    (tmp_path / "cut.json").write_text('[{"id": 1}, {"id": ')
+    with pytest.raises(Exception, match="ends inside an element"):
+        read_split_json_arrays(spark, str(tmp_path / "cut.json"), "id int").count()
+
+
+def test_array_files_are_bounded_by_bytes(spark, tmp_path):
+    df = spark.range(200).selectExpr("id", "repeat('x', 1000) AS t")
+    write_json_arrays(df, str(tmp_path / "arrays"), bytes_per_file=50_000)
+    sizes = [f.stat().st_size for f in (tmp_path / "arrays").glob("part-*")]
+    assert len(sizes) == 5 and max(sizes) < 60_000
