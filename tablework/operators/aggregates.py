@@ -6,7 +6,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -80,9 +80,9 @@ def exact_sums(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     )
 
 
-@F.pandas_udf(DoubleType())
-def _rounded(groups: pd.Series) -> pd.Series:
-    return pd.Series([_sum_of_cells(cells) for cells in groups], dtype="float64")
+@F.arrow_udf(DoubleType())
+def _rounded(groups: pa.Array) -> pa.Array:
+    return pa.array([_sum_of_cells(cells) for cells in groups.to_pylist()], pa.float64())
 
 
 def _sum_of_cells(cells) -> float:
