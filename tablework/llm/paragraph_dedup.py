@@ -1,23 +1,28 @@
-"""Substring dedup by windows of words and by paragraph MinHash banding.
-
-Windows are cut by their content. Of each CUT_SPAN neighbouring runs of CUT_WORDS words the one with the
-smallest hash makes a cut, whatever the text looks like. A window goes from each cut to the first one
-at least WINDOW_WORDS words on, and to each cut from the last one so far before it; windows overlap, and
-every word of a text of STRETCH_WORDS words lies in one. A passage of 3 * CUT_SPAN + WINDOW_WORDS +
-CUT_WORDS - 3 = 32 words holds a whole window that does not depend on what stands around it: at most
-CUT_SPAN - 1 words before its first cut and CUT_SPAN + CUT_WORDS - 1 after its last one are outside
-such windows. So that whole lines and texts have no such rest, further windows go from the start of each
-line to a cut and from a cut to its end. Equal windows are the same text.
-
-A paragraph is a stretch of sentences of one line, for passages that are similar only. Lines end
-paragraphs, and so do three quarters of the sentence ends, chosen by the hash of the sentence's last
-word. Paragraphs of fewer than MIN_WORDS words are compared as windows only.
-
-Equal paragraphs share a key. Of each key BANDS bands of ROWS MinHashes over its 5-word shingles are
-joined: at a similarity of 0.75 a pair meets in a band with probability 1 - (1 - 0.75 ** 2) ** 5 =
-0.98. Within a band, links go to one centre, and where that leaves several components, all pairs of
-up to PAIRED members, or blocks of chunks of more, are compared. Exact Jaccard similarity decides.
-Components of paragraphs give the removals: all but the first place of each component goes.
+"""Substring dedup: paragraph MinHash banding for similar passages, content-cut windows for equal ones.
+
+A paragraph is a line of MIN_WORDS words or more. Lines of over LONG_WORDS words are cut where the hash
+of a run of CUT_WORDS words is the smallest of LONG_WORDS neighbouring runs, so that the cuts depend on
+nothing else and pieces have at most LONG_WORDS words, half of that on average. BANDS bands of ROWS
+MinHashes over a paragraph's 5-word shingles are joined: at a similarity of 0.75 two paragraphs meet
+in a band with probability 1 - (1 - 0.75 ** 2) ** 5 = 0.98 (measured: see README). The paragraphs of
+a band come together once, with their texts. A task joins what it finds similar by exact Jaccard
+similarity of the shingles, and passes on a forest of links; a band of more than CHUNK different
+paragraphs is dealt into chunks, of which each two meet. One search for components follows. All but
+the first place of a component goes, cut at both ends to what it shares with its partners.
+
+Equal passages need not be whole paragraphs. Of each CUT_SPAN neighbouring runs of CUT_WORDS words the
+one with the smallest hash makes a cut. A window goes from each cut to the first one at least
+WINDOW_WORDS words on, and to each cut from the last one so far before it; windows overlap, and every
+word of a text of STRETCH_WORDS words lies in one. A passage of 3 * CUT_SPAN + WINDOW_WORDS + CUT_WORDS
+- 3 = 32 words holds a whole window that does not depend on what stands around it: at most
+CUT_SPAN - 1 words before its first cut and CUT_SPAN + CUT_WORDS - 1 after its last one are outside such
+windows. So that whole lines and texts have no such rest, further windows go from the start of each
+line to a cut and from a cut to its end. Two windows are the same if their 64-bit hashes and numbers
+of words are.
+
+Windows are first counted by 32 bits of their hashes and a bucket number; only those that may be
+repeated are written with their places. Places are narrow rows; neither texts nor all windows are
+shuffled. What is repeated in a document is put together by one task in the order of its words.
 """
 
 from __future__ import annotations
@@ -26,72 +31,82 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.llm import words as W
-from tablework.llm.jaccard_join import BITS, WORDS, filter_bits, set_bits
-from tablework.llm.shared import components, documents, id_and_text, written
+from tablework.llm.jaccard_join import BUCKET_SIZE, COUNT_ROWS, WORDS, count_bucket_rows, frequent_of_bucket
+from tablework.llm.shared import components, documents, id_and_text, key_filter, passes, written
 
 PERCENT = 75
-MIN_WORDS = 6
+MIN_WORDS, LONG_WORDS = 12, 100
 BANDS, ROWS = 5, 2
 CUT_WORDS, CUT_SPAN = 3, 8
 WINDOW_WORDS = 8
 GAP_WORDS = 2 * CUT_SPAN + CUT_WORDS - 1  # one changed word can part equal windows by so many
 STRETCH_WORDS = 20  # neighbours at most GAP_WORDS apart count together; fewer repeated words stay
-PAIRED = 32
-CHUNK = 256
-PLACES = "doc_id long, start long, end long, before long, next long, word long, words long, key long"
+PAIRED = 32  # paragraphs that are compared pair by pair; more of them by postings
+CHUNK = 2048  # different paragraphs of a band that a task compares
+
+# doc: hash of the text, which tells rows of one doc_id apart. before and after are code points
+# between the place and the words next to it, or -1 at the ends of a text.
+PLACES = "key long, doc_id long, doc long, word int, words int, start long, end long, before int, after int"
+PASSAGES = "doc_id long, start long, end long, words long, first_doc_id long, removed boolean"
 
 _SEEDS = W.mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _WINDOW = np.uint64(0x8EBC6AF09C88C6E3)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNBASE = np.uint64(pow(int(_BASE), -1, 2**64))
-_STOP = np.zeros(256, bool)
-_STOP[list(b".!?")] = True
-
-
-def paragraphs(part: W.Part) -> tuple[W.Words, np.ndarray, np.ndarray]:
-    """The words of a part, and the first and last + 1 word of each paragraph long enough."""
-    found = W.words(part)
-    n = len(found.starts)
-    if not n:
-        return found, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    lines = np.append(0, np.cumsum(part.data == 10))
-    ends = np.zeros(n, bool)
-    ends[:-1] = lines[found.ends[:-1]] != lines[found.starts[1:]]
-    stop = _STOP[part.data[found.ends - 1]] & ((found.hashes & np.uint64(3)) != 0)
-    ends |= stop
-    ends[found.rows[1:][found.rows[1:] > 0] - 1] = True
-    last = np.flatnonzero(ends) + 1
-    first = np.append(0, last[:-1])
-    long_ = last - first >= MIN_WORDS
-    return found, first[long_], last[long_]
 
 
-def _sliding(values: np.ndarray, least) -> np.ndarray:
-    """``least`` (minimum or maximum) of CUT_SPAN neighbours, CUT_SPAN - 1 fewer than values."""
+def _sliding(values: np.ndarray, least, span: int) -> np.ndarray:
+    """``least`` (minimum or maximum) of ``span`` neighbours, span - 1 fewer than values."""
     size = 1
-    while size < CUT_SPAN:
-        step = min(size, CUT_SPAN - size)
+    while size < span:
+        step = min(size, span - size)
         values = least(values[:-step], values[step:])
         size += step
     return values
 
 
-def cuts(found: W.Words) -> np.ndarray:
+def cuts(found: W.Words, span: int = CUT_SPAN) -> np.ndarray:
     """Words before which a text is cut: those whose run of CUT_WORDS words has the smallest hash of
-    CUT_SPAN neighbouring runs of a row. Of equal smallest ones all are cuts."""
+    ``span`` neighbouring runs of a row. Of equal smallest ones all are cuts."""
     runs = W.mix(W.runs(found.hashes, CUT_WORDS)) | np.uint64(1)
-    if len(runs) < CUT_SPAN:
+    if len(runs) < span:
         return np.zeros(0, np.int64)
-    low = _sliding(runs, np.minimum)
+    low = _sliding(runs, np.minimum, span)
     stop = np.repeat(found.rows[1:], np.diff(found.rows))
     at = np.arange(len(low))
-    low[at + CUT_SPAN + CUT_WORDS - 1 > stop[: len(low)]] = 0
-    none = np.zeros(CUT_SPAN - 1, np.uint64)
-    return np.flatnonzero(_sliding(np.concatenate([none, low, none]), np.maximum) == runs)
+    low[at + span + CUT_WORDS - 1 > stop[: len(low)]] = 0
+    none = np.zeros(span - 1, np.uint64)
+    return np.flatnonzero(_sliding(np.concatenate([none, low, none]), np.maximum, span) == runs)
+
+
+def _edges(part: W.Part, found: W.Words) -> np.ndarray:
+    """Words that begin a line, and the number of words."""
+    n = len(found.starts)
+    lines = np.append(0, np.cumsum(part.data == 10))
+    edge = np.zeros(n + 1, bool)
+    edge[1:n] = lines[found.ends[:-1]] != lines[found.starts[1:]]
+    edge[found.rows] = True
+    return np.flatnonzero(edge)
+
+
+def paragraphs(part: W.Part) -> tuple[W.Words, np.ndarray, np.ndarray]:
+    """The words of a part, and the first and last + 1 word of each paragraph long enough."""
+    found = W.words(part)
+    if not len(found.starts):
+        return found, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    edge = _edges(part, found)
+    inner = cuts(found, LONG_WORDS)
+    line = np.searchsorted(edge, inner, "right") - 1
+    size = np.diff(edge)
+    inner = inner[size[np.minimum(line, len(size) - 1)] > LONG_WORDS]
+    edge = np.union1d(edge, inner)
+    first, last = edge[:-1], edge[1:]
+    long_ = last - first >= MIN_WORDS
+    return found, first[long_], last[long_]
 
 
 def windows(part: W.Part) -> tuple[W.Words, np.ndarray, np.ndarray, np.ndarray]:
@@ -101,11 +116,7 @@ def windows(part: W.Part) -> tuple[W.Words, np.ndarray, np.ndarray, np.ndarray]:
     cut = cuts(found)
     if not len(cut):
         return found, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    lines = np.append(0, np.cumsum(part.data == 10))
-    edge = np.zeros(n + 1, bool)
-    edge[1:n] = lines[found.ends[:-1]] != lines[found.starts[1:]]
-    edge[found.rows] = True
-    edge = np.flatnonzero(edge)
+    edge = _edges(part, found)
     stop = np.repeat(found.rows[1:], np.diff(found.rows))
     begin = np.union1d(cut, edge[:-1])
     to = np.append(cut, n)[np.searchsorted(cut, begin + WINDOW_WORDS)]
@@ -116,312 +127,479 @@ def windows(part: W.Part) -> tuple[W.Words, np.ndarray, np.ndarray, np.ndarray]:
     last = np.append(to, np.where(back < 0, 0, end))
     good = (last - first >= WINDOW_WORDS) & (last <= stop[first])
     first, last = np.divmod(np.unique(first[good] * (n + 1) + last[good]), n + 1)
+    return found, first, last, _text_keys(found, first, last)
+
+
+def _text_keys(found: W.Words, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hashes of runs of words and their numbers of words."""
+    n = len(found.starts)
     sums = np.append(np.uint64(0), np.cumsum(W.mix(found.hashes + _WINDOW) * W.powers(_BASE, n)))
     keys = (sums[last] - sums[first]) * W.powers(_UNBASE, n)[first]
-    return found, first, last, W.mix(keys + W.mix((last - first).astype(np.uint64))).view(np.int64)
+    return W.mix(keys + W.mix((last - first).astype(np.uint64))).view(np.int64)
+
+
+# Similar paragraphs
 
 
-def _window_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shingles(found: W.Words, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of all paragraphs in a row, and where each paragraph's begin."""
+    every = W.runs(found.hashes, WORDS)
+    sizes = last - first - (WORDS - 1)
+    at = np.append(0, np.cumsum(sizes)[:-1]).astype(np.int64)
+    within = np.arange(sizes.sum()) - np.repeat(at, sizes)
+    return every[np.repeat(first, sizes) + within], at
+
+
+def band_keys(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Band hashes of paragraphs, (paragraphs, BANDS)."""
+    low = [np.minimum.reduceat(W.mix(tokens ^ seed), at) for seed in _SEEDS]
+    bands = []
+    for b in range(BANDS):
+        h = np.full(len(at), b + 1, np.uint64)
+        for r in range(ROWS):
+            h = W.mix(h * np.uint64(0xA24BAED4963EE407) + low[b * ROWS + r])
+        bands.append(h)
+    return np.column_stack(bands).view(np.int64)
+
+
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bands of the different paragraphs of each part."""
     with np.errstate(over="ignore"):
         for batch in batches:
             for part in W.parts(batch.column("text")):
-                yield pa.RecordBatch.from_arrays([pa.array(windows(part)[3])], ["key"])
+                found, first, last = paragraphs(part)
+                keys, one = np.unique(_text_keys(found, first, last), return_index=True)
+                if len(keys):
+                    bands = band_keys(*_shingles(found, first[one], last[one]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(bands.ravel()), pa.array(np.repeat(keys, BANDS))], ["band", "key"]
+                    )
 
 
-def _window_places(needed):
-    """Places of windows whose keys the filter lets through."""
+def _members(needed):
+    """Paragraphs with a band that the filter lets through: these bands, key and text."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: set[int] = set()
         with np.errstate(over="ignore"):
             for batch in batches:
                 for part in W.parts(batch.column("text")):
-                    found, first, last, keys = windows(part)
-                    good = set_bits(needed.value, keys & ((1 << BITS) - 1))
-                    yield _place_rows(batch.column("doc_id"), part, found, first[good], last[good], keys[good])
+                    found, first, last = paragraphs(part)
+                    keys, one = np.unique(_text_keys(found, first, last), return_index=True)
+                    if not len(keys):
+                        continue
+                    first, last = first[one], last[one]
+                    bands = band_keys(*_shingles(found, first, last))
+                    good = passes(needed.value, bands)
+                    if len(told) > 500_000:
+                        told.clear()
+                    some = [i for i in np.flatnonzero(good.any(axis=1)).tolist() if int(keys[i]) not in told]
+                    told.update(keys[some].tolist())
+                    raw = part.data.tobytes()
+                    a, z = found.starts[first[some]].tolist(), found.ends[last[some] - 1].tolist()
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([bands[i][good[i]].tolist() for i in some], pa.list_(pa.int64())),
+                            pa.array(keys[some], pa.int64()),
+                            pa.array([raw[x:y] for x, y in zip(a, z)], pa.binary()),
+                        ],
+                        ["bands", "key", "text"],
+                    )
 
     return rows
 
 
-def repeated_windows(docs: DataFrame) -> DataFrame:
-    """Places of windows that stand at several places. A filter of fixed size keeps most others
-    out of the table; the counts of places decide later."""
-    counts = docs.select("text").mapInArrow(_window_keys, "key long").groupBy("key").count()
-    twice = written(counts.where("count > 1").select("key"), "twice")
-    slots = twice.select(F.expr(f"key & {(1 << BITS) - 1}L").alias("slot"))
-    return docs.mapInArrow(_window_places(filter_bits(docs.sparkSession, slots)), PLACES)
+def _shared(runs: np.ndarray, other: np.ndarray) -> tuple[int, int]:
+    """First and last + 1 word of what a paragraph with these shingles shares with another set."""
+    hit = np.flatnonzero(np.isin(runs, other))
+    return int(hit[0]), int(hit[-1]) + WORDS
 
 
-def _shingles(found: W.Words, first: np.ndarray, last: np.ndarray):
-    """Hashes of the shingles of all paragraphs in a row, where each begins, and the paragraphs'
-    keys: hashes of their words in order."""
-    every = W.runs(found.hashes, WORDS)
-    sizes = last - first - (WORDS - 1)
-    at = np.append(0, np.cumsum(sizes)[:-1]).astype(np.int64)
-    within = np.arange(sizes.sum()) - np.repeat(at, sizes)
-    tokens = every[np.repeat(first, sizes) + within]
-    if not len(sizes):
-        return tokens, at, np.zeros(0, np.int64)
-    keys = np.add.reduceat(W.mix(tokens + W.mix(within.astype(np.uint64) + np.uint64(1))), at)
-    return tokens, at, W.mix(keys + sizes.astype(np.uint64)).view(np.int64)
+def similar(one: np.ndarray, two: np.ndarray) -> bool:
+    """Whether two sorted sets have a Jaccard similarity of PERCENT or more."""
+    if min(len(one), len(two)) * 100 < PERCENT * max(len(one), len(two)):
+        return False
+    same = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * same >= PERCENT * (len(one) + len(two) - same)
+
+
+def forest(sets: list[np.ndarray], chunk: list[int]) -> list[tuple[int, int]]:
+    """Similar pairs that connect all that similar pairs connect. Of pairs of two chunks if there
+    are two. The first set is compared with all others; what is left, pair by pair or, if there are
+    more than PAIRED, by a count of shared shingles over postings."""
+    root = list(range(len(sets)))
+    pairs, two = [], len(set(chunk)) > 1
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    def join(i: int, j: int) -> None:
+        if top(i) != top(j):
+            root[top(i)] = top(j)
+            pairs.append((i, j))
+
+    for j in range(1, len(sets)):
+        if not (two and chunk[0] == chunk[j]) and similar(sets[0], sets[j]):
+            join(0, j)
+    apart = [j for j in range(1, len(sets)) if top(j) != top(0) or two]
+    if len(sets) <= PAIRED or not apart:
+        for i in apart:
+            for j in range(1, len(sets)):
+                if top(i) != top(j) and not (two and chunk[i] == chunk[j]) and similar(sets[i], sets[j]):
+                    join(i, j)
+        return pairs
+    sizes = np.array([len(s) for s in sets])
+    tokens, holder = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(tokens, kind="stable")
+    tokens, holder = tokens[order], holder[order]
+    own = np.array(chunk)
+    for i in apart:
+        low = np.searchsorted(tokens, sets[i], "left")
+        many = np.searchsorted(tokens, sets[i], "right") - low
+        at = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        same = np.bincount(holder[at], minlength=len(sets))
+        good = 100 * same >= PERCENT * (sizes[i] + sizes - same)
+        good[i] = False
+        if two:
+            good &= own != own[i]
+        for j in np.flatnonzero(good).tolist():
+            join(i, j)
+    return pairs
+
+
+def _runs_of_texts(texts: pa.Array) -> list[np.ndarray]:
+    """The shingles of each text, in their order."""
+    found = []
+    for part in W.parts(texts.cast(pa.string())):
+        words = W.words(part)
+        every = W.runs(words.hashes, WORDS)
+        ends = (words.rows[1:] - (WORDS - 1)).tolist()
+        found += [every[a:z] for a, z in zip(words.rows[:-1].tolist(), ends)]
+    return found
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of blocks, whose rows come one after another."""
+    block, keys, chunk, runs = None, [], [], []
+
+    def linked() -> list[tuple]:
+        if len(keys) < 2:
+            return []
+        sets = [np.unique(x) for x in runs]
+        return [
+            (keys[i], keys[j], *_shared(runs[i], sets[j]), *_shared(runs[j], sets[i]))
+            for i, j in forest(sets, chunk)
+        ]
+
+    def told(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows)) or [()] * 6
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, pa.int64()) for c in columns], ["a", "b", "low_a", "high_a", "low_b", "high_b"]
+        )
+
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            rows: list[tuple] = []
+            columns = [batch.column(c).to_pylist() for c in ("band", "i", "j", "key", "own")]
+            for band, i, j, key, own, shingles in zip(*columns, _runs_of_texts(batch.column("text"))):
+                if (band, i, j) != block:
+                    rows += linked()
+                    block, keys, chunk, runs = (band, i, j), [], [], []
+                if not keys or key != keys[-1]:
+                    keys.append(key)
+                    chunk.append(own)
+                    runs.append(shingles)
+            yield told(rows)
+        yield told(linked())
+
+
+def paragraph_links(docs: DataFrame) -> DataFrame:
+    """Links between similar paragraphs, enough of them to connect all that similar pairs in a
+    common band connect: keys a and b, and the words that each shares with the other."""
+    groups = docs.select("text").mapInArrow(_bands, "band long, key long").groupBy("band")
+    groups = groups.agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    groups = written(groups.where("low <> high").select("band"), "bands")
+    needed = key_filter(groups, "band")
+    members = docs.select("text").mapInArrow(_members(needed), "bands array<long>, key long, text binary")
+    members = members.select(F.explode("bands").alias("band"), "key", "text").join(groups, "band", "left_semi")
+    members = written(members, "members", "zstd")
+    needed.destroy()
+    sizes = members.groupBy("band").agg(F.approx_count_distinct("key").alias("n"))
+    large = written(sizes.where(F.col("n") > CHUNK).select("band", F.ceil(F.col("n") / CHUNK).alias("chunks")), "large")
+    if large.isEmpty():
+        zero = F.lit(0).cast("long")
+        placed = members.withColumns({"own": zero, "i": zero, "j": zero})
+    else:
+        placed = members.join(large, "band", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+        placed = placed.withColumn("own", F.pmod(F.xxhash64("key"), "chunks"))
+        placed = placed.withColumn("other", F.explode(F.expr("sequence(0L, chunks - 1)")))
+        placed = placed.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    dealt = placed.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "own", "key")
+    return dealt.select("band", "i", "j", "key", "own", "text").mapInArrow(
+        _links, "a long, b long, low_a long, high_a long, low_b long, high_b long"
+    )
+
+
+def _linked(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, component) of linked paragraphs, and (key, low, high): what each shares."""
+    found = written(components(links.select("a", "b")), "labels")
+    ends = links.select(F.col("a").alias("key"), F.col("low_a").alias("low"), F.col("high_a").alias("high"))
+    ends = ends.union(links.select("b", "low_b", "high_b"))
+    return found, ends.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+
+
+def linked_paragraphs(docs: DataFrame) -> DataFrame:
+    """Components of different paragraphs that are similar: (node, component), both keys."""
+    return _linked(written(paragraph_links(docs), "links"))[0]
+
+
+# Equal windows
+
+
+def _window_counts(bits: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for part in W.parts(batch.column("text")):
+                    held.append(windows(part)[3].view(np.uint64))
+                    size += len(held[-1])
+                    if size >= COUNT_ROWS:
+                        yield count_bucket_rows(held, bits)
+                        held, size = [], 0
+            if size:
+                yield count_bucket_rows(held, bits)
+
+    return count
+
+
+def repeated_window_keys(docs: DataFrame) -> tuple[int, DataFrame]:
+    """Bits of the bucket number, and shortened keys (``short``) that hold every key of two or more
+    windows."""
+    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    letters = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    bits = min(31, max(2 * width - 1, letters // 20 // BUCKET_SIZE).bit_length())
+    rows = docs.select("text").mapInArrow(
+        _window_counts(bits), "bucket long, once binary, more binary, counts binary"
+    )
+    counts = rows.groupBy("bucket").applyInPandas(frequent_of_bucket(2), "short long, count long")
+    return bits, written(counts.select("short"), "twice")
+
+
+# Places
 
 
-def _place_rows(ids: pa.Array, part: W.Part, found: W.Words, first, last, keys) -> pa.RecordBatch:
+def _place_rows(batch: pa.RecordBatch, part: W.Part, found: W.Words, first, last, keys) -> pa.RecordBatch:
     row = np.searchsorted(found.rows, first, "right") - 1
     points = np.append(0, np.cumsum((part.data & 0xC0) != 0x80))
     zero = points[part.offsets[:-1]][row]
     starts, ends = points[np.append(found.starts, 0)], points[np.append(found.ends, 0)]
+    start, end = starts[first], ends[last - 1]
+    before = np.where(first == found.rows[row], -1, start - ends[first - 1])
+    after = np.where(last == found.rows[row + 1], -1, starts[last] - end)
+    rows, own = pa.array(row), batch.slice(part.first, len(part))
     return pa.RecordBatch.from_arrays(
         [
-            ids.slice(part.first, len(part)).take(pa.array(row)),
-            pa.array(starts[first] - zero), pa.array(ends[last - 1] - zero),
-            pa.array(ends[first - 1] - zero, mask=first == found.rows[row]),
-            pa.array(starts[last] - zero, mask=last == found.rows[row + 1]),
-            pa.array(first - found.rows[row]), pa.array(last - first), pa.array(keys),
+            pa.array(keys), own.column("doc_id").take(rows), own.column("doc").take(rows),
+            pa.array(first - found.rows[row], pa.int32()), pa.array(last - first, pa.int32()),
+            pa.array(start - zero), pa.array(end - zero), pa.array(before, pa.int32()), pa.array(after, pa.int32()),
         ],
-        ["doc_id", "start", "end", "before", "next", "word", "words", "key"],
+        [c.split()[0] for c in PLACES.split(", ")],
     )
 
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Where paragraphs lie: code points, the end of the word before and the start of the next one,
-    number of the first word in the document, words, key."""
-    with np.errstate(over="ignore"):
-        for batch in batches:
-            for part in W.parts(batch.column("text")):
-                found, first, last = paragraphs(part)
-                _, _, keys = _shingles(found, first, last)
-                yield _place_rows(batch.column("doc_id"), part, found, first, last, keys)
-
-
-def band_keys(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Band hashes of paragraphs, (paragraphs, BANDS)."""
-    low = [np.minimum.reduceat(W.mix(tokens ^ seed), at) for seed in _SEEDS]
-    bands = []
-    for b in range(BANDS):
-        h = np.full(len(at), b + 1, np.uint64)
-        for r in range(ROWS):
-            h = W.mix(h * np.uint64(0xA24BAED4963EE407) + low[b * ROWS + r])
-        bands.append(h)
-    return np.column_stack(bands)
-
-
-def _bands(needed=None):
-    """Rows (band, key); with ``needed``, of bands that this filter lets through."""
+def _window_places(needed, bits: int):
+    """Places of windows whose shortened keys the filter lets through."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
                 for part in W.parts(batch.column("text")):
-                    tokens, at, keys = _shingles(*paragraphs(part))
-                    if not len(keys):
-                        continue
-                    bands = band_keys(tokens, at).reshape(-1).view(np.int64)
-                    keys = np.repeat(keys, BANDS)
-                    if needed is not None:
-                        good = set_bits(needed.value, bands & ((1 << BITS) - 1))
-                        bands, keys = bands[good], keys[good]
-                    yield pa.RecordBatch.from_arrays([pa.array(bands), pa.array(keys)], ["band", "key"])
+                    found, first, last, keys = windows(part)
+                    good = passes(needed.value, (keys.view(np.uint64) >> np.uint64(32 - bits)).view(np.int64))
+                    yield _place_rows(batch, part, found, first[good], last[good], keys[good])
 
     return rows
 
 
-def _needed_sets(needed):
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+LINES = "starts array<int>, ends array<int>"
+
+
+def _line_places(needed):
+    """Places of paragraphs that the filter lets through, with code points of all their words from
+    their start on."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
                 for part in W.parts(batch.column("text")):
-                    tokens, at, keys = _shingles(*paragraphs(part))
-                    ends = np.append(at[1:], len(tokens))
-                    good = np.flatnonzero(set_bits(needed.value, keys & ((1 << BITS) - 1)))
-                    sets = [np.unique(tokens[at[i] : ends[i]]).tobytes() for i in good.tolist()]
+                    found, first, last = paragraphs(part)
+                    keys = _text_keys(found, first, last)
+                    good = passes(needed.value, keys)
+                    first, last = first[good], last[good]
+                    places = _place_rows(batch, part, found, first, last, keys[good])
+                    points = np.append(0, np.cumsum((part.data & 0xC0) != 0x80))
+                    inner = [
+                        [(points[x[a:z]] - points[found.starts[a]]).tolist() for a, z in zip(first.tolist(), last.tolist())]
+                        for x in (found.starts, found.ends)
+                    ]
+                    arrays = [pa.array(x, pa.list_(pa.int32())) for x in inner]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[good]), pa.array(sets, pa.binary())], ["key", "tokens"]
+                        [*places.columns, *arrays], [*places.schema.names, "starts", "ends"]
                     )
 
-    return keep
+    return rows
 
 
-def _sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Shingle sets of the given keys, once each."""
-    slots = keys.select(F.expr(f"key & {(1 << BITS) - 1}L").alias("slot"))
-    rows = docs.mapInArrow(
-        _needed_sets(filter_bits(docs.sparkSession, slots)), "key long, tokens binary"
+def paragraph_places(docs: DataFrame, labels: DataFrame, shares: DataFrame) -> DataFrame:
+    """PLACES of linked paragraphs, cut to what they share; ``key`` stands for the component."""
+    known = written(
+        labels.join(shares, labels["node"] == shares["key"]).select("key", "component", "low", "high"), "known"
     )
-    rows = rows.join(keys, "key", "left_semi").groupBy("key").agg(F.min("tokens").alias("tokens"))
-    return written(rows, "sets")
-
-
-def _similar(one: np.ndarray, two: np.ndarray) -> bool:
-    same = len(np.intersect1d(one, two, assume_unique=True))
-    return 100 * same >= PERCENT * (len(one) + len(two) - same)
-
-
-def _verified_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        one, two = (batch.column(c).to_pylist() for c in ("tokens_a", "tokens_b"))
-        good = [_similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(one, two)]
-        yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    return (
-        pairs.join(sets.toDF("b", "tokens_b"), "b").join(sets.toDF("a", "tokens_a"), "a")
-        .select("a", "b", "tokens_a", "tokens_b").mapInArrow(_verified_rows, "a long, b long")
+    lines = docs.mapInArrow(_line_places(key_filter(known, "key")), f"{PLACES}, {LINES}").join(known, "key")
+    return lines.select(
+        F.xxhash64(F.lit(1), "component").alias("key"), "doc_id", "doc",
+        (F.col("word") + F.col("low")).cast("int").alias("word"), F.expr("CAST(high - low AS INT) AS words"),
+        F.expr("start + get(starts, CAST(low AS INT)) AS start"),
+        F.expr("start + get(ends, CAST(high - 1 AS INT)) AS end"),
+        F.expr("IF(low = 0, before, get(starts, CAST(low AS INT)) - get(ends, CAST(low - 1 AS INT))) AS before"),
+        F.expr("IF(high = words, after, get(starts, CAST(high AS INT)) - get(ends, CAST(high - 1 AS INT))) AS after"),
     )
 
 
-def _forest(block: pa.Table) -> pa.Table:
-    """Similar pairs between two chunks; one pair is enough for what is connected already."""
-    ids, own = block.column("key").to_pylist(), block.column("own").to_pylist()
-    sets = [np.frombuffer(x, np.uint64) for x in block.column("tokens").to_pylist()]
-    i, j = block.column("i")[0].as_py(), block.column("j")[0].as_py()
-    root, pairs = list(range(len(ids))), []
-
-    def top(x: int) -> int:
-        while root[x] != x:
-            root[x] = x = root[root[x]]
-        return x
-
-    for x in range(len(ids)):
-        for y in range(x):
-            if (i == j or own[x] != own[y]) and top(x) != top(y) and _similar(sets[x], sets[y]):
-                root[top(x)] = top(y)
-                pairs.append((ids[x], ids[y]))
-    columns = list(zip(*pairs)) or [(), ()]
-    return pa.table({c: pa.array(x, pa.int64()) for c, x in zip("ab", columns)})
-
-
-def _within_large(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Similar pairs of bands with many members, chunk by chunk."""
-    sizes = members.groupBy("band").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
-    placed = (
-        members.select("band", "key").join(sizes, "band")
-        .withColumn("own", F.pmod(F.xxhash64("key"), "chunks"))
-        .select("band", "key", "own", F.explode(F.expr("sequence(0L, chunks - 1)")).alias("other"))
-        .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+def _marked(places: DataFrame) -> DataFrame:
+    """Places of keys that have several, with the document in which the key stands first: the
+    smallest doc_id and, if that has several texts, one of them."""
+    first = places.groupBy("key").agg(
+        F.min("doc_id").alias("first_doc_id"), F.min_by("doc", "doc_id").alias("first_doc"), F.count("*").alias("n")
+    )
+    first = written(first.where("n > 1").drop("n"), "first")
+    home = (F.col("first_doc_id") == F.col("doc_id")) & (F.col("first_doc") == F.col("doc"))
+    return places.join(first, "key").withColumn("home", home).drop("first_doc")
+
+
+def passages(places: dict[str, np.ndarray]) -> list[tuple]:
+    """Stretches of neighbouring places of one document, tested for length as a whole and only then
+    split by ``removed`` and at gaps: (start, end, words, first_doc_id or None, removed). Words that
+    several places hold are removed if one of these is. Of a place that overlaps the first one of its
+    key, what the first one holds stays."""
+    a = places["word"].astype(np.int64)
+    z = a + places["words"]
+    removed, low = ~places["home"], a
+    home = np.flatnonzero(places["home"])
+    if len(home):
+        # Places come in the order of their words, so the first one of a key is its first here.
+        _, one, same = np.unique(places["key"][home], return_index=True, return_inverse=True)
+        later = home[one][same] != home
+        first_to = z[home[one]][same]
+        removed = removed.copy()
+        removed[home[later]] = True
+        over = home[later & (a[home] < first_to) & (z[home] > first_to)]
+        low = a.copy()
+        low[over] = first_to[later & (a[home] < first_to) & (z[home] > first_to)]
+    # Code points on both sides of each word border at which a place begins or ends.
+    border = np.concatenate([a, z])
+    left = np.concatenate([np.where(places["before"] < 0, 0, places["start"] - places["before"]), places["end"]])
+    right = np.concatenate([places["start"], np.where(places["after"] < 0, places["end"], places["end"] + places["after"])])
+    at, one = np.unique(border, return_index=True)
+    left, right = left[one], right[one]
+    n = len(at)
+    gone, held = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    i, j = np.searchsorted(at, low), np.searchsorted(at, z)
+    i = np.minimum(i, n - 1)
+    np.add.at(held, np.searchsorted(at, a), 1)
+    np.add.at(held, j, -1)
+    np.add.at(gone, i[removed], 1)
+    np.add.at(gone, j[removed], -1)
+    held, gone = np.cumsum(held) > 0, np.cumsum(gone) > 0
+    spans = np.flatnonzero(held[:-1])
+    if not len(spans):
+        return []
+    begin, end, out = at[spans], at[spans + 1], gone[spans]
+    gap = begin[1:] - end[:-1]
+    stretch = np.append(0, np.cumsum(gap > GAP_WORDS))
+    turn = np.append(0, np.cumsum((gap > 0) | (out[1:] != out[:-1])))
+    nearest = np.full(turn[-1] + 1, np.iinfo(np.int64).max)
+    np.minimum.at(nearest, turn[np.searchsorted(spans, i[removed])], places["first_doc_id"][removed])
+    x = np.flatnonzero(np.append(True, turn[1:] != turn[:-1]))
+    y = np.append(x[1:], len(turn)) - 1
+    x, y, nearest = (v[(np.bincount(stretch, end - begin) >= STRETCH_WORDS)[stretch[x]]] for v in (x, y, nearest))
+    return list(
+        zip(right[spans[x]].tolist(), left[spans[y] + 1].tolist(), (end[y] - begin[x]).tolist(), nearest.tolist(), out[x].tolist())
     )
-    blocks = placed.join(sets, "key").groupBy("band", "i", "j")
-    return blocks.applyInArrow(_forest, "a long, b long")
 
 
-def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of bands that hold several components, with their component and the band's size."""
-    now = members.join(labels, members["key"] == labels["node"], "left").select(
-        "band", "key", F.coalesce("component", "key").alias("own")
-    )
-    mixed = now.groupBy("band").agg(
-        F.min("own").alias("low"), F.max("own").alias("high"), F.count("*").alias("members")
-    )
-    return now.join(mixed.where("low <> high").select("band", "members"), "band")
+_COLUMNS = "key word words start end before after first_doc_id home".split()
 
 
-def linked_paragraphs(docs: DataFrame) -> DataFrame:
-    """Components of different paragraphs that are similar: (node, component), both keys."""
-    schema = "band long, key long"
-    groups = docs.mapInArrow(_bands(), schema).groupBy("band")
-    groups = groups.agg(F.min("key").alias("a"), F.max("key").alias("b"))
-    groups = written(groups.where("a <> b"), "bands")
-    slots = groups.select(F.expr(f"band & {(1 << BITS) - 1}L").alias("slot"))
-    some = docs.mapInArrow(_bands(filter_bits(docs.sparkSession, slots)), schema).distinct()
-    members = written(some.join(groups.select("band"), "band", "left_semi"), "members")
-    sets = _sets_of(docs, members.select("key").distinct())
-    stars = members.join(groups, "band").where("key <> a").select("a", F.col("key").alias("b")).distinct()
-    links = written(_verified(written(stars, "pairs"), sets), "links")
-    labels = written(components(links), "labels")
-    apart = written(_apart(members, labels), "apart")
-    few = apart.where(F.col("members") <= PAIRED)
-    if not few.isEmpty():
-        other = few.select("band", F.col("key").alias("a"), F.col("own").alias("other"))
-        pairs = few.join(other, "band").where("a < key AND own <> other").select("a", F.col("key").alias("b"))
-        links = written(links.union(_verified(written(pairs.distinct(), "pairs"), sets)), "links")
-        labels = written(components(links), "labels")
-    many = members.join(apart.where(F.col("members") > PAIRED).select("band").distinct(), "band", "left_semi")
-    many = written(_apart(many, labels), "apart")
-    if not many.isEmpty():
-        links = written(links.union(_within_large(many, sets)), "links")
-        labels = written(components(links), "labels")
-    return labels
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Passages of documents whose places come one after another. Of rows that repeat one holds the
+    first places; in the others all is removed."""
+    names = ["doc_id", "doc", "copies", *_COLUMNS]
+    held: list[dict[str, np.ndarray]] = []
 
+    def told(pieces: list[dict[str, np.ndarray]]) -> list[tuple]:
+        whole = pieces[0] if len(pieces) == 1 else {c: np.concatenate([x[c] for x in pieces]) for c in names}
+        doc_id, copies = int(whole["doc_id"][0]), int(whole["copies"][0])
+        rows = passages(whole)
+        if copies > 1:
+            rows = rows + passages({**whole, "home": np.zeros(len(whole["key"]), bool)}) * (copies - 1)
+        return [(doc_id, s, e, n, f if r else doc_id, r) for s, e, n, f, r in rows]
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
-    """Stretches of paragraphs and windows that also stand elsewhere, at least STRETCH_WORDS words long in all,
-    split into removed and kept rows of any length: ``doc_id, start, end`` (code points),
-    ``words``, ``first_doc_id`` (the smallest document in which a paragraph of it stands) and
-    ``removed`` (not the first place of a paragraph of it). Null and empty texts and rows without doc_id have none; rows that repeat hold
-    the same passages, of which all but one are removed."""
-    docs = id_and_text(docs).where("doc_id IS NOT NULL")
-    places = written(docs.mapInArrow(_places, PLACES), "places")
-    labels = linked_paragraphs(docs.select("text"))
-    twice = places.groupBy("key").agg(F.count("*").alias("places")).where("places > 1").select("key")
-    nodes = labels.select(F.col("node").alias("key"), "component")
-    known = written(
-        twice.join(nodes, "key", "full_outer").select("key", F.coalesce("component", "key").alias("component")),
-        "known",
-    )
-    found = written(places.join(known, "key").drop("key"), "found")
-    same = written(repeated_windows(docs), "windows").withColumnRenamed("key", "component")
-    return stretches(_marked(found).union(_marked(same)))
-
-
-def _marked(found: DataFrame) -> DataFrame:
-    """Places of components that have several, with ``first_doc_id`` and ``removed``. Of a place
-    that overlaps the first one, what the first one holds stays."""
-    place = F.struct("doc_id", "start", "end", "next", (F.col("word") + F.col("words")).alias("to"))
-    first = found.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    both = found.join(first.where("n > 1").drop("n"), "component")
-    removed = (F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start"))
-    over = removed & (F.col("doc_id") == F.col("first.doc_id")) & (F.col("word") < F.col("first.to"))
-    over &= F.col("word") + F.col("words") > F.col("first.to")
-    return both.select(
-        "doc_id",
-        F.when(over, F.col("first.next")).otherwise(F.col("start")).alias("start"), "end",
-        F.when(over, F.col("first.end")).otherwise(F.col("before")).alias("before"), "next",
-        F.when(over, F.col("first.to")).otherwise(F.col("word")).alias("word"),
-        F.when(over, F.col("word") + F.col("words") - F.col("first.to")).otherwise(F.col("words")).alias("words"),
-        F.col("first.doc_id").alias("first_doc_id"), removed.alias("removed"),
-    )
+    def rows_of(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64()] * 5 + [pa.bool_()]
+        columns = list(zip(*rows)) or [()] * 6
+        names = [c.split()[0] for c in PASSAGES.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        all_ = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
+        ids = all_["doc_id"], all_["doc"]
+        new = np.flatnonzero((ids[0][1:] != ids[0][:-1]) | (ids[1][1:] != ids[1][:-1])) + 1
+        edges, rows = [0, *new.tolist(), batch.num_rows], []
+        for a, b in zip(edges[:-1], edges[1:]):
+            piece = {c: v[a:b] for c, v in all_.items()}
+            if held and not (a == 0 and held[-1]["doc_id"][0] == ids[0][0] and held[-1]["doc"][0] == ids[1][0]):
+                rows += told(held)
+                held = []
+            held.append(piece)
+        yield rows_of(rows)
+    if held:
+        yield rows_of(told(held))
 
-def stretches(marked: DataFrame) -> DataFrame:
-    """Stretches of neighbouring paragraphs and windows, tested for length as a whole and only then
-    split by ``removed`` and at gaps. Words that several of them hold are removed if one of these is."""
-    gone = F.col("removed").cast("int")
-    begin = F.struct(
-        F.col("word").alias("at"), F.col("before").alias("until"), "start", gone.alias("gone"),
-        (1 - gone).alias("kept"), F.when(F.col("removed"), F.col("first_doc_id")).alias("first_doc_id"),
-    )
-    end = F.struct(
-        (F.col("word") + F.col("words")).alias("at"), F.col("end").alias("until"), F.col("next").alias("start"),
-        (-gone).alias("gone"), (gone - 1).alias("kept"), F.lit(None).cast("long").alias("first_doc_id"),
-    )
-    edges = marked.select("doc_id", F.explode(F.array(begin, end)).alias("edge")).select("doc_id", "edge.*")
-    edges = edges.groupBy("doc_id", "at").agg(
-        F.max("until").alias("until"), F.min("start").alias("start"), F.sum("gone").alias("gone"),
-        F.sum("kept").alias("kept"), F.min("first_doc_id").alias("first_doc_id"),
-    )
-    own = Window.partitionBy("doc_id").orderBy("at")
-    spans = edges.select(
-        "doc_id", "at", F.lead("at").over(own).alias("to"), "start", F.lead("until").over(own).alias("end"),
-        F.sum("gone").over(own).alias("gone"), F.sum("kept").over(own).alias("kept"),
-        F.last("first_doc_id", ignorenulls=True).over(own).alias("first"),
-    ).where("gone > 0 OR kept > 0")
-    spans = spans.select(
-        "doc_id", "at", "to", "start", "end", (F.col("gone") > 0).alias("removed"),
-        F.when(F.col("gone") > 0, F.col("first")).otherwise(F.col("doc_id")).alias("first_doc_id"),
-    )
-    gap = F.col("at") - F.lag("to").over(own)
-    turn = (gap > 0) | (F.col("removed") != F.lag("removed").over(own))
-    spans = spans.withColumns({
-        "stretch": F.coalesce(gap > GAP_WORDS, F.lit(True)).cast("int"), "turn": F.coalesce(turn, F.lit(True)).cast("int"),
-    })
-    spans = spans.withColumns({"stretch": F.sum("stretch").over(own), "turn": F.sum("turn").over(own)})
-    length = F.sum(F.col("to") - F.col("at")).over(Window.partitionBy("doc_id", "stretch"))
-    passages = spans.withColumn("length", length).where(F.col("length") >= STRETCH_WORDS)
-    passages = passages.groupBy("doc_id", "turn", "removed").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"),
-        (F.max("to") - F.min("at")).alias("words"), F.min("first_doc_id").alias("first_doc_id"),
-    )
-    return passages.select("doc_id", "start", "end", "words", "first_doc_id", "removed")
+
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """Passages that also stand elsewhere, equal or similar, of at least STRETCH_WORDS words in all,
+    split into removed and kept rows of any length: ``doc_id, start, end`` (code points), ``words``,
+    ``first_doc_id`` (the smallest document in which a part of it stands first) and ``removed`` (not
+    the first place of a part of it). Null and empty texts and rows without doc_id have none; rows that
+    repeat hold the same passages, of which all but one are removed; rows that share a doc_id but not
+    the text are documents of their own."""
+    docs = id_and_text(docs).where("doc_id IS NOT NULL").withColumn("doc", F.xxhash64("text"))
+    links = written(paragraph_links(docs), "links")
+    bits, twice = repeated_window_keys(docs)
+    needed = key_filter(twice, "short")
+    places = docs.mapInArrow(_window_places(needed, bits), PLACES)
+    if not links.isEmpty():
+        labels, shares = _linked(links)
+        places = places.union(paragraph_places(docs, labels, shares))
+    places = written(places, "places", "zstd")
+    needed.destroy()
+    marked = _marked(places)
+    copies = docs.groupBy("doc_id", "doc").agg(F.count("*").alias("copies"))
+    copies = written(copies.where("copies > 1"), "copies")
+    if copies.isEmpty():
+        marked = marked.withColumn("copies", F.lit(1))
+    else:
+        # Rows that repeat hold the same places; they count once and are told as often as they stand.
+        marked = marked.dropDuplicates(["doc_id", "doc", "key", "word", "words"])
+        marked = marked.join(copies, ["doc_id", "doc"], "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+    dealt = marked.repartition("doc_id", "doc").sortWithinPartitions("doc_id", "doc", "word", "words")
+    return dealt.select("doc_id", "doc", "copies", *_COLUMNS).mapInArrow(_passages, PASSAGES)
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,52 +40,64 @@ def written(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-BROADCAST_IDS = 500_000  # of at most 16 bytes each
+FILTER_BITS = (16, 26)  # least and most, as powers of two: 8 KB to 8 MB
+CHUNK_BITS = 16  # of a filter that one task sets: 8 KB
 
 
-def small_broadcast(ids: DataFrame) -> DataFrame:
-    """A written table of ids, to be broadcast if it is counted to be small; else joined as usual."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+def _set_bits(chunk: pa.Table) -> pa.Table:
+    marks = np.zeros(1 << CHUNK_BITS, bool)
+    marks[chunk.column("place").to_numpy()] = True
+    packed = np.packbits(marks, bitorder="little").tobytes()
+    return pa.table({"chunk": chunk.column("chunk")[:1], "bits": pa.array([packed], pa.binary())})
+
+
+def key_filter(table: DataFrame, key: str):
+    """A filter over 64-bit keys of a written table, told to all tasks: it lets every one of them
+    through, and of others about one in eight or fewer. It has eight bits per row up to its largest
+    size; beyond that more others pass. It saves work and decides nothing. Tasks set its bits, and
+    the driver puts the chunks together."""
+    bits = min(FILTER_BITS[1], max(FILTER_BITS[0], (8 * table.count()).bit_length()))
+    slot = F.col(key).bitwiseAND(F.lit((1 << bits) - 1))
+    slots = table.select(slot.alias("slot")).distinct().select(
+        F.shiftright("slot", CHUNK_BITS).alias("chunk"),
+        F.col("slot").bitwiseAND(F.lit((1 << CHUNK_BITS) - 1)).alias("place"),
+    )
+    found = bytearray(1 << (bits - 3))
+    for row in slots.groupBy("chunk").applyInArrow(_set_bits, "chunk long, bits binary").collect():
+        at = row["chunk"] << (CHUNK_BITS - 3)
+        found[at : at + len(row["bits"])] = row["bits"]
+    return table.sparkSession.sparkContext.broadcast(np.frombuffer(bytes(found), np.uint8))
+
+
+def passes(filter_: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = keys & (8 * len(filter_) - 1)
+    return (filter_[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected links ``(a, b)``: rows ``(node, component)``, where the
     component is the smallest node. Links from a node to itself keep it as a node of its own.
 
-    Large-star and small-star steps in turn (Kiveris et al. 2014): each links neighbours of a node
-    to the smallest of them, so every component becomes a star around its smallest node after
-    about log(n) rounds. Minima are combined before the shuffle, and the join that hands a minimum
-    to all neighbours of a hot node can be split; no list of neighbours is ever gathered.
+    Large-star and small-star steps in turn (Kiveris et al. 2014), on links kept from the larger node
+    to the smaller: each hands the smallest neighbour of a node to the others, so every component
+    becomes a star around its smallest node after about log(n) rounds. Minima are combined before
+    the shuffle, and the join that hands a minimum to all neighbours of a hot node can be split; no
+    list of neighbours is ever gathered. A round is one written table and one sum over it: the search
+    ends when a round changes nothing.
     """
     nodes = edges.select("a").union(edges.select("b")).distinct()
-    links = written(
-        edges.where("a <> b")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct(),
-        "links",
-    )
+    links = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    links, before = written(links.distinct(), "links"), None
     while True:
-        both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
-        large = (
-            both.join(least, "a")
-            .where("b > a")
-            .select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
-        )
-        large = written(large.where("a <> b").distinct(), "links")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
-        small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            least.select("a", F.col("m").alias("b"))
-        )
-        links = written(small.where("a <> b").distinct(), "links")
-        # Stars around smallest nodes: every node has one link down, and no centre has one.
-        ups = links.select(F.col("b").alias("a")).distinct()
-        if (
-            links.join(ups, "a", "left_semi").isEmpty()
-            and links.groupBy("a").count().where("count > 1").isEmpty()
-        ):
+        now = links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+        if now == before or not now[0]:
             break
+        before = now
+        down = links.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("b"), "m")
+        large = links.join(down, "b", "left").select("a", F.coalesce("m", "b").alias("b")).distinct()
+        down = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(down, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        links = written(small.union(down.select("a", F.col("m").alias("b"))).distinct(), "links")
     return nodes.join(links, nodes["a"] == links["a"], "left").select(
         nodes["a"].alias("node"), F.coalesce(links["b"], nodes["a"]).alias("component")
     )
