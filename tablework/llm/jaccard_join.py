@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.llm import words as W
-from tablework.llm.shared import components, documents, id_and_text, small_broadcast, written
+from tablework.llm.shared import components, documents, id_and_text, key_filter, passes, written
 
 WORDS, PERCENT = 5, 75
 RARE = 8  # fewer documents than this: a rare shingle
@@ -44,7 +44,6 @@ SMALL_SET = 16  # smaller sets use single shingles only
 CHUNK_SETS, CHUNK_SHINGLES = 256, 1 << 19  # sets and shingles of a chunk of a block, about
 COUNT_ROWS = 1 << 20  # shingles that a task counts before it passes them on
 BUCKET_SIZE = 4 << 20  # shingles counted at once after the shuffle, about
-BITS = 25  # of the filters that tell which texts and signatures are needed again, 4 MB each
 
 _K1, _K2 = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -69,7 +68,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _count_bucket_rows(tokens: list[np.ndarray], bits: int) -> pa.RecordBatch:
+def count_bucket_rows(tokens: list[np.ndarray], bits: int) -> pa.RecordBatch:
     """Shingles counted in this task: per bucket those seen once, the others, and their counts."""
     short = np.concatenate(tokens) >> np.uint64(32 - bits)
     short, counts = np.unique(short, return_counts=True)
@@ -104,15 +103,15 @@ def _token_counts(bits: int):
                             held.append(tokens)
                             size += len(tokens)
                     if size >= COUNT_ROWS:
-                        yield _count_bucket_rows(held, bits)
+                        yield count_bucket_rows(held, bits)
                         held, size = [], 0
             if held:
-                yield _count_bucket_rows(held, bits)
+                yield count_bucket_rows(held, bits)
 
     return count
 
 
-def _frequent_of_bucket(least: int):
+def frequent_of_bucket(least: int):
     def total(frame: pd.DataFrame) -> pd.DataFrame:
         tokens = np.concatenate(
             [np.frombuffer(x, np.uint32) for c in ("once", "more") for x in frame[c]]
@@ -144,7 +143,7 @@ def frequent_shingles(docs: DataFrame, total: int) -> tuple[int, np.ndarray, np.
         _token_counts(bits), "bucket long, once binary, more binary, counts binary"
     )
     counts = written(
-        rows.groupBy("bucket").applyInPandas(_frequent_of_bucket(RARE), "short long, count long"),
+        rows.groupBy("bucket").applyInPandas(frequent_of_bucket(RARE), "short long, count long"),
         "frequent",
     )
     powers = counts.groupBy(F.floor(F.log2("count")).alias("power")).count().collect()
@@ -232,8 +231,7 @@ def _signature_rows(shared, bits: int, needed=None):
                             classes = np.where(short[at] == cut, kind[at], 0)
                         own = signatures(tokens, classes)
                         if needed is not None:
-                            slots = (own & np.uint64((1 << BITS) - 1)).astype(np.int64)
-                            own = own[set_bits(needed.value, slots)]
+                            own = own[passes(needed.value, own.view(np.int64))]
                         signs.append(own)
                         sizes.append(len(own))
                         keys.append(set_key(tokens))
@@ -251,45 +249,32 @@ def _signature_rows(shared, bits: int, needed=None):
 
 def _needed_texts(needed):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = needed.value
         pack = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
-            slot = batch.column("slot").to_numpy()
-            batch = batch.filter(pa.array(set_bits(bits, slot)))
-            texts = [pack(x.encode()) for x in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "packed"]
-            )
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                good = passes(needed.value, batch.column("slot").to_numpy())
+                texts = batch.column("text").filter(pa.array(good))
+                keys, packed = [], []
+                for part in W.parts(texts):
+                    for i, tokens in enumerate(W.shingle_sets(W.words(part), WORDS)):
+                        if len(tokens):
+                            keys.append(set_key(tokens))
+                            packed.append(pack(part.text(i)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.int64()), pa.array(packed, pa.binary())], ["key", "packed"]
+                )
 
     return keep
 
 
-def _slot(name: str):
-    return F.pmod(F.xxhash64(name), F.lit(1 << BITS)).cast("int")
-
-
-def filter_bits(spark: SparkSession, slots: DataFrame):
-    """The set slots of a filter of fixed size (a column ``slot``), told to all tasks."""
-    marks = slots.groupBy(F.expr("slot div 64").alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, CAST(slot % 64 AS INT))")).alias("bits")
-    ).toPandas()
-    bits = np.zeros(1 << (BITS - 6), np.int64)
-    bits[marks["word"].to_numpy(np.int64)] = marks["bits"].to_numpy(np.int64)
-    return spark.sparkContext.broadcast(bits)
-
-
-def set_bits(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    return (bits[slot >> 6] >> (slot & 63)) & 1 == 1
-
-
-def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Compressed texts of the documents named in ``ids``, once each. A filter of fixed size keeps
-    most other texts out of the shuffle; the join decides."""
-    needed = filter_bits(docs.sparkSession, ids.select(_slot("doc_id").alias("slot")))
-    rows = docs.select("doc_id", "text", _slot("doc_id").alias("slot")).mapInArrow(
-        _needed_texts(needed), "doc_id long, packed binary"
+def texts_of(docs: DataFrame, sets: DataFrame, keys: DataFrame) -> DataFrame:
+    """A compressed text for each of the sets named in ``keys``. Of the documents, only those that
+    ``sets`` names for them are looked at, and a few more that a filter lets through."""
+    ids = written(sets.join(keys, "key").select("key", F.xxhash64("doc_id").alias("slot")), "ids")
+    rows = docs.select("text", F.xxhash64("doc_id").alias("slot")).mapInArrow(
+        _needed_texts(key_filter(ids, "slot")), "key long, packed binary"
     )
-    return rows.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("packed").alias("packed"))
+    return rows.join(ids, "key", "left_semi").groupBy("key").agg(F.min("packed").alias("packed"))
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,7 +303,7 @@ def _similar_in_block(block: pa.Table) -> pa.Table:
     as connect what all of them connect."""
     with np.errstate(over="ignore"):
         sets = [_tokens(x) for x in block.column("packed").to_pylist()]
-    ids, own = block.column("doc_id").to_numpy(), block.column("own").to_numpy()
+    ids, own = block.column("key").to_numpy(), block.column("own").to_numpy()
     sizes = np.array([len(x) for x in sets])
     single = block.column("i")[0].as_py() == block.column("j")[0].as_py()
     right = np.arange(len(ids)) if single else np.flatnonzero(own == own.max())
@@ -349,10 +334,10 @@ def _similar_in_block(block: pa.Table) -> pa.Table:
     )
 
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Of pairs (a, b) of documents those whose sets are similar enough."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = written(texts_of(docs, ids), "texts")
+def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Of pairs (a, b) of sets those that are similar enough."""
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    texts = written(texts_of(docs, sets, keys), "texts")
     one = texts.toDF("a", "packed_a")
     two = texts.toDF("b", "packed_b")
     return (
@@ -362,28 +347,28 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _still_apart(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of signatures that hold more than one component: sign, doc_id, n_shingles, own (the
-    component) and members (of the signature)."""
-    now = members.join(labels, members["doc_id"] == labels["node"], "left").select(
-        members["*"], F.coalesce("component", "doc_id").alias("own")
+    """Members of signatures that hold more than one component: sign, key, n_shingles, own (the
+    component), members (of the signature) and least (the smallest key among them)."""
+    now = members.join(labels, members["key"] == labels["node"], "left").select(
+        members["*"], F.coalesce("component", "key").alias("own")
     )
     apart = now.groupBy("sign").agg(
         F.min("own").alias("low"), F.max("own").alias("high"), F.count("*").alias("members"),
-        F.min("doc_id").alias("least"),
+        F.min("key").alias("least"),
     )
     return now.join(apart.where("low <> high").drop("low", "high"), "sign")
 
 
 def _clusters(apart: DataFrame) -> DataFrame:
-    """Documents that signatures connect: doc_id, n_shingles and the cluster's smallest doc_id."""
-    ties = written(apart.select(F.col("doc_id").alias("a"), F.col("least").alias("b")).distinct(), "ties")
-    sizes = apart.select("doc_id", "n_shingles").distinct()
-    return components(ties).join(sizes, F.col("node") == F.col("doc_id")).select(
-        "doc_id", "n_shingles", F.col("component").alias("cluster")
+    """Sets that signatures connect: key, n_shingles and the cluster's smallest key."""
+    ties = written(apart.select(F.col("key").alias("a"), F.col("least").alias("b")).distinct(), "ties")
+    sizes = apart.select("key", "n_shingles").distinct()
+    return components(ties).join(sizes, F.col("node") == F.col("key")).select(
+        "key", "n_shingles", F.col("component").alias("cluster")
     )
 
 
-def _links_within(docs: DataFrame, members: DataFrame) -> DataFrame:
+def _links_within(docs: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     """All similar pairs of a cluster, found in blocks. A cluster is dealt into chunks of bounded
     size; each two chunks meet in one task, where shared shingles are counted by postings. What
     leaves it is a forest over the similar pairs."""
@@ -394,19 +379,27 @@ def _links_within(docs: DataFrame, members: DataFrame) -> DataFrame:
     )
     placed = (
         members.join(chunks, "cluster")
-        .withColumn("own", F.pmod(F.xxhash64("doc_id"), "chunks"))
-        .select("doc_id", "cluster", "own", F.explode(F.expr("sequence(0L, chunks - 1)")).alias("other"))
+        .withColumn("own", F.pmod(F.xxhash64("key"), "chunks"))
+        .select("key", "cluster", "own", F.explode(F.expr("sequence(0L, chunks - 1)")).alias("other"))
         .withColumn("i", F.least("own", "other"))
         .withColumn("j", F.greatest("own", "other"))
     )
-    texts = written(texts_of(docs, members.select("doc_id").distinct()), "texts")
+    texts = written(texts_of(docs, sets, members.select("key").distinct()), "texts")
     return (
-        placed.join(texts, "doc_id")
+        placed.join(texts, "key")
         .groupBy("cluster", "i", "j")
         .applyInArrow(_similar_in_block, "a long, b long")
     )
 
 
+def _same_document(rows: DataFrame) -> DataFrame:
+    """Links between the sets of a doc_id that several rows with unlike texts share."""
+    own = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "key")
+    several = own.groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("high"))
+    several = several.where("a <> high").select("doc_id", "a")
+    return own.join(several, "doc_id").where("key <> a").select("a", F.col("key").alias("b"))
+
+
 def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(doc_id, n_shingles, key)`` of every row, and ``(key, n_shingles, component_id)`` of every
     set that is not empty."""
@@ -433,54 +426,56 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("rows")
     )
     groups = written(groups.where("low <> high"), "signatures")
-    small = groups.where("rows = 2").select(F.col("low").alias("x"), F.col("high").alias("y"))
+    small = groups.where("rows = 2").select(F.col("low").alias("a"), F.col("high").alias("b"))
     large = groups.where("rows > 2").select("sign")
-    needed = filter_bits(spark, large.select(F.expr(f"sign & {(1 << BITS) - 1}L").alias("slot")))
+    needed = key_filter(large, "sign")
     signs = texts.mapInArrow(_signature_rows(shared, bits, needed), "sign long, key long")
+    named = sets.select("key", "n_shingles")
     members = written(
         signs.distinct().join(large, "sign", "left_semi")
-        .join(sets, "key").select("sign", "key", "doc_id", "n_shingles"),
+        .join(named, "key").select("sign", "key", "n_shingles"),
         "members",
     )
     near = "4 * least(n, m) >= 3 * greatest(n, m)"
-    named = sets.select("key", "doc_id", "n_shingles")
-    pairs = (
-        small.distinct()
-        .join(named.toDF("x", "a", "n"), "x")
-        .join(named.toDF("y", "b", "m"), "y")
-    )
-    centres = members.groupBy("sign").agg(F.min(F.struct("doc_id", "n_shingles")).alias("best"))
-    centres = centres.select("sign", F.col("best.doc_id").alias("a"), F.expr("best.n_shingles AS n"))
-    stars = members.join(centres, "sign").where("doc_id <> a")
+    pairs = small.distinct().join(named.toDF("a", "n"), "a").join(named.toDF("b", "m"), "b")
+    centres = members.groupBy("sign").agg(F.min(F.struct("key", "n_shingles")).alias("best"))
+    centres = centres.select("sign", F.col("best.key").alias("a"), F.expr("best.n_shingles AS n"))
+    stars = members.join(centres, "sign").where("key <> a")
     pairs = pairs.select("a", "b", "n", "m").union(
-        stars.select("a", F.col("doc_id").alias("b"), "n", F.col("n_shingles").alias("m"))
+        stars.select("a", F.col("key").alias("b"), "n", F.col("n_shingles").alias("m"))
     )
     pairs = pairs.where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = written(verified(docs, written(pairs.distinct(), "pairs")), "joined")
+    links = verified(docs, sets, written(pairs.distinct(), "pairs")).union(_same_document(rows))
+    links = written(links, "joined")
     labels = written(components(links), "labels")
     apart = written(_still_apart(members, labels), "apart")
     few = apart.where(F.col("members") <= PAIRED)
     if not few.isEmpty():
-        one = few.select("sign", F.col("doc_id").alias("a"), F.col("n_shingles").alias("n"), F.col("own").alias("other"))
-        pairs = few.withColumnsRenamed({"doc_id": "b", "n_shingles": "m"}).join(one, "sign")
+        one = few.select("sign", F.col("key").alias("a"), F.col("n_shingles").alias("n"), F.col("own").alias("other"))
+        pairs = few.withColumnsRenamed({"key": "b", "n_shingles": "m"}).join(one, "sign")
         pairs = pairs.where("a < b AND own <> other").where(near).select("a", "b").distinct()
-        links = written(links.union(verified(docs, written(pairs, "pairs"))), "joined")
+        links = written(links.union(verified(docs, sets, written(pairs, "pairs"))), "joined")
         labels = written(components(links), "labels")
     many = members.join(apart.where(F.col("members") > PAIRED).select("sign").distinct(), "sign")
     many = written(_still_apart(many, labels), "apart")
     if not many.isEmpty():
-        links = written(links.union(_links_within(docs, written(_clusters(many), "clusters"))), "joined")
+        links = written(links.union(_links_within(docs, sets, written(_clusters(many), "clusters"))), "joined")
         labels = written(components(links), "labels")
-    found = sets.join(labels, sets["doc_id"] == labels["node"], "left").select(
-        "key", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
+    found = written(
+        sets.join(labels, sets["key"] == labels["node"], "left").select(
+            "key", "n_shingles", "doc_id", F.coalesce("component", "key").alias("component")
+        ),
+        "components",
     )
-    return rows, written(found, "components")
+    least = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return rows, written(found.join(least, "component").select("key", "n_shingles", "component_id"), "classes")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the smallest doc_id that
     links reach). Empty texts have no shingles and are their own component; repeated rows and
-    equal texts share one; a row without doc_id is linked with nothing and has no component."""
+    equal texts share one; rows that share a doc_id are one document, linked by any of its texts; a
+    row without doc_id is linked with nothing and has no component."""
     rows, found = linked_classes(docs)
     found = found.select(
         F.col("key").alias("k"), F.col("n_shingles").alias("n"), "component_id"
@@ -497,8 +492,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         jaccard_components(docs).select("doc_id", "component_id").where("doc_id <> component_id").distinct(),
         "dropped",
     )
-    found = small_broadcast(found.select("doc_id"))
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(found.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
