@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm.shared import documents, id_and_text, small_broadcast, written
+from tablework.llm.shared import documents, id_and_text, written
 
 WORDS, PERCENT = 5, 75
 RADIUS = 3
@@ -194,9 +194,12 @@ def _counted(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 
 def _candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Where items may begin in documents: (doc_id, text_hash, item_id, item_hash, start, n)."""
+    """Where items may begin in documents, with the stretch of word hashes that an item covers there:
+    (doc_id, text_hash, item_id, item_hash, start, hashes). Items are looked for in blocks whose
+    fingerprints are broadcast, as many as it takes; documents are not shuffled for it."""
     found = None
     windows = {r["window"] for r in items.select("window").distinct().collect()}
+    keys = ["doc_id", "text_hash", "item_id", "item_hash", "start"]
     for window, _, step in CLASSES:
         if window not in windows:
             continue
@@ -205,19 +208,21 @@ def _candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
             "item_id", "item_hash", "n", F.col("place").alias("offset"),
             F.col("print").alias("item_print"), F.explode(_blocks("print")).alias("b"),
         ).select("*", "b.*").drop("b")
-        if index.count() <= BROADCAST_ROWS:
-            index = F.broadcast(index)
-        probes = window_fingerprints(docs, window, step)
-        probes = probes.select("*", F.explode(_blocks("print")).alias("b")).select("*", "b.*").drop("b")
-        near = probes.join(index, ["block", "bits"]).where(
-            F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS
-        )
-        near = near.select(
-            "doc_id", "text_hash", "item_id", "item_hash", "n",
-            (F.col("place") - F.col("offset")).alias("start"),
-        )
-        found = near if found is None else found.union(near)
-    return found.distinct()
+        blocks = max(1, -(-index.count() // BROADCAST_ROWS))
+        block = F.pmod(F.xxhash64("item_id", "item_hash", "offset"), F.lit(blocks))
+        for i in range(blocks):
+            probes = window_fingerprints(docs.withColumn("all", F.col("hashes")), window, step)
+            probes = probes.select("*", F.explode(_blocks("print")).alias("b")).select("*", "b.*").drop("b")
+            near = probes.join(F.broadcast(index.where(block == i)), ["block", "bits"]).where(
+                F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS
+            )
+            start = F.col("place") - F.col("offset")
+            near = near.withColumn("start", start).withColumn("first", F.greatest("start", F.lit(0)))
+            near = near.where((F.col("start") + F.col("n") > 0) & (F.col("start") < F.size("all")))
+            stretch = F.slice("all", F.col("first") + 1, F.col("start") + F.col("n") - F.col("first"))
+            near = near.select(*keys, stretch.alias("hashes"))
+            found = near if found is None else found.union(near)
+    return found.dropDuplicates(keys)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -234,22 +239,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     if items.isEmpty():
         return spark.createDataFrame([], schema)
     hashed = rows.select("doc_id", "text_hash", _hashes("text").alias("hashes"))
-    places = written(_candidates(hashed, items), "candidates")
-    # Only texts with a candidate are needed again. Beyond the limit all texts are shuffled.
-    needed = written(places.select("doc_id", "text_hash").distinct(), "needed")
-    texts = rows.join(small_broadcast(needed), ["doc_id", "text_hash"], "left_semi")
-    texts = texts.dropDuplicates(["doc_id", "text_hash"]).select(
-        "doc_id", "text_hash", _hashes("text").alias("all_hashes")
-    )
+    windows = written(_candidates(hashed, items), "windows")
     keys = ["doc_id", "text_hash", "item_id", "item_hash", "start"]
-    first = F.greatest(F.col("start"), F.lit(0))
-    stretch = F.slice("all_hashes", first + 1, F.col("start") + F.col("n") - first)
-    windows = written(
-        places.join(texts, ["doc_id", "text_hash"])
-        .where((F.col("start") + F.col("n") > 0) & (F.col("start") < F.size("all_hashes")))
-        .select(*keys, stretch.alias("hashes")),
-        "windows",
-    )
     in_item = _counted(items, ["item_id", "item_hash"], "in_item")
     of_item = items.select("item_id", "item_hash", F.greatest(F.col("n") - (WORDS - 1), F.lit(1)).alias("n_item"))
     of_window = F.greatest(F.size("hashes") - (WORDS - 1), F.lit(1))
@@ -276,7 +267,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark passage; all columns."""
     found = written(contaminated(docs, benchmark).select("doc_id").distinct(), "contaminated")
-    return docs.join(small_broadcast(found), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
