@@ -3,7 +3,7 @@
 A text is read as UTF-8 bytes in chunks of CHUNK bytes; within a chunk one network runs forward and
 one backward. At every byte the two states give probabilities of all languages; a document's
 probabilities are their mean over all its bytes. The network is trained here, in numpy, by
-backpropagation through time, on chunks of at most TRAIN_ROWS documents.
+backpropagation through time, on chunks of TRAIN_ROWS documents at most (one of each language at least).
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablework.llm.labels import remainder
@@ -23,6 +23,7 @@ CHUNK = 48
 HIDDEN = 6
 TRAIN_ROWS, TRAIN_CHUNKS = 3000, 4  # documents, and chunks taken from each at even distances
 STEPS, BATCH, RATE = 260, 384, 0.02
+RARE_SHARE = 0.5
 LANES = 4096  # chunks that go through the network at once
 FOLDS, HELD_OUT = 4, 2
 
@@ -141,7 +142,8 @@ def lanes_of(data: np.ndarray, offsets: np.ndarray, chunk: int = CHUNK):
 
 
 def fit(chunks: list[bytes], target: np.ndarray, languages: list[str]) -> Network:
-    """Adam over random batches of chunks."""
+    """Adam over random batches of chunks. Each language gets at least a RARE_SHARE of an equal share
+    of the draws, however few chunks it has."""
     network = Network(languages)
     if len(languages) < 2 or not chunks:
         return network
@@ -149,8 +151,12 @@ def fit(chunks: list[bytes], target: np.ndarray, languages: list[str]) -> Networ
     ids, real, _ = lanes_of(np.frombuffer(b"".join(chunks), np.uint8), ends)
     random, weights = np.random.default_rng(3), network.weights()
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
+    counts = np.bincount(target, minlength=len(languages)).astype(float)
+    share = np.maximum(counts / counts.sum(), RARE_SHARE / len(languages))
+    chance = (share / share.sum() / np.maximum(counts, 1))[target]
+    chance /= chance.sum()
     for step in range(1, STEPS + 1):
-        some = random.integers(0, len(chunks), BATCH)
+        some = random.choice(len(chunks), BATCH, p=chance)
         rate = RATE * min(1.0, 2.0 * (1 - step / (STEPS + 1)))
         for w, g, m, s in zip(weights, network.slopes(ids[:, some], real[:, some], target[some]), first, second):
             m += 0.1 * (g - m)
@@ -176,11 +182,16 @@ def _training_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Network:
-    """Reads at most ``rows`` documents that have a language and are not held out."""
+    """Reads documents that have a language and are not held out: of each language the first by hash,
+    as many as give ``rows`` in all if every language has so many, and at least one. So each language
+    that any of them has is learnt."""
     named = docs.where(docs["lang"].isNotNull() & docs["doc_id"].isNotNull())
     named = named.where(remainder(F.col("doc_id"), FOLDS) != HELD_OUT)
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = named.select("doc_id").distinct().orderBy(*order).limit(rows)
+    languages = named.select("lang").distinct().count()
+    each = max(1, rows // max(1, languages))
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = named.select("doc_id", "lang").distinct().withColumn("rank", F.row_number().over(by_hash))
+    chosen = chosen.where(F.col("rank") <= each).select("doc_id").distinct()
     own = named.select(
         named["doc_id"].cast("long").alias("doc_id"), named["lang"].cast("string").alias("lang"),
         F.coalesce(named["text"].cast("string"), F.lit("")).alias("text"),

@@ -2,8 +2,8 @@
 
 zstandard ratios (bytes over compressed bytes) of the whole text and of fixed chunks. Ordinary prose
 lies in a band that depends on the length: short texts hardly compress, long ones do. A text above
-the band repeats itself, one below it is noise; a text is rejected as well if a third of its chunks
-are outside theirs.
+the band repeats itself, one below it is noise; a text is rejected as well if a third of its bytes lie
+in chunks outside theirs. The last chunk counts like the others, with the band of its length.
 """
 
 from __future__ import annotations
@@ -65,19 +65,25 @@ def repeated_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
+def band(size: int) -> tuple[float, float]:
+    """Least and largest ratio of ordinary text of so many bytes."""
+    return next((low, high) for most, low, high in BANDS if size <= most)
+
+
 def in_bands(text: bytes, press: zstandard.ZstdCompressor) -> tuple[float, float, bool]:
-    """Ratio of the whole text, share of odd chunks, and whether both are as in ordinary text."""
+    """Ratio of the whole text, share of its bytes in odd chunks, and whether both are as in ordinary
+    text. The last chunk, which may be shorter, has the band of its own length."""
     if not text:
         return 0.0, 0.0, False
     ratio = len(text) / len(press.compress(text))
-    least, most = next((low, high) for size, low, high in BANDS if len(text) <= size)
-    full = len(text) // CHUNK
-    odd = 0
-    for i in range(full):
-        own = CHUNK / len(press.compress(text[i * CHUNK : (i + 1) * CHUNK]))
-        odd += not CHUNK_BAND[0] <= own <= CHUNK_BAND[1]
-    share = odd / full if full else 0.0
-    return ratio, share, least <= ratio <= most and 3 * share < 1
+    odd = 0  # bytes in chunks outside their band
+    for i in range(0, len(text), CHUNK):
+        chunk = text[i : i + CHUNK]
+        own = len(chunk) / len(press.compress(chunk)) if len(text) > CHUNK else ratio
+        low, high = CHUNK_BAND if len(chunk) == CHUNK and len(text) > CHUNK else band(len(chunk))
+        odd += len(chunk) * (not low <= own <= high)
+    low, high = band(len(text))
+    return ratio, odd / len(text), low <= ratio <= high and 3 * odd < len(text)
 
 
 def _rules(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tablework.llm import decontaminate, jaccard_join, line_dedup, paragraph_dedup
 from tablework.llm import words as W
-from tests.llm.conftest import SCHEMA, item_texts, sentence, text
+from tests.llm.conftest import edited, item_texts, SCHEMA, sentence, text
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -377,3 +377,94 @@ def test_cuts_within_a_passage_do_not_depend_on_its_surroundings():
 def test_paragraph_dedup_of_nothing(nothing):
     assert paragraph_dedup.repeated_passages(nothing).count() == 0
     assert SCHEMA.startswith("doc_id")
+
+
+def test_rows_of_one_document_with_unlike_texts_are_linked_by_any_of_them(spark):
+    rng = random.Random(31)
+    one, two, three = (sentence(rng, 60) for _ in range(3))
+    rows = [(1, one), (1, two), (2, edited(rng, two, 1)), (5, one), (5, three), (4, edited(rng, three, 1)), (9, text(rng, 3))]
+    found = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {(r.doc_id, r.component_id) for r in found.collect()} == {(1, 1), (2, 1), (5, 1), (4, 1), (9, 9)}
+
+
+def test_paragraph_dedup_keeps_unlike_texts_of_one_doc_id_apart(spark):
+    """Two rows of document 3: one with 40 words of its own before a repeated passage."""
+    rng = random.Random(32)
+    passage, own = sentence(rng, 60), sentence(rng, 40)
+    rows = [(1, passage), (3, f"{own}\n{passage}"), (3, f"{sentence(rng, 3)}\n{passage}")]
+    found = paragraph_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    removed = sorted((r.doc_id, r.start, r.end) for r in found.collect() if r.removed)
+    assert removed == sorted((3, len(t) - len(passage), len(t)) for _, t in rows[1:])
+
+
+def test_paragraph_dedup_of_repeated_rows(spark):
+    rng = random.Random(33)
+    once, both = sentence(rng, 50), sentence(rng, 50)
+    rows = [(1, once)] * 3 + [(2, both), (3, both)]
+    found = paragraph_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted((r.doc_id, r.start, r.end, r.removed) for r in found.collect()) == sorted(
+        [(1, 0, len(once), False), (2, 0, len(both), False), (3, 0, len(both), True)] + [(1, 0, len(once), True)] * 2
+    )
+
+
+def test_recall_of_similar_lines(spark):
+    """150 pairs of a 60-word line with one changed word, and pairs of all similarities above 0.75."""
+    rng = random.Random(34)
+    rows = []
+    for i in range(150):
+        words = sentence(rng, 60).split(" ")
+        other = list(words)
+        other[rng.randrange(60)] = f"other{i}"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("doc", F.xxhash64("text"))
+    found = paragraph_dedup.linked_paragraphs(docs).groupBy("component").count()
+    assert found.where("count = 2").count() >= 140
+
+    def shingles(words):
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    pairs, similar = [], 0
+    for i in range(400):
+        words = sentence(rng, rng.randint(30, 90)).split(" ")
+        other = list(words)
+        for _ in range(rng.randint(1, 3)):
+            other[rng.randrange(len(words))] = f"other{rng.random()}"
+        a, b = shingles(words), shingles(other)
+        similar += len(a & b) >= 0.75 * len(a | b)
+        pairs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    docs = spark.createDataFrame(pairs, "doc_id bigint, text string")
+    found = paragraph_dedup.linked_paragraphs(docs).groupBy("component").count().where("count = 2").count()
+    assert 100 < similar and 0.9 * similar <= found <= similar
+
+
+def test_forest_connects_what_all_similar_pairs_connect(monkeypatch):
+    import numpy as np
+
+    rng = random.Random(35)
+    for trial in range(40):
+        bases = [list(rng.sample(range(10**6), 40)) for _ in range(4)]
+        sets = []
+        for _ in range(rng.randint(2, 30)):
+            own = list(rng.choice(bases))
+            for _ in range(rng.randint(0, 6)):
+                own[rng.randrange(40)] = rng.randrange(10**6)
+            sets.append(np.unique(np.array(own, np.uint64)))
+        chunk = [rng.randrange(2) for _ in sets] if trial % 2 else [0] * len(sets)
+        allowed = [
+            (i, j) for i in range(len(sets)) for j in range(i)
+            if len(set(chunk)) == 1 or chunk[i] != chunk[j]
+        ]
+
+        def groups(pairs):
+            root = list(range(len(sets)))
+            for i, j in pairs:
+                a, b = root[i], root[j]
+                root = [min(a, b) if x in (a, b) else x for x in root]
+            return root
+
+        expected = groups([p for p in allowed if paragraph_dedup.similar(sets[p[0]], sets[p[1]])])
+        for paired in (32, 1):
+            monkeypatch.setattr(paragraph_dedup, "PAIRED", paired)
+            found = paragraph_dedup.forest(sets, chunk)
+            assert all(p in allowed or p[::-1] in allowed for p in found)
+            assert groups(found) == expected

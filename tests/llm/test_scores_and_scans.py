@@ -262,3 +262,31 @@ def test_pipeline(spark, docs, rows, tmp_path, table):
     )
     if table:
         assert kept[0] > kept[1] and kept[2] > kept[3] > kept[4] > 0
+
+
+def test_the_last_chunk_is_judged(spark):
+    rng = random.Random(41)
+    prose = " ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(900))
+    noise = "".join(rng.choices([chr(c) for c in range(33, 127)], k=3800))
+    noise = " ".join(noise[i : i + 7] for i in range(0, len(noise), 7))
+    rows = enumerate([prose[:4200] + " " + noise, prose[:8000], prose[:4200], noise])
+    found = quality_rules.rule_results(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.kept for r in found} == {0: False, 1: True, 2: True, 3: False}
+
+
+def test_a_rare_language_is_learnt(spark):
+    """Eight labelled rows of 8,008, some of them held out."""
+    rng = random.Random(42)
+    sounds = {"aa": "the of and in to is was he".split(), "bb": "ka ko ku ki mo ne ru shi".split(), "zz": "xq zv qx vz qz zx".split()}
+
+    def words(lang):
+        return " ".join("".join(rng.choices(sounds[lang], k=2)) for _ in range(60))
+
+    rows = [(i, words("aa" if i % 2 else "bb"), "aa" if i % 2 else "bb") for i in range(8000)]
+    rows += [(8000 + i, words("zz"), "zz") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    network = language.train(docs, rows=600)
+    assert network.languages == ["aa", "bb", "zz"]
+    tests = [(i, words(lang)) for i, lang in enumerate(["zz"] * 20 + ["aa"] * 20)]
+    found = language.identified(spark.createDataFrame(tests, "doc_id bigint, text string"), network).collect()
+    assert sum(r.lang_pred == ("zz" if r.doc_id < 20 else "aa") for r in found) >= 38
