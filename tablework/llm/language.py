@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablework.llm.labels import remainder
-from tablework.llm.shared import documents, id_and_text
+from tablework.llm.shared import documents, id_and_text, written
 from tablework.llm.words import Part, parts
 
 CHUNK = 48
@@ -187,11 +187,17 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Network:
     that any of them has is learnt."""
     named = docs.where(docs["lang"].isNotNull() & docs["doc_id"].isNotNull())
     named = named.where(remainder(F.col("doc_id"), FOLDS) != HELD_OUT)
-    languages = named.select("lang").distinct().count()
-    each = max(1, rows // max(1, languages))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = named.select("doc_id", "lang").distinct().withColumn("rank", F.row_number().over(by_hash))
-    chosen = chosen.where(F.col("rank") <= each).select("doc_id").distinct()
+    counts = written(named.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    each = max(1, rows // max(1, counts.count()))
+    # Far more than ``each`` documents of a language lie below its share of all hashes; only those
+    # are put in order.
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
+    share = counts.select("lang", (F.least(F.lit(1.0), (4 * each + 100) / F.col("n")) * (1 << 31)).alias("most"))
+    some = named.select("doc_id", "lang", place.alias("place")).join(F.broadcast(share), "lang")
+    some = some.where(F.col("place") < F.col("most")).select("doc_id", "lang", "place").distinct()
+    by_hash = Window.partitionBy("lang").orderBy("place", "doc_id")
+    chosen = some.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= each)
+    chosen = chosen.select("doc_id").distinct()
     own = named.select(
         named["doc_id"].cast("long").alias("doc_id"), named["lang"].cast("string").alias("lang"),
         F.coalesce(named["text"].cast("string"), F.lit("")).alias("text"),
