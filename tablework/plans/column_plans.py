@@ -72,7 +72,7 @@ def conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columns.conform(table(spark, sf_dir, "events").where("value > 25"), EVENT_RECORD)
 
 
-TURN_RECORD = StructType.fromDDL(
+TURN_RECORD = (
     "conv_id bigint, said struct<text: string, who: struct<role: string, turn: bigint>>, "
     "sizes array<struct<chars: bigint, words: bigint>>"
 )
@@ -97,7 +97,7 @@ def conform_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("said"),
         "conv_id",
     )
-    record = columns.conform(turns, TURN_RECORD)
+    record = columns.conform(turns, StructType.fromDDL(TURN_RECORD))
     return record.select(
         "conv_id", "said.text", "said.who.role", "said.who.turn",
         F.col("sizes")[0]["chars"].alias("chars"), F.col("sizes")[0]["words"].alias("words"),
