@@ -11,10 +11,12 @@ from tablework.sinks.files import write_json_lines
 from tablework.storage import fresh_path
 from tablework.streaming.flow import LandingFlow, gate, gated
 from tablework.streaming.runner import run_available, run_every, stream_session
+from tablework.streaming.running import running_totals
 from tablework.streaming.sinks import (
     append_files,
     latest_complete,
     latest_update,
+    publish_base,
     publish_running,
 )
 from tablework.streaming.sources import json_stream, parquet_stream
@@ -77,6 +79,44 @@ def two_stage_stream_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_complete(spark, flow.result)
 
 
+@query("SELECT event_type, CAST(COUNT(*) AS BIGINT) AS count FROM events GROUP BY ALL")
+def two_stage_stream_handover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both streams at work at once; the second stops when it has read what the first committed."""
+    inbox, events = _event_inbox(spark, sf_dir)
+    flow = LandingFlow(
+        events.schema, lambda df: df.groupBy("event_type").count(), inbox,
+        fresh_path(spark, "flow"), files_per_batch=4,
+    )
+    flow.run_together(stream_session(spark))
+    return latest_complete(spark, flow.result)
+
+
+@query(r"""
+    SELECT word, CAST(COUNT(*) AS BIGINT) AS count, CAST(SUM(strlen(word)) AS BIGINT) AS bytes
+    FROM (
+        SELECT unnest(string_split_regex(text, '\s')) AS word FROM documents
+        UNION ALL SELECT unnest(string_split_regex(html, '\s')) FROM pages
+    ) words
+    WHERE word <> '' GROUP BY word
+""")
+def stream_totals_from_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word totals of the documents are a batch result; the stream of pages goes on from them."""
+    def words(df: DataFrame, column: str) -> DataFrame:
+        return df.select(F.explode(whitespace_split(column)).alias("word")).where("word <> ''")
+
+    session, path = stream_session(spark, many_keys=True), fresh_path(spark, "result")
+    totals = {"count": F.lit(1), "bytes": F.octet_length("word")}
+    sums = [F.sum(amount).cast("long").alias(name) for name, amount in totals.items()]
+    publish_base(words(table(session, sf_dir, "documents"), "text").groupBy("word").agg(*sums), path)
+    start = latest_update(session, path, ["word"])
+    pages = parquet_stream(session, f"{sf_dir}/pages.parque[t]", table(session, sf_dir, "pages").schema)
+    running = running_totals(words(pages, "html"), ["word"], totals, start)
+    run_available(publish_running(
+        running, path, fresh_path(spark, "checkpoint"), mode="update", keys=["word"]
+    ))
+    return latest_update(spark, path, ["word"])
+
+
 @query("SELECT *, CASE WHEN value > 10 THEN 'valid' ELSE 'quarantine' END AS side "
        "FROM events")
 def quality_gate_split(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from threading import Event
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from tablework.operators.columns import flag_valid
+from tablework.streaming.handover import HandOver
 from tablework.streaming.runner import run_available, run_every
 from tablework.streaming.sinks import append_files, publish_running
 from tablework.streaming.sources import json_stream, parquet_stream
@@ -45,6 +48,38 @@ class LandingFlow:
         if self._has_landed(spark):
             run_available(self._publisher(spark), timeout_seconds)
 
+    def run_together(
+        self,
+        spark: SparkSession,
+        timeout_seconds: float | None = None,
+        interval: str | None = "1 second",
+    ) -> None:
+        """Take in what has arrived with both streams at work at once: the second follows the first
+        batch by batch, and is stopped when it has read all that the first committed. Failures of
+        either are raised."""
+        deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
+
+        def wait(event: Event) -> None:
+            if not event.wait(None if deadline is None else max(0.0, deadline - time.monotonic())):
+                raise TimeoutError(f"flow to {self.home} ran over {timeout_seconds} s")
+
+        over, queries = HandOver("land", "publish"), []
+        spark.streams.addListener(over)
+        try:
+            queries.append(self._lander(spark).trigger(availableNow=True).start())
+            if not self._has_landed(spark):
+                wait(over.landed)
+            if self._has_landed(spark):
+                queries.append(run_every(self._publisher(spark), interval))
+                wait(over.caught_up)
+        finally:
+            for running in queries:
+                running.stop()
+            spark.streams.removeListener(over)
+        for ended in queries:
+            if ended.exception() is not None:
+                raise ended.exception()
+
     def start(
         self, spark: SparkSession, interval: str | None = "1 second"
     ) -> tuple[StreamingQuery, StreamingQuery]:

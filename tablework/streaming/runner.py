@@ -9,7 +9,10 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def stream_session(
-    spark: SparkSession, many_keys: bool = False, state_partitions: int | None = None
+    spark: SparkSession,
+    many_keys: bool = False,
+    state_partitions: int | None = None,
+    idle_batches: bool = True,
 ) -> SparkSession:
     """A session for streams, with settings of its own on the same cluster.
 
@@ -17,12 +20,16 @@ def stream_session(
     execution does not change it: a stream that is to last needs ``state_partitions`` for the keys
     it will have one day. Without it the width set for the batch session is taken, never what
     executors happen to be there. A state of ``many_keys`` is kept in RocksDB, off the heap, with
-    only changes written to the checkpoint.
+    only changes written to the checkpoint. A stream without news says so every second.
+    State that expires by the clock asks for batches without rows for ever; without
+    ``idle_batches`` such a stream can be run until its input is read.
     """
     own = spark.newSession()
     width = state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     own.conf.set("spark.sql.shuffle.partitions", str(width))
+    own.conf.set("spark.sql.streaming.noDataProgressEventInterval", "1s")
+    own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(idle_batches).lower())
     if many_keys:
         own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         own.conf.set(

@@ -57,6 +57,11 @@ def publish_running(
     return writer if name is None else writer.queryName(name)
 
 
+def publish_base(start: DataFrame, path: str) -> None:
+    """What was there before the first batch of a result published as ``update``."""
+    start.write.mode("overwrite").parquet(f"{path}/{BASE}=-1")
+
+
 def _version_writer(
     path: str, keys: Sequence[str] | None
 ) -> Callable[[DataFrame, int], None]:

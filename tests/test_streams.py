@@ -2,6 +2,7 @@ import json
 import shutil
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
@@ -9,12 +10,14 @@ from tablework.functions.text import whitespace_split
 from tablework.operators import evolving
 from tablework.streaming.flow import LandingFlow, gate, gated
 from tablework.streaming.runner import run_available, run_every, stream_session
+from tablework.streaming.running import running_totals
 from tablework.streaming.sinks import (
     MERGE_EVERY,
     _version_writer,
     append_files,
     latest_complete,
     latest_update,
+    publish_base,
     publish_running,
 )
 from tablework.streaming.sources import json_stream, parquet_stream, text_stream
@@ -84,6 +87,109 @@ def test_two_streams_side_by_side(spark, streams, tmp_path):
     assert names(latest_complete(spark, flow.result)) == {"Pizza": 2, "Pasta": 1}
 
 
+def test_hand_over_between_two_streams(spark, streams, tmp_path):
+    """Three deliveries, cut into batches of one file: the second stream ends with all rows read."""
+    inbox = tmp_path / "inbox"
+    flow = LandingFlow(
+        ORDERS, lambda df: df.groupBy("name").count(), str(inbox), str(tmp_path / "home"),
+        files_per_batch=1,
+    )
+    inbox.mkdir()
+    flow.run_together(streams, LIMIT)  # nothing has arrived yet
+    for i in range(1, 4):
+        for j in range(3):
+            drop(inbox, f"{i}{j}.json", [order("Pizza"), order("Pasta")])
+        flow.run_together(streams, LIMIT)
+        assert names(latest_complete(spark, flow.result)) == {"Pizza": 3 * i, "Pasta": 3 * i}
+    assert not streams.streams.active
+
+
+def test_a_failed_first_stream_is_raised_by_the_hand_over(spark, streams, tmp_path):
+    inbox = tmp_path / "inbox"
+    drop(inbox, "a.json", [order("Pizza")])
+    broken = F.udf(lambda n: 1 // 0, "string")
+    flow = LandingFlow(
+        ORDERS, lambda df: df.groupBy(broken("name").alias("name")).count(), str(inbox),
+        str(tmp_path / "home"),
+    )
+    with pytest.raises(StreamingQueryException):
+        flow.run_together(streams, LIMIT)
+    assert not streams.streams.active
+
+
+KEYED = "id int, name string, quantity long"
+
+
+def _totals(df):
+    return {(r.name, r.id): (r.n, r.quantity) for r in df.collect()}
+
+
+def test_running_totals_go_on_from_a_batch(spark, tmp_path):
+    """Starts from a batch result, survives a restart and a batch that runs again; null keys and
+    null amounts."""
+    streams = stream_session(spark, many_keys=True, state_partitions=2)
+    inbox, path, checkpoint = tmp_path / "in", str(tmp_path / "r"), tmp_path / "c"
+    before = [("Pizza", 1, 2, 7), ("Pizza", 1, 1, 3), ("Soup", 1, 1, 1), (None, None, 1, 1)]
+    start = spark.createDataFrame(before, "name string, id int, n long, quantity long")
+    keys = ["name", "id"]
+    start = start.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("quantity").alias("quantity"))
+    publish_base(start, path)
+
+    def load():
+        rows = json_stream(streams, str(inbox), KEYED, files_per_batch=1)
+        totals = {"n": F.lit(1), "quantity": F.col("quantity")}
+        running = running_totals(rows, keys, totals, streams.read.parquet(f"{path}/result_base=-1"))
+        run_available(publish_running(running, path, str(checkpoint), "update", keys=keys), LIMIT)
+        return _totals(latest_update(spark, path, keys))
+
+    big = 2**53 + 1  # no float in between
+    drop(inbox, "a.json", [order("Pizza", 5), order("Pizza", None), order("Pasta", big)])
+    drop(inbox, "b.json", [order(None, 4, None), order("Pizza", 2, 2)])
+    expected = {
+        ("Pizza", 1): (5, 15), ("Soup", 1): (1, 1), (None, None): (2, 5),
+        ("Pasta", 1): (1, big), ("Pizza", 2): (1, 2),
+    }
+    assert load() == expected
+    (checkpoint / "commits" / "1").unlink()
+    (checkpoint / "commits" / ".1.crc").unlink(missing_ok=True)
+    assert load() == expected
+    drop(inbox, "c.json", [order("Soup", 9)])
+    assert load() == expected | {("Soup", 1): (2, 10)}
+
+
+def test_running_totals_forget(spark, tmp_path):
+    """A key that was not seen for the given time starts from nothing."""
+    streams = stream_session(spark, many_keys=True, state_partitions=2, idle_batches=False)
+    inbox, path, checkpoint = tmp_path / "in", str(tmp_path / "r"), str(tmp_path / "c")
+
+    def load(forget):
+        rows = json_stream(streams, str(inbox), KEYED)
+        running = running_totals(rows, ["name"], {"n": F.lit(1)}, forget_after_ms=forget)
+        run_available(publish_running(running, path, checkpoint, "update", keys=["name"]), LIMIT)
+        return {r.name: r.n for r in latest_update(spark, path, ["name"]).collect()}
+
+    drop(inbox, "a.json", [order("Pizza"), order("Pizza")])
+    assert load(1) == {"Pizza": 2}
+    drop(inbox, "b.json", [order("Pizza")])
+    assert load(1) == {"Pizza": 1}
+
+
+def test_totals_are_combined_before_the_shuffle(spark, tmp_path):
+    """One hot key of many rows leaves a task as one row; many keys leave in bounded lots."""
+    import pyarrow as pa
+
+    from tablework.streaming import running
+
+    combine = running._combiner(["k"], ["n"])
+    never_null = pa.schema([pa.field("k", pa.string(), False), pa.field("n", pa.int64(), False)])
+    hot = [pa.record_batch([["x"] * 10_000, [1] * 10_000], never_null) for _ in range(50)]
+    assert pa.Table.from_batches(combine(iter(hot))).to_pylist() == [{"k": "x", "n": 500_000}]
+    many = [pa.record_batch({"k": range(i, i + 10_000), "n": [1] * 10_000}) for i in range(0, 400_000, 10_000)]
+    out = list(combine(iter(many)))
+    assert sum(b.num_rows for b in out) == 400_000 and len(out) > 1
+    assert list(combine(iter([]))) == []
+
+
 def test_a_batch_that_runs_again_lands_once(spark, streams, tmp_path):
     """As if the driver was lost between writing a batch and committing it."""
     inbox, path, checkpoint = tmp_path / "in", str(tmp_path / "t"), tmp_path / "c"
