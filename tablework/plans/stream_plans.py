@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.functions.text import whitespace_split
+from tablework.functions.text import leading, whitespace_split
 from tablework.plans.registry import query, table
 from tablework.sinks.files import write_json_lines
 from tablework.storage import fresh_path
@@ -92,29 +92,33 @@ def two_stage_stream_handover(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-    SELECT word, CAST(COUNT(*) AS BIGINT) AS count, CAST(SUM(strlen(word)) AS BIGINT) AS bytes
+    SELECT initial, CAST(COUNT(*) AS BIGINT) AS count, CAST(SUM(strlen(word)) AS BIGINT) AS bytes
     FROM (
-        SELECT unnest(string_split_regex(text, '\s')) AS word FROM documents
-        UNION ALL SELECT unnest(string_split_regex(html, '\s')) FROM pages
+        SELECT word, substring(word, 1, 2) AS initial FROM (
+            SELECT unnest(string_split_regex(text, '\s')) AS word FROM documents
+            UNION ALL SELECT unnest(string_split_regex(html, '\s')) FROM pages
+        ) both_tables
     ) words
-    WHERE word <> '' GROUP BY word
+    WHERE word <> '' GROUP BY initial
 """)
 def stream_totals_from_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Word totals of the documents are a batch result; the stream of pages goes on from them."""
+    """Words by their first two characters: totals of the documents are a batch result; the stream
+    of pages goes on from them."""
     def words(df: DataFrame, column: str) -> DataFrame:
-        return df.select(F.explode(whitespace_split(column)).alias("word")).where("word <> ''")
+        found = df.select(F.explode(whitespace_split(column)).alias("word")).where("word <> ''")
+        return found.withColumn("initial", leading("word", 2))
 
-    session, path = stream_session(spark, many_keys=True), fresh_path(spark, "result")
+    session, path, keys = stream_session(spark, many_keys=True), fresh_path(spark, "result"), ["initial"]
     totals = {"count": F.lit(1), "bytes": F.octet_length("word")}
     sums = [F.sum(amount).cast("long").alias(name) for name, amount in totals.items()]
-    publish_base(words(table(session, sf_dir, "documents"), "text").groupBy("word").agg(*sums), path)
-    start = latest_update(session, path, ["word"])
+    publish_base(words(table(session, sf_dir, "documents"), "text").groupBy(*keys).agg(*sums), path)
+    start = latest_update(session, path, keys)
     pages = parquet_stream(session, f"{sf_dir}/pages.parque[t]", table(session, sf_dir, "pages").schema)
-    running = running_totals(words(pages, "html"), ["word"], totals, start)
+    running = running_totals(words(pages, "html"), keys, totals, start)
     run_available(publish_running(
-        running, path, fresh_path(spark, "checkpoint"), mode="update", keys=["word"]
+        running, path, fresh_path(spark, "checkpoint"), mode="update", keys=keys
     ))
-    return latest_update(spark, path, ["word"])
+    return latest_update(spark, path, keys)
 
 
 @query("SELECT *, CASE WHEN value > 10 THEN 'valid' ELSE 'quarantine' END AS side "

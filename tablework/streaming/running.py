@@ -30,7 +30,9 @@ def running_totals(
     ``idle_batches``.
 
     Rows are added up by key on the map side before the shuffle, so a key that holds most rows sends
-    a few rows per task. The session must keep its state in RocksDB (``stream_session(many_keys=True)``).
+    a few rows per task. Each changed key then costs a few calls between Python and the state store,
+    so this suits keys by the thousand per task and batch; a plain ``groupBy`` has no such cost but
+    cannot start from a batch result. The session must keep its state in RocksDB (``stream_session(many_keys=True)``).
     """
     names = list(totals)
     amounts = [F.coalesce(totals[n].cast("long"), F.lit(0)).cast("long").alias(n) for n in names]
