@@ -3,7 +3,8 @@
 ``compile_rules`` reads byte regexes (literals, classes, groups, alternatives, repeats, ``(?i:...)``)
 into a nondeterministic automaton, makes it deterministic over classes of bytes that no rule tells
 apart, and merges equal states. ``Table.scan`` drives many stretches of a buffer at once and then
-mends each stretch from the state in which the one before it ended.
+mends each stretch from the state in which the one before it ended. ``Table.longest`` follows many
+matches at once from their first bytes.
 """
 
 from __future__ import annotations
@@ -79,6 +80,17 @@ class _Nfa:
                     left.append(x)
         return frozenset(found)
 
+    def reversed(self) -> _Nfa:
+        other = _Nfa()
+        for _ in self.free:
+            other.state()
+        for at, (free, moves) in enumerate(zip(self.free, self.moves)):
+            for to in free:
+                other.free[to].append(at)
+            for allowed, to in moves:
+                other.moves[to].append((allowed, at))
+        return other
+
 
 @dataclass
 class Table:
@@ -121,25 +133,51 @@ class Table:
                 trace[t, active] = state
         return self.accepts[trace].T.reshape(-1)[:size]
 
-    def longest(self, text: bytes, at: int) -> int:
-        """End of the longest match that begins at ``at``; -1 if none does."""
-        state, end = 0, -1
-        for i in range(at, len(text)):
-            state = int(self.next[state * self.classes + int(self.class_of[text[i]])])
-            if state == self.dead:
-                break
-            if self.accepts[state]:
-                end = i + 1
-        return end
-
-
-def compile_rules(patterns: list[str], anywhere: bool) -> Table:
-    """One automaton for all patterns; with ``anywhere`` a match may begin at every byte."""
+    def longest(
+        self, data: np.ndarray, starts: np.ndarray, rules: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """First and last end, by rule, of the matches that begin at each start; -1 if none does.
+        ``data`` ends with RESET. All starts take a step at once, and a state that leads to itself is
+        left in one jump, so the steps do not grow with the length of runs."""
+        classes = self.class_of[data]
+        table = self.next.reshape(-1, self.classes)
+        loops = table == np.arange(len(table))[:, None]
+        leaves: dict[int, np.ndarray] = {}
+        first = np.full((rules, len(starts)), -1, np.int64)
+        last = first.copy()
+        lane, at, state = np.arange(len(starts)), starts.copy(), np.zeros(len(starts), np.int64)
+        while len(lane):
+            state = table[state, classes[at]]
+            live = state != self.dead
+            lane, at, state = lane[live], at[live] + 1, state[live]
+            bits = self.accepts[state]
+            for rule in range(rules):
+                new = (bits >> rule & 1 == 1) & (first[rule, lane] < 0)
+                first[rule, lane[new]] = at[new]
+            for q in np.flatnonzero(np.bincount(state, minlength=len(table))).tolist():
+                if loops[q].any():
+                    if q not in leaves:
+                        leaves[q] = np.flatnonzero(~loops[q][classes])
+                    own = state == q
+                    at[own] = leaves[q][np.searchsorted(leaves[q], at[own])]
+            for rule in range(rules):
+                own = bits >> rule & 1 == 1
+                last[rule, lane[own]] = at[own]
+        return first, last
+
+
+def compile_rules(patterns: list[str], anywhere: bool, backwards: bool = False) -> Table:
+    """One automaton for all patterns; with ``anywhere`` a match may begin at every byte, without it
+    only at the first. ``backwards`` reads from the last byte to the first and tells where matches
+    begin."""
     nfa = _Nfa()
-    start = nfa.state()
-    final = {}
-    for rule, pattern in enumerate(patterns):
-        final[nfa.add(re._parser.parse(pattern.encode()), nfa._after(start), False)] = 1 << rule
+    begins, ends = [], []
+    for pattern in patterns:
+        begins.append(nfa.state())
+        ends.append(nfa.add(re._parser.parse(pattern.encode()), begins[-1], False))
+    if backwards:
+        nfa, begins, ends = nfa.reversed(), ends, begins
+    final = {end: 1 << rule for rule, end in enumerate(ends)}
     sets = {x for moves in nfa.moves for x, _ in moves}
     signature: dict[tuple, int] = {}
     class_of = np.zeros(256, np.uint8)
@@ -150,15 +188,15 @@ def compile_rules(patterns: list[str], anywhere: bool) -> Table:
             signature[key] = len(signature)
             members.append(byte)
         class_of[byte] = signature[key]
-    origin = nfa.closure([start])
+    origin = nfa.closure(begins)
     known, todo, rows = {origin: 0}, [origin], []
     while todo:
         own, row = todo.pop(0), []
         for byte in members:
             to = {end for x in own for allowed, end in nfa.moves[x] if byte in allowed}
-            to = nfa.closure(to | {start} if anywhere else to)
+            to = nfa.closure(to | origin if anywhere else to)
             if byte == RESET:
-                to = origin
+                to = origin if anywhere else frozenset()
             if to not in known:
                 known[to] = len(known)
                 todo.append(to)

@@ -1,14 +1,15 @@
 """Secret scans by one automaton for all rules.
 
 All rules are compiled into one table that reads every byte once and tells which rules can end
-there. Texts with such an end are then read again by the automata of those rules alone, from left
-to right and without overlap, for the exact spans. Base rules come first; the others add spans.
+there. Texts with such an end are read a second time by the same rules compiled backwards, again all
+at once, which marks the bytes where matches begin; from these bytes the rules compiled forwards tell
+how far each match goes, all starts together. Matches are taken from left to right without overlap.
+Base rules come first; the others add spans.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -32,51 +33,85 @@ RULES = [
     ("private", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, "PRIVATE KEY-----"),
 ]
 BASE = 3
-_BEFORE_VALUE = re.compile(b"[A-Za-z_]+[\"']?\\x20*[:=]\\x20*[\"']?")
+VALUE_ONLY = ("assign",)  # the least length is that of the run at the end
+STARTS = 1 << 18
 
 
 @cache
-def automata():
-    """The common automaton, and one for each rule with the bytes its matches can begin with."""
-    own = []
-    for _, pattern, _, _ in RULES:
-        table = compile_rules([pattern], anywhere=False)
-        begins = table.next[table.class_of] != table.dead
-        begins[RESET] = False
-        own.append((table, begins))
-    return compile_rules([r[3] for r in RULES], anywhere=True), own
-
-
-def spans_of_rule(rule: int, text: bytes, own) -> list[tuple[int, int]]:
-    """Leftmost matches without overlap, in bytes; those that are too short take their bytes and
-    are left out."""
-    kind, _, least, _ = RULES[rule]
-    table, begins = own[rule]
-    found, at = [], 0
-    for start in np.flatnonzero(begins[np.frombuffer(text, np.uint8)]).tolist():
-        if start < at:
-            continue
-        end = table.longest(text, start)
-        if end < 0:
-            continue
-        at = end
-        value = _BEFORE_VALUE.match(text, start).end() if kind == "assign" else start
-        if end - value >= least:
-            found.append((start, end))
-    return found
+def automata() -> tuple[Table, Table, Table]:
+    """All rules in each: where long enough matches end, where matches begin (read backwards), and
+    how far a match goes."""
+    own = [r[1] for r in RULES]
+    return (
+        compile_rules([r[3] for r in RULES], anywhere=True),
+        compile_rules(own, anywhere=True, backwards=True),
+        compile_rules(own, anywhere=False),
+    )
 
 
-def suspects(part: W.Part, common: Table) -> dict[int, int]:
-    """Rows in which rules can match, with a bit per rule."""
+def suspects(
+    part: W.Part, common: Table
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The part's bytes with RESET behind each row, where rows begin there, and by row a bit for each
+    rule that can match: one pass for all rules."""
     buffer = np.full(len(part.data) + len(part), RESET, np.uint8)
     begins = part.offsets[:-1] + np.arange(len(part))
     row = np.repeat(np.arange(len(part)), np.diff(part.offsets))
     buffer[np.arange(len(part.data)) + row] = part.data
     ends = common.scan(buffer)
-    found: dict[int, int] = {}
     at = np.flatnonzero(ends)
-    for i, bits in zip((np.searchsorted(begins, at, "right") - 1).tolist(), ends[at].tolist()):
-        found[i] = found.get(i, 0) | bits
+    bits = np.zeros(len(part), ends.dtype)
+    np.bitwise_or.at(bits, np.searchsorted(begins, at, "right") - 1, ends[at])
+    return buffer, np.append(begins, len(buffer)), bits
+
+
+def spans_in(
+    buffer: np.ndarray, bits: np.ndarray, compiled: tuple[Table, Table, Table]
+) -> list[tuple[int, int, int]]:
+    """(start, rule, end) in bytes of the leftmost matches without overlap, by rule. ``bits`` are the
+    rules wanted at each byte. Matches that are too short take their bytes and are left out."""
+    _, backward, forward = compiled
+    begins = backward.scan(buffer[::-1])[::-1] & bits
+    starts = np.flatnonzero(begins)
+    found = []
+    taken = np.zeros(len(RULES), np.int64)  # by rule, the end of its last match so far
+    for block in range(0, len(starts), STARTS):
+        own = starts[block : block + STARTS]
+        open_ = [(begins[own] >> rule & 1 == 1) & (own >= taken[rule]) for rule in range(len(RULES))]
+        needed = np.logical_or.reduce(open_)
+        own = own[needed]
+        first, last = forward.longest(buffer, own, len(RULES))
+        for rule, (kind, _, least, _) in enumerate(RULES):
+            mine = np.flatnonzero(open_[rule][needed])
+            start, end = own[mine], last[rule, mine]
+            value = first[rule, mine] - 1 if kind in VALUE_ONLY else start
+            after = np.searchsorted(start, end).tolist()
+            i = 0
+            while i < len(start):  # one step per match
+                if end[i] - value[i] >= least:
+                    found.append((int(start[i]), rule, int(end[i])))
+                taken[rule], i = end[i], after[i]
+    return found
+
+
+def row_spans(
+    part: W.Part, compiled: tuple[Table, Table, Table]
+) -> dict[int, list[tuple[int, int, int]]]:
+    """(start, rule, end) in code points, by row that has any."""
+    buffer, begins, bits = suspects(part, compiled[0])
+    rows = np.flatnonzero(bits)
+    if not len(rows):
+        return {}
+    sizes = begins[rows + 1] - begins[rows]
+    own = np.concatenate([buffer[begins[r] : begins[r + 1]] for r in rows])
+    at = np.append(0, np.cumsum(sizes))
+    place = np.append(0, np.cumsum((own & 0xC0) != 0x80))
+    found: dict[int, list[tuple[int, int, int]]] = {}
+    for start, rule, end in spans_in(own, np.repeat(bits[rows], sizes), compiled):
+        i = int(np.searchsorted(at, start, "right")) - 1
+        zero = place[at[i]]
+        span = (int(place[start] - zero), rule, int(place[end] - zero))
+        found.setdefault(int(rows[i]), []).append(span)
     return found
 
 
@@ -86,21 +121,12 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
 
 def _scan(compiled):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, own = compiled.value
         nothing = hashlib.sha256(b"").hexdigest()
         for batch in batches:
             for part in W.parts(batch.column("text")):
                 counts = np.zeros((BASE, len(part)), np.int64)
                 digests, texts = [nothing] * len(part), [""] * len(part)
-                for row, bits in suspects(part, common).items():
-                    text = part.text(row)
-                    data = np.frombuffer(text, np.uint8)
-                    place = np.append(0, np.cumsum((data & 0xC0) != 0x80))
-                    spans = [
-                        (int(place[a]), rule, int(place[b]))
-                        for rule in range(len(RULES)) if bits >> rule & 1
-                        for a, b in spans_of_rule(rule, text, own)
-                    ]
+                for row, spans in row_spans(part, compiled.value).items():
                     base = [x for x in spans if x[1] < BASE]
                     for _, rule, _ in base:
                         counts[rule, row] += 1

@@ -159,6 +159,42 @@ def test_automaton_equals_regexes():
         assert ends[i - 1] == expected
 
 
+def test_backwards_and_longest_equal_regexes():
+    """Where matches begin, and their first and last ends, by trying every stretch."""
+    patterns = ["ab+c", "(?:x|yz){2,3}", "[0-4]{3,}", "b?c+"]
+    rng = random.Random(9)
+    data = "".join(rng.choices("abcxyz0123é", weights=[3] * 3 + [2] * 8, k=3000)).encode()
+    data = np.frombuffer(data + bytes([automaton.RESET]), np.uint8)
+    back = automaton.compile_rules(patterns, anywhere=True, backwards=True)
+    begins = back.scan(data[::-1])[::-1]
+    ahead = automaton.compile_rules(patterns, anywhere=False)
+    first, last = ahead.longest(data, np.arange(len(data)), len(patterns))
+    for k, pattern in enumerate(patterns):
+        whole = re.compile(pattern.encode())
+        for i in range(len(data)):
+            near = data[i : i + 40].tobytes()
+            ends = [i + j for j in range(1, len(near) + 1) if whole.fullmatch(near, 0, j)]
+            assert (begins[i] >> k & 1 == 1) == bool(ends)
+            assert (first[k, i], last[k, i]) == ((ends[0], ends[-1]) if ends else (-1, -1))
+
+
+def test_starts_are_taken_in_blocks(monkeypatch):
+    """Matches across a border of blocks, and runs of a million bytes, in few steps."""
+    rng = random.Random(10)
+    pieces = ["deadbeef", "0123456789", "token=", "secret:", "AKIA", "ABCD1234", " ", "x", "-", "gh", "p_"]
+    text = "".join(rng.choices(pieces, k=4000)) + "token=" + "a" * 1_000_000 + " "
+    data = np.frombuffer(text.encode() + bytes([automaton.RESET]), np.uint8)
+    bits = np.full(len(data), 63, np.uint8)
+    whole = sorted(secrets.spans_in(data, bits, secrets.automata()))
+    expected = sorted((a, k, b) for a, k, b in base_spans(text))
+    assert [x for x in whole if x[1] < secrets.BASE] == expected
+    monkeypatch.setattr(secrets, "STARTS", 997)
+    short = np.append(data[: len(text) - 1_000_000], data[-1])
+    a = sorted(secrets.spans_in(short, bits[: len(short)], secrets.automata()))
+    monkeypatch.setattr(secrets, "STARTS", 1 << 30)
+    assert a == sorted(secrets.spans_in(short, bits[: len(short)], secrets.automata()))
+
+
 def held_out(spark, query, label):
     found = query(spark, SF)
     labels = spark.read.parquet(f"{SF}/labels.parquet")
