@@ -19,7 +19,7 @@ would begin; the item-sized stretch there is compared with the item by its 5-wor
 weighted by how often they occur: sum of the smaller counts over sum of the larger ones.
 
 The majority is computed for all 64 bits at once by adding bits in carry-save form, in functions of
-the DataFrame API only. Items are broadcast when a count says they are few; else both sides shuffle.
+the DataFrame API only. Items are broadcast in blocks of a fixed size, as many as it takes.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ BROADCAST_ROWS = 200_000  # of the items' index, about 60 bytes each
 
 def _hashes(text):
     """Hashes of the words of a text."""
-    words = F.filter(F.split(F.lower(text), "[^\\p{L}\\p{N}]+"), lambda x: x != "")
+    words = F.array_remove(F.split(F.lower(text), "[^\\p{L}\\p{N}]+"), "")
     return F.transform(words, lambda x: F.xxhash64(x))
 
 
@@ -71,12 +71,11 @@ def _fours(hashes, step: int):
 
     def add(i):
         a, b, c, d = (F.get(hashes, i * step + k) for k in range(4))
-        one = _either(_either(a, b), c)
-        two = _carry(a, b, c)
+        p, q, g, h = _either(a, b), _either(c, d), _both(a, b), _both(c, d)
         return F.struct(
-            _either(one, d).alias("o"),
-            _either(two, _both(one, d)).alias("t"),
-            _both(two, _both(one, d)).alias("f"),
+            _either(p, q).alias("o"),
+            _either(_either(g, h), _both(p, q)).alias("t"),
+            _both(g, h).alias("f"),
         )
 
     n = F.floor((F.size(hashes) - 4) / step).cast("int") + 1
@@ -114,40 +113,80 @@ def _sixteens(eights, step: int):
     return F.transform(_indexes(F.size(eights) - shift), add)
 
 
-def _prints(hashes, window: int, step: int):
-    """SimHashes of an array of word hashes. Bits that half of the words have count as set."""
-    if window == 1:
-        return hashes
-    if window == 2:
-        return F.transform(
-            _indexes(F.size(hashes) - 1),
-            lambda i: F.get(hashes, i).bitwiseOR(F.get(hashes, i + 1)),
-        )
-    fours = _fours(hashes, step)
-    if window == 4:
-        return F.transform(fours, lambda x: x["t"].bitwiseOR(x["f"]))
-    eights = _let(fours, lambda x: _eights(x, step))
-    if window == 8:
-        return F.transform(eights, lambda x: x["f"].bitwiseOR(x["e"]))
-    return _let(eights, lambda x: _sixteens(x, step))
-
-
-def window_fingerprints(rows: DataFrame, window: int, step: int) -> DataFrame:
-    """``hashes`` of each row to one row per window: its place in words and its SimHash."""
-    names = [c for c in rows.columns if c != "hashes"]
-    prints = _let(F.col("hashes"), lambda x: _prints(x, window, step))
-    return rows.select(*names, F.posexplode(prints).alias("place", "print")).withColumn(
-        "place", F.col("place") * step
+def _prints(hashes, wanted: list[tuple[int, int]]):
+    """SimHashes of an array of word hashes: (window, place, print) for each wanted window length and
+    step. Bits that half of the words have count as set. Lengths of one step share their counts."""
+    found = []
+    for step in sorted({step for _, step in wanted}):
+        lengths = {window for window, own in wanted if own == step}
+        if 1 in lengths:
+            found.append(_marked(hashes, 1, step))
+        if 2 in lengths:
+            pairs = F.transform(
+                _indexes(F.size(hashes) - 1),
+                lambda i: F.get(hashes, i).bitwiseOR(F.get(hashes, i + 1)),
+            )
+            found.append(_marked(pairs, 2, step))
+        if lengths & {4, 8, 16}:
+            found.append(_let(_fours(hashes, step), _wide(step, lengths)))
+    return F.concat(*found)
+
+
+def _wide(step: int, lengths: set[int]):
+    """The windows of 4, 8 and 16 words out of the counts of fours."""
+
+    def of_eights(eights):
+        own = []
+        if 8 in lengths:
+            own.append(_marked(F.transform(eights, lambda x: x["f"].bitwiseOR(x["e"])), 8, step))
+        if 16 in lengths:
+            own.append(_marked(_sixteens(eights, step), 16, step))
+        return F.concat(*own)
+
+    def of_fours(fours):
+        own = []
+        if 4 in lengths:
+            own.append(_marked(F.transform(fours, lambda x: x["t"].bitwiseOR(x["f"])), 4, step))
+        if lengths & {8, 16}:
+            own.append(_let(_eights(fours, step), of_eights))
+        return F.concat(*own)
+
+    return of_fours
+
+
+def _marked(prints, window: int, step: int):
+    return F.transform(
+        prints,
+        lambda x, i: F.struct(
+            F.lit(window).alias("window"), (i * step).alias("place"), x.alias("print")
+        ),
+    )
+
+
+MARKED = "array<struct<window:int,place:int,print:bigint>>"
+
+
+def window_fingerprints(rows: DataFrame, wanted: list[tuple[int, int]]) -> DataFrame:
+    """``hashes`` of each row to one row per window, in a single pass for all wanted lengths and
+    steps: its length, its place in words and its SimHash, beside the columns of ``rows``. The
+    array is made in a step of its own, so that the explode does not copy the others per window.
+    An explode of the bare column would infer a filter on it, which computes the array twice."""
+    prints = F.coalesce("prints", F.array().cast(MARKED))
+    return (
+        rows.withColumn("prints", _let(F.col("hashes"), lambda x: _prints(x, wanted)))
+        .select(*rows.columns, F.explode(prints).alias("w"))
+        .select(*rows.columns, "w.window", "w.place", "w.print")
     )
 
 
-def _blocks(name: str):
+def _block_keys():
+    """Of a window of any class: one whole number per block of its fingerprint."""
     mask = (1 << BLOCK_BITS) - 1
     return F.array(
         *[
-            F.struct(
-                F.lit(b).alias("block"),
-                F.expr(f"shiftrightunsigned({name}, {b * BLOCK_BITS}) & {mask}L").alias("bits"),
+            F.expr(
+                f"shiftleft(cast(window * {RADIUS + 1} + {b} as long), {BLOCK_BITS})"
+                f" | (shiftrightunsigned(print, {b * BLOCK_BITS}) & {mask}L)"
             )
             for b in range(RADIUS + 1)
         ]
@@ -196,32 +235,35 @@ def _counted(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
 def _candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Where items may begin in documents, with the stretch of word hashes that an item covers there:
     (doc_id, text_hash, item_id, item_hash, start, hashes). Items are looked for in blocks whose
-    fingerprints are broadcast, as many as it takes; documents are not shuffled for it."""
-    found = None
-    windows = {r["window"] for r in items.select("window").distinct().collect()}
+    fingerprints are broadcast, as many as it takes; documents are not shuffled for it, and a pass
+    over them serves all size classes."""
+    used = {r["window"] for r in items.select("window").distinct().collect()}
+    steps = [(window, step) for window, _, step in CLASSES if window in used]
     keys = ["doc_id", "text_hash", "item_id", "item_hash", "start"]
-    for window, _, step in CLASSES:
-        if window not in windows:
-            continue
-        own = window_fingerprints(items.where(F.col("window") == window), window, 1)
-        index = own.select(
+    own = window_fingerprints(
+        items.withColumnRenamed("window", "class"), [(window, 1) for window, _ in steps]
+    ).where(F.col("window") == F.col("class"))
+    index = written(
+        own.select(
             "item_id", "item_hash", "n", F.col("place").alias("offset"),
-            F.col("print").alias("item_print"), F.explode(_blocks("print")).alias("b"),
-        ).select("*", "b.*").drop("b")
-        blocks = max(1, -(-index.count() // BROADCAST_ROWS))
-        block = F.pmod(F.xxhash64("item_id", "item_hash", "offset"), F.lit(blocks))
-        for i in range(blocks):
-            probes = window_fingerprints(docs.withColumn("all", F.col("hashes")), window, step)
-            probes = probes.select("*", F.explode(_blocks("print")).alias("b")).select("*", "b.*").drop("b")
-            near = probes.join(F.broadcast(index.where(block == i)), ["block", "bits"]).where(
-                F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS
-            )
-            start = F.col("place") - F.col("offset")
-            near = near.withColumn("start", start).withColumn("first", F.greatest("start", F.lit(0)))
-            near = near.where((F.col("start") + F.col("n") > 0) & (F.col("start") < F.size("all")))
-            stretch = F.slice("all", F.col("first") + 1, F.col("start") + F.col("n") - F.col("first"))
-            near = near.select(*keys, stretch.alias("hashes"))
-            found = near if found is None else found.union(near)
+            F.col("print").alias("item_print"), F.explode(_block_keys()).alias("key"),
+        ),
+        "index",
+    )
+    blocks = max(1, -(-index.count() // BROADCAST_ROWS))
+    block = F.pmod(F.xxhash64("item_id", "item_hash", "offset"), F.lit(blocks))
+    found = None
+    for i in range(blocks):
+        probes = window_fingerprints(docs, steps).withColumn("key", F.explode(_block_keys()))
+        near = probes.join(F.broadcast(index.where(block == i)), "key").where(
+            F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS
+        )
+        start = F.col("place") - F.col("offset")
+        near = near.withColumn("start", start).withColumn("first", F.greatest("start", F.lit(0)))
+        near = near.where((F.col("start") + F.col("n") > 0) & (F.col("start") < F.size("hashes")))
+        stretch = F.slice("hashes", F.col("first") + 1, F.col("start") + F.col("n") - F.col("first"))
+        near = near.select(*keys, stretch.alias("hashes"))
+        found = near if found is None else found.union(near)
     return found.dropDuplicates(keys)
 
 

@@ -197,8 +197,10 @@ def test_fingerprints_are_majorities(spark):
     rng = random.Random(1)
     hashes = [rng.getrandbits(64) - 2**63 for _ in range(40)]
     df = spark.createDataFrame([(1, hashes)], "id int, hashes array<bigint>")
-    for window, _, step in decontaminate.CLASSES:
-        rows = decontaminate.window_fingerprints(df, window, step).collect()
+    classes = [(window, step) for window, _, step in decontaminate.CLASSES]
+    found = decontaminate.window_fingerprints(df, classes).collect()
+    for window, step in classes:
+        rows = [r for r in found if r.window == window]
         assert sorted(r.place for r in rows) == list(range(0, 40 - window + 1, step))
         for r in rows:
             own = hashes[r.place : r.place + window]
