@@ -6,6 +6,7 @@ import math
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,8 @@ def write_tsv(df: DataFrame, path: str, line_end: str = "\n") -> None:
 
 ROWS_PER_ARRAY = 500_000
 BYTES_PER_ARRAY = 128 * 1024 * 1024
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BYTES_PER_BATCH = 4 * 1024 * 1024  # a batch is held several times on its way through Python
 # Times with all their digits; Spark's own layout ends at milliseconds.
 JSON_TIMES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -56,22 +59,30 @@ def write_json_arrays(
     lines = df.select(F.to_json(F.struct("*"), JSON_OPTIONS).alias("value"))
     size = lines.agg(F.count("*").alias("rows"), F.sum(F.octet_length("value")).alias("bytes")).first()
     files = max(1, math.ceil(size["rows"] / rows_per_file), math.ceil((size["bytes"] or 0) / bytes_per_file))
-    lines.repartition(files).mapInArrow(_as_array_lines, "value string").write.text(path)
+    spark = df.sparkSession
+    most = spark.conf.get(ARROW_BYTES)
+    spark.conf.set(ARROW_BYTES, str(BYTES_PER_BATCH))
+    try:
+        lines.repartition(files).mapInArrow(_as_array_lines, "value string").write.text(path)
+    finally:
+        spark.conf.set(ARROW_BYTES, most)
 
 
 def _as_array_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Wrap the objects of one partition in brackets, with a comma after all but the last."""
+    """Wrap the objects of one partition in brackets, with a comma after all but the last. Texts stay
+    in Arrow: as Python strings they would take several times the memory."""
     last = None
     for batch in batches:
-        objects = batch.column("value").to_pylist()
-        if not objects:
+        objects = batch.column("value")
+        if not len(objects):
             continue
-        before = ["["] if last is None else [last + ","]
-        yield _lines(before + [text + "," for text in objects[:-1]])
-        last = objects[-1]
+        before = "[" if last is None else last + ","
+        yield _lines(pa.array([before], objects.type))
+        yield _lines(pc.binary_join_element_wise(objects[:-1], ",", ""))
+        last = objects[-1].as_py()
     if last is not None:
-        yield _lines([last, "]"])
+        yield _lines(pa.array([last, "]"]))
 
 
-def _lines(values: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"value": values})
+def _lines(values: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([values], ["value"])

@@ -1,10 +1,12 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tablework.plans.explain import plan_text
+from tablework.sinks import files
 from tablework.sinks import write_json_arrays, write_partitioned, write_tsv
 from tablework.sources import (
     file_view,
@@ -214,3 +216,27 @@ def test_array_files_are_bounded_by_bytes(spark, tmp_path):
     write_json_arrays(df, str(tmp_path / "arrays"), bytes_per_file=50_000)
     sizes = [f.stat().st_size for f in (tmp_path / "arrays").glob("part-*")]
     assert len(sizes) == 5 and max(sizes) < 60_000
+
+
+def test_batches_on_their_way_into_array_files_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    """Long rows come to Python a few at a time, and the setting is as before afterwards."""
+    monkeypatch.setattr(files, "BYTES_PER_BATCH", 50_000)
+
+    def seen(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"value": [f"{batch.num_rows}"] * batch.num_rows})
+
+    monkeypatch.setattr(files, "_as_array_lines", seen)
+    before = spark.conf.get(files.ARROW_BYTES)
+    rows = spark.range(500).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+    write_json_arrays(rows, str(tmp_path / "long"))
+    sizes = [int(r.value) for r in spark.read.text(str(tmp_path / "long")).collect()]
+    assert len(sizes) == 500 and max(sizes) <= 10
+    assert spark.conf.get(files.ARROW_BYTES) == before
+
+
+def test_array_lines_of_batches():
+    batches = [pa.RecordBatch.from_pydict({"value": pa.array(x, pa.string())}) for x in ([], ["{1}"], ["{2}", "{é}"], [], ["{4}"])]
+    made = [x for b in files._as_array_lines(iter(batches)) for x in b.column("value").to_pylist()]
+    assert made == ["[", "{1},", "{2},", "{é},", "{4}", "]"]
+    assert list(files._as_array_lines(iter(batches[:1]))) == []
