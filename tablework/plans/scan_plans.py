@@ -31,6 +31,7 @@ DOCUMENT_RECORD = """
     doc_id BIGINT NOT NULL, words ARRAY<STRING> NOT NULL, source STRING NOT NULL,
     n_chars BIGINT NOT NULL
 """
+BYTES_PER_DOCUMENT_ARRAY = 128 * 1024 * 1024  # hundreds of ranges; a file has one writer
 LABELS = ("north", "east", "south", "west", "centre")
 
 
@@ -112,11 +113,11 @@ def json_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def json_array_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as one array in one file, with line ends, quotes and brackets in their texts, read
-    by several tasks."""
+    """Documents as arrays in large files, one file until that takes its only writer too much, with
+    line ends, quotes and brackets in their texts. Each file is read by several tasks."""
     path = fresh_path(spark, "json-arrays")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
-    write_json_arrays(documents, path, rows_per_file=10**12, bytes_per_file=10**15)
+    write_json_arrays(documents, path, rows_per_file=10**12, bytes_per_file=BYTES_PER_DOCUMENT_ARRAY)
     return read_split_json_arrays(spark, path, documents.schema, 256 * 1024)
 
 

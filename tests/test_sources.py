@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tablework.plans import scan_plans
 from tablework.plans.explain import plan_text
 from tablework.sinks import files
 from tablework.sinks import write_json_arrays, write_partitioned, write_tsv
@@ -240,3 +241,17 @@ def test_array_lines_of_batches():
     made = [x for b in files._as_array_lines(iter(batches)) for x in b.column("value").to_pylist()]
     assert made == ["[", "{1},", "{2},", "{é},", "{4}", "]"]
     assert list(files._as_array_lines(iter(batches[:1]))) == []
+
+
+def test_large_arrays_of_documents_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scan_plans, "BYTES_PER_DOCUMENT_ARRAY", 300_000)
+    seen = []
+    monkeypatch.setattr(scan_plans, "fresh_path", lambda s, label: seen.append(f"{tmp_path}/{label}") or seen[-1])
+    rows = spark.range(100).selectExpr(
+        "id AS doc_id", "concat(repeat('[a}\\n\"', 2000), id) AS text", "'en' AS lang", "'web' AS source", "1L AS n_chars"
+    )
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    read = scan_plans.json_array_ranges(spark, str(tmp_path))
+    assert sorted(map(tuple, read.collect())) == sorted(map(tuple, rows.collect()))
+    sizes = [f.stat().st_size for f in (tmp_path / "json-arrays").glob("part-*")]
+    assert len(sizes) > 3 and max(sizes) < 450_000 and read.rdd.getNumPartitions() > len(sizes)
