@@ -6,11 +6,13 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tablework.llm import decontaminate, jaccard_join, line_dedup, paragraph_dedup
 from tablework.llm import words as W
+from tablework.llm.shared import key_filter
 from tests.llm.conftest import edited, item_texts, SCHEMA, sentence, text
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -84,6 +86,16 @@ def test_one_of_each_keeps_the_smallest(docs, rows):
     assert set(ids) == {c for _, _, c in components(rows)}
 
 
+def test_signatures_are_found_once_and_then_filtered(spark):
+    """Of the kept signatures those that the filter lets through come back with their set."""
+    kept = pa.RecordBatch.from_pydict(
+        {"key": pa.array([5, 6, 7], pa.int64()), "signs": pa.array([[1, 2], [], [2, 3]], pa.list_(pa.int64()))}
+    )
+    needed = key_filter(spark.createDataFrame([(2,)], "sign long"), "sign")
+    found = [r for b in jaccard_join._needed_signatures(needed)(iter([kept, kept[:0]])) for r in b.to_pylist()]
+    assert found == [{"sign": 2, "key": 5}, {"sign": 2, "key": 7}]
+
+
 def test_jaccard_join_of_nothing(nothing):
     assert joined(nothing) == [] and jaccard_join.one_of_each(nothing).count() == 0
 
