@@ -28,6 +28,7 @@ SEQUENCE = 4096
 END = 1
 GROUP_TOKENS = 4 << 20
 GROUP_PIECES = 200_000
+PART_BYTES = 512 << 10  # text at once; the arrays for it are some thirty times as large
 VOCABULARY = "word_bpe_49k.json"
 
 PIECES = "doc_id long, place long, piece int, start long, length long, ids_crc32 long"
@@ -41,7 +42,7 @@ def _pieces(path: str, sequence: int):
         store, end = token_ids(path), np.array([END], "<u4").tobytes()
         for batch in batches:
             doc_ids, places = batch.column("doc_id").to_pylist(), batch.column("place").to_pylist()
-            for part in parts(batch.column("text")):
+            for part in parts(batch.column("text"), PART_BYTES):
                 found, rows = store.of(part)
                 raw = memoryview(found.astype("<u4")).cast("B")
                 made: list[tuple] = []

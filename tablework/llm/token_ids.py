@@ -19,7 +19,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 
 from tablework.llm.words import SPACE, Part, words
 
-SLOTS = 21  # bits: two million pieces are remembered at most
+SLOTS = 20  # bits: a million pieces are remembered at most, in 16 MB of each Python worker
 POOL_IDS = 8 << 20  # ids remembered before the store starts anew
 AT_ONCE = 256  # pieces of letters in one call
 
@@ -89,8 +89,8 @@ class TokenIds:
         for token, number in self._whole.get_vocab().items():
             self._ends[number] = token.endswith(_WORD_END)
         self._keys = np.zeros(1 << SLOTS, np.uint64)
-        self._starts = np.zeros(1 << SLOTS, np.int64)
-        self._counts = np.zeros(1 << SLOTS, np.int64)
+        self._starts = np.zeros(1 << SLOTS, np.int32)
+        self._counts = np.zeros(1 << SLOTS, np.int32)
         self._pool = np.zeros(1 << 16, np.uint32)
         self._used = 0
 

@@ -62,6 +62,12 @@ def test_the_store_starts_anew_when_it_is_full(tokenizer, monkeypatch):
     assert ids_by_piece(texts, 100) == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_the_store_of_a_worker_is_small():
+    store = TokenIds(PATH)
+    assert sum(x.nbytes for x in (store._keys, store._starts, store._counts)) <= 16 << 20
+    assert packing.PART_BYTES < W.PART_BYTES
+
+
 def test_packing_deals_rows_without_an_id_to_all_groups(spark, monkeypatch):
     monkeypatch.setattr(packing, "GROUP_PIECES", 50)
     docs = spark.createDataFrame([(None, "some words") for _ in range(1000)], "doc_id long, text string")
