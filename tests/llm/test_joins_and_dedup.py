@@ -3,7 +3,9 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import duckdb
 import pyarrow as pa
@@ -12,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tablework.llm import decontaminate, jaccard_join, line_dedup, paragraph_dedup
 from tablework.llm import words as W
-from tablework.llm.shared import key_filter
+from tablework.llm.shared import FREE_SHUFFLES, key_filter, written
+from tablework.storage import remove_table, shared_root
 from tests.llm.conftest import edited, item_texts, SCHEMA, sentence, text
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -96,6 +99,52 @@ def test_signatures_are_found_once_and_then_filtered(spark):
     assert found == [{"sign": 2, "key": 5}, {"sign": 2, "key": 7}]
 
 
+def test_signatures_are_grouped_in_turns(spark, monkeypatch):
+    """Each signature of several sets comes once, whatever turn it belongs to."""
+    rows = [(k, [k % 5 - 2, 10 * k, -7]) for k in range(1, 9)] + [(3, [-7])]
+    signed = spark.createDataFrame(rows, "key long, signs array<long>")
+    holders = defaultdict(list)
+    for key, signs in rows:
+        for sign in signs:
+            holders[sign].append(key)
+    expected = sorted((s, min(k), max(k), len(k)) for s, k in holders.items() if min(k) < max(k))
+    for turns in (1, 2, 3):
+        monkeypatch.setattr(jaccard_join, "SIGN_TURNS", turns)
+        assert sorted(map(tuple, jaccard_join.shared_signatures(signed).collect())) == expected
+
+
+def test_jaccard_join_keeps_no_large_tables(spark, docs):
+    """Signatures and texts are deleted as soon as nothing reads them again."""
+    root = Path(shared_root(spark).removeprefix("file:"))
+    before = set(root.iterdir())
+    assert jaccard_join.one_of_each(docs).count()
+    labels = {x.name[:-33] for x in set(root.iterdir()) - before}
+    assert "members" in labels and not labels & {"signed", "texts"}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", blocks.getAllFiles().mkString(" ")))
+
+    before, table = files(), spark.range(1000).groupBy(F.xxhash64("id").alias("key")).count()
+    kept = written(table, "freed")
+    until = time.time() + 10
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before and kept.count() == 1000
+    assert spark.conf.get(FREE_SHUFFLES) == "false"
+
+
+def test_only_tables_of_the_run_are_removed(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "given"))
+    given = spark.read.parquet(str(tmp_path / "given"))
+    with pytest.raises(ValueError, match="not a table of this run"):
+        remove_table(given)
+    assert given.count() == 3
+
+
 def test_jaccard_join_of_nothing(nothing):
     assert joined(nothing) == [] and jaccard_join.one_of_each(nothing).count() == 0
 
