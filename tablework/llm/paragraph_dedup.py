@@ -47,10 +47,12 @@ GAP_WORDS = 2 * CUT_SPAN + CUT_WORDS - 1  # one changed word can part equal wind
 STRETCH_WORDS = 20  # neighbours at most GAP_WORDS apart count together; fewer repeated words stay
 PAIRED = 32  # paragraphs that are compared pair by pair; more of them by postings
 CHUNK = 2048  # different paragraphs of a band that a task compares
+PART_BYTES = 512 << 10  # text at once
 
 # doc: hash of the text, which tells rows of one doc_id apart. before and after are code points
 # between the place and the words next to it, or -1 at the ends of a text.
 PLACES = "key long, doc_id long, doc long, word int, words int, start long, end long, before int, after int"
+LINES = "starts array<int>, ends array<int>"  # of paragraphs alone
 PASSAGES = "doc_id long, start long, end long, words long, first_doc_id long, removed boolean"
 
 _SEEDS = W.mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -83,19 +85,31 @@ def cuts(found: W.Words, span: int = CUT_SPAN) -> np.ndarray:
     return np.flatnonzero(_sliding(np.concatenate([none, low, none]), np.maximum, span) == runs)
 
 
+def _union(n: int, *some: np.ndarray) -> np.ndarray:
+    """The different ones of numbers from 0 to n, in order."""
+    mark = np.zeros(n + 1, bool)
+    for numbers in some:
+        mark[numbers] = True
+    return np.flatnonzero(mark)
+
+
+def _set(values: np.ndarray) -> np.ndarray:
+    """The different values, in order."""
+    values = np.sort(values)
+    new = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return values[new]
+
+
 def _edges(part: W.Part, found: W.Words) -> np.ndarray:
     """Words that begin a line, and the number of words."""
-    n = len(found.starts)
-    lines = np.append(0, np.cumsum(part.data == 10))
-    edge = np.zeros(n + 1, bool)
-    edge[1:n] = lines[found.ends[:-1]] != lines[found.starts[1:]]
-    edge[found.rows] = True
-    return np.flatnonzero(edge)
+    after = np.searchsorted(found.starts, np.flatnonzero(part.data == 10))
+    return _union(len(found.starts), after, found.rows)
 
 
-def paragraphs(part: W.Part) -> tuple[W.Words, np.ndarray, np.ndarray]:
+def paragraphs(part: W.Part, found: W.Words | None = None) -> tuple[W.Words, np.ndarray, np.ndarray]:
     """The words of a part, and the first and last + 1 word of each paragraph long enough."""
-    found = W.words(part)
+    found = found or W.words(part)
     if not len(found.starts):
         return found, np.zeros(0, np.int64), np.zeros(0, np.int64)
     edge = _edges(part, found)
@@ -103,7 +117,7 @@ def paragraphs(part: W.Part) -> tuple[W.Words, np.ndarray, np.ndarray]:
     line = np.searchsorted(edge, inner, "right") - 1
     size = np.diff(edge)
     inner = inner[size[np.minimum(line, len(size) - 1)] > LONG_WORDS]
-    edge = np.union1d(edge, inner)
+    edge = _union(len(found.starts), edge, inner)
     first, last = edge[:-1], edge[1:]
     long_ = last - first >= MIN_WORDS
     return found, first[long_], last[long_]
@@ -118,15 +132,15 @@ def windows(part: W.Part) -> tuple[W.Words, np.ndarray, np.ndarray, np.ndarray]:
         return found, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     edge = _edges(part, found)
     stop = np.repeat(found.rows[1:], np.diff(found.rows))
-    begin = np.union1d(cut, edge[:-1])
+    begin = _union(n, cut, edge[:-1])
     to = np.append(cut, n)[np.searchsorted(cut, begin + WINDOW_WORDS)]
     to = np.minimum(to, stop[begin])  # no further cut: to the end of the text
-    end = np.union1d(cut, edge[1:])
+    end = _union(n, cut, edge[1:])
     back = np.searchsorted(cut, end - WINDOW_WORDS, "right") - 1
     first = np.append(begin, cut[back])
     last = np.append(to, np.where(back < 0, 0, end))
     good = (last - first >= WINDOW_WORDS) & (last <= stop[first])
-    first, last = np.divmod(np.unique(first[good] * (n + 1) + last[good]), n + 1)
+    first, last = np.divmod(_set(first[good] * (n + 1) + last[good]), n + 1)
     return found, first, last, _text_keys(found, first, last)
 
 
@@ -141,13 +155,18 @@ def _text_keys(found: W.Words, first: np.ndarray, last: np.ndarray) -> np.ndarra
 # Similar paragraphs
 
 
+def _from_to(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges in a row, and where each range's begin and the last ones end."""
+    sizes = last - first
+    at = np.append(0, np.cumsum(sizes)).astype(np.int64)
+    return np.arange(at[-1]) + np.repeat(first - at[:-1], sizes), at
+
+
 def _shingles(found: W.Words, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of all paragraphs in a row, and where each paragraph's begin."""
     every = W.runs(found.hashes, WORDS)
-    sizes = last - first - (WORDS - 1)
-    at = np.append(0, np.cumsum(sizes)[:-1]).astype(np.int64)
-    within = np.arange(sizes.sum()) - np.repeat(at, sizes)
-    return every[np.repeat(first, sizes) + within], at
+    places, at = _from_to(first, last - (WORDS - 1))
+    return every[places], at[:-1]
 
 
 def band_keys(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -166,7 +185,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bands of the different paragraphs of each part."""
     with np.errstate(over="ignore"):
         for batch in batches:
-            for part in W.parts(batch.column("text")):
+            for part in W.parts(batch.column("text"), PART_BYTES):
                 found, first, last = paragraphs(part)
                 keys, one = np.unique(_text_keys(found, first, last), return_index=True)
                 if len(keys):
@@ -176,6 +195,10 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     )
 
 
+def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values))
+
+
 def _members(needed):
     """Paragraphs with a band that the filter lets through: these bands, key and text."""
 
@@ -183,7 +206,7 @@ def _members(needed):
         told: set[int] = set()
         with np.errstate(over="ignore"):
             for batch in batches:
-                for part in W.parts(batch.column("text")):
+                for part in W.parts(batch.column("text"), PART_BYTES):
                     found, first, last = paragraphs(part)
                     keys, one = np.unique(_text_keys(found, first, last), return_index=True)
                     if not len(keys):
@@ -199,7 +222,7 @@ def _members(needed):
                     a, z = found.starts[first[some]].tolist(), found.ends[last[some] - 1].tolist()
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([bands[i][good[i]].tolist() for i in some], pa.list_(pa.int64())),
+                            _lists(bands[some][good[some]], good[some].sum(axis=1)),
                             pa.array(keys[some], pa.int64()),
                             pa.array([raw[x:y] for x, y in zip(a, z)], pa.binary()),
                         ],
@@ -209,9 +232,14 @@ def _members(needed):
     return rows
 
 
+def _held(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Which values of the first are in the second, a sorted set."""
+    return two.take(np.searchsorted(two, one), mode="clip") == one
+
+
 def _shared(runs: np.ndarray, other: np.ndarray) -> tuple[int, int]:
     """First and last + 1 word of what a paragraph with these shingles shares with another set."""
-    hit = np.flatnonzero(np.isin(runs, other))
+    hit = np.flatnonzero(_held(runs, other))
     return int(hit[0]), int(hit[-1]) + WORDS
 
 
@@ -219,7 +247,7 @@ def similar(one: np.ndarray, two: np.ndarray) -> bool:
     """Whether two sorted sets have a Jaccard similarity of PERCENT or more."""
     if min(len(one), len(two)) * 100 < PERCENT * max(len(one), len(two)):
         return False
-    same = len(np.intersect1d(one, two, assume_unique=True))
+    same = np.count_nonzero(_held(one, two))
     return 100 * same >= PERCENT * (len(one) + len(two) - same)
 
 
@@ -272,7 +300,7 @@ def forest(sets: list[np.ndarray], chunk: list[int]) -> list[tuple[int, int]]:
 def _runs_of_texts(texts: pa.Array) -> list[np.ndarray]:
     """The shingles of each text, in their order."""
     found = []
-    for part in W.parts(texts.cast(pa.string())):
+    for part in W.parts(texts.cast(pa.string()), PART_BYTES):
         words = W.words(part)
         every = W.runs(words.hashes, WORDS)
         ends = (words.rows[1:] - (WORDS - 1)).tolist()
@@ -287,7 +315,7 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def linked() -> list[tuple]:
         if len(keys) < 2:
             return []
-        sets = [np.unique(x) for x in runs]
+        sets = [_set(x) for x in runs]
         return [
             (keys[i], keys[j], *_shared(runs[i], sets[j]), *_shared(runs[j], sets[i]))
             for i, j in forest(sets, chunk)
@@ -363,7 +391,7 @@ def _window_counts(bits: int):
         held, size = [], 0
         with np.errstate(over="ignore"):
             for batch in batches:
-                for part in W.parts(batch.column("text")):
+                for part in W.parts(batch.column("text"), PART_BYTES):
                     held.append(windows(part)[3].view(np.uint64))
                     size += len(held[-1])
                     if size >= COUNT_ROWS:
@@ -391,75 +419,65 @@ def repeated_window_keys(docs: DataFrame) -> tuple[int, DataFrame]:
 # Places
 
 
-def _place_rows(batch: pa.RecordBatch, part: W.Part, found: W.Words, first, last, keys) -> pa.RecordBatch:
+def _points(part: W.Part) -> np.ndarray:
+    """Code points before each byte of a part and in all of it."""
+    points = np.zeros(len(part.data) + 1, np.int32)
+    np.cumsum((part.data & 0xC0) != 0x80, out=points[1:])
+    return points
+
+
+def _place_rows(
+    batch: pa.RecordBatch, part: W.Part, found: W.Words, points: np.ndarray, first, last, keys
+) -> list[pa.Array]:
     row = np.searchsorted(found.rows, first, "right") - 1
-    points = np.append(0, np.cumsum((part.data & 0xC0) != 0x80))
     zero = points[part.offsets[:-1]][row]
     starts, ends = points[np.append(found.starts, 0)], points[np.append(found.ends, 0)]
     start, end = starts[first], ends[last - 1]
     before = np.where(first == found.rows[row], -1, start - ends[first - 1])
     after = np.where(last == found.rows[row + 1], -1, starts[last] - end)
     rows, own = pa.array(row), batch.slice(part.first, len(part))
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(keys), own.column("doc_id").take(rows), own.column("doc").take(rows),
-            pa.array(first - found.rows[row], pa.int32()), pa.array(last - first, pa.int32()),
-            pa.array(start - zero), pa.array(end - zero), pa.array(before, pa.int32()), pa.array(after, pa.int32()),
-        ],
-        [c.split()[0] for c in PLACES.split(", ")],
-    )
+    return [
+        pa.array(keys), own.column("doc_id").take(rows), own.column("doc").take(rows),
+        pa.array(first - found.rows[row], pa.int32()), pa.array(last - first, pa.int32()),
+        pa.array(start - zero, pa.int64()), pa.array(end - zero, pa.int64()),
+        pa.array(before, pa.int32()), pa.array(after, pa.int32()),
+    ]
 
 
-def _window_places(needed, bits: int):
-    """Places of windows whose shortened keys the filter lets through."""
+def _places(windows_needed, bits: int, lines_needed=None):
+    """Places of windows whose shortened keys the filter lets through, and of paragraphs that theirs
+    lets through if there is one; these with code points of all their words from their start on."""
+    names = [c.split()[0] for c in f"{PLACES}, {LINES}".split(", ")]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
-                for part in W.parts(batch.column("text")):
+                for part in W.parts(batch.column("text"), PART_BYTES):
                     found, first, last, keys = windows(part)
-                    good = passes(needed.value, (keys.view(np.uint64) >> np.uint64(32 - bits)).view(np.int64))
-                    yield _place_rows(batch, part, found, first[good], last[good], keys[good])
-
-    return rows
-
-
-LINES = "starts array<int>, ends array<int>"
-
-
-def _line_places(needed):
-    """Places of paragraphs that the filter lets through, with code points of all their words from
-    their start on."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                for part in W.parts(batch.column("text")):
-                    found, first, last = paragraphs(part)
+                    good = passes(windows_needed.value, (keys.view(np.uint64) >> np.uint64(32 - bits)).view(np.int64))
+                    points = _points(part)
+                    columns = _place_rows(batch, part, found, points, first[good], last[good], keys[good])
+                    none = pa.nulls(len(columns[0]), pa.list_(pa.int32()))
+                    yield pa.RecordBatch.from_arrays([*columns, none, none], names)
+                    if lines_needed is None:
+                        continue
+                    _, first, last = paragraphs(part, found)
                     keys = _text_keys(found, first, last)
-                    good = passes(needed.value, keys)
+                    good = passes(lines_needed.value, keys)
                     first, last = first[good], last[good]
-                    places = _place_rows(batch, part, found, first, last, keys[good])
-                    points = np.append(0, np.cumsum((part.data & 0xC0) != 0x80))
-                    inner = [
-                        [(points[x[a:z]] - points[found.starts[a]]).tolist() for a, z in zip(first.tolist(), last.tolist())]
-                        for x in (found.starts, found.ends)
-                    ]
-                    arrays = [pa.array(x, pa.list_(pa.int32())) for x in inner]
-                    yield pa.RecordBatch.from_arrays(
-                        [*places.columns, *arrays], [*places.schema.names, "starts", "ends"]
-                    )
+                    columns = _place_rows(batch, part, found, points, first, last, keys[good])
+                    inner, at = _from_to(first, last)
+                    zero = np.repeat(points[found.starts[first]], last - first)
+                    for x in (found.starts, found.ends):
+                        columns.append(_lists(points[x[inner]] - zero, np.diff(at)))
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
     return rows
 
 
-def paragraph_places(docs: DataFrame, labels: DataFrame, shares: DataFrame) -> DataFrame:
+def _cut_lines(lines: DataFrame, known: DataFrame) -> DataFrame:
     """PLACES of linked paragraphs, cut to what they share; ``key`` stands for the component."""
-    known = written(
-        labels.join(shares, labels["node"] == shares["key"]).select("key", "component", "low", "high"), "known"
-    )
-    lines = docs.mapInArrow(_line_places(key_filter(known, "key")), f"{PLACES}, {LINES}").join(known, "key")
-    return lines.select(
+    return lines.join(known, "key").select(
         F.xxhash64(F.lit(1), "component").alias("key"), "doc_id", "doc",
         (F.col("word") + F.col("low")).cast("int").alias("word"), F.expr("CAST(high - low AS INT) AS words"),
         F.expr("start + get(starts, CAST(low AS INT)) AS start"),
@@ -469,6 +487,27 @@ def paragraph_places(docs: DataFrame, labels: DataFrame, shares: DataFrame) -> D
     )
 
 
+def repeated_places(docs: DataFrame, links: DataFrame) -> DataFrame:
+    """PLACES of windows that may be repeated and of linked paragraphs. One pass finds both; only the
+    paragraphs are joined with what is known of them."""
+    bits, twice = repeated_window_keys(docs)
+    needed, known, lines_needed = key_filter(twice, "short"), None, None
+    if not links.isEmpty():
+        labels, shares = _linked(links)
+        known = labels.join(shares, labels["node"] == shares["key"]).select("key", "component", "low", "high")
+        known = written(known, "known")
+        lines_needed = key_filter(known, "key")
+    found = docs.mapInArrow(_places(needed, bits, lines_needed), f"{PLACES}, {LINES}")
+    found = written(found, "places", "zstd")
+    needed.destroy()
+    places = found.where("starts IS NULL").drop("starts", "ends")
+    if known is None:
+        return places
+    lines_needed.destroy()
+    lines = _cut_lines(found.where("starts IS NOT NULL"), known)
+    return places.union(written(lines, "lines", "zstd"))
+
+
 def _marked(places: DataFrame) -> DataFrame:
     """Places of keys that have several, with the document in which the key stands first: the
     smallest doc_id and, if that has several texts, one of them."""
@@ -581,15 +620,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     the text are documents of their own."""
     docs = id_and_text(docs).where("doc_id IS NOT NULL").withColumn("doc", F.xxhash64("text"))
     links = written(paragraph_links(docs), "links")
-    bits, twice = repeated_window_keys(docs)
-    needed = key_filter(twice, "short")
-    places = docs.mapInArrow(_window_places(needed, bits), PLACES)
-    if not links.isEmpty():
-        labels, shares = _linked(links)
-        places = places.union(paragraph_places(docs, labels, shares))
-    places = written(places, "places", "zstd")
-    needed.destroy()
-    marked = _marked(places)
+    marked = _marked(repeated_places(docs, links))
     copies = docs.groupBy("doc_id", "doc").agg(F.count("*").alias("copies"))
     copies = written(copies.where("copies > 1"), "copies")
     if copies.isEmpty():

@@ -531,3 +531,61 @@ def test_forest_connects_what_all_similar_pairs_connect(monkeypatch):
             found = paragraph_dedup.forest(sets, chunk)
             assert all(p in allowed or p[::-1] in allowed for p in found)
             assert groups(found) == expected
+
+
+def test_lines_begin_at_the_first_word_after_a_line_feed():
+    rng = random.Random(36)
+    for _ in range(200):
+        rows = ["".join(rng.choice(["a", "bé", "語", " ", "\t", "\n", "\r\n", "\n\n"]) for _ in range(rng.randint(0, 30))) for _ in range(4)]
+        (part,) = W.parts(pa.array(rows))
+        found, expected, n = W.words(part), {0}, 0
+        for row in rows:
+            for line in row.split("\n"):
+                expected.add(n)
+                n += len(re.findall(r"[^\x20\x09-\x0D]+", line))
+        assert len(found.starts) == n
+        assert paragraph_dedup._edges(part, found).tolist() == sorted(expected | {n})
+
+
+def test_places_of_windows_and_paragraphs_come_from_one_reading_of_the_words(monkeypatch):
+    import numpy as np
+
+    rng = random.Random(37)
+    rows = [(7, "é " + text(rng, 3)), (8, ""), (9, sentence(rng, 4) + "\n  Ünï " + sentence(rng, 30) + "\n" + sentence(rng, 70))]
+
+    class Any:
+        value = np.full(8192, 255, np.uint8)
+
+    calls, read = [], W.words
+    monkeypatch.setattr(W, "words", lambda part, *a: calls.append(part) or read(part, *a))
+    ids, texts = (pa.array(c) for c in zip(*rows))
+    batch = pa.RecordBatch.from_arrays([ids, texts, ids], ["doc_id", "text", "doc"])
+    found = [r for b in paragraph_dedup._places(Any, 4, Any)(iter([batch])) for r in b.to_pylist()]
+    assert len(calls) == 1
+    lines = [r for r in found if r["starts"] is not None]
+    assert len(lines) >= 2 and len(found) > len(lines)
+    for r in found:
+        value = dict(rows)[r["doc_id"]]
+        words = [(m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", value)]
+        own = words[r["word"] : r["word"] + r["words"]]
+        assert (r["start"], r["end"]) == (own[0][0], own[-1][1])
+        if r["starts"] is not None:
+            assert [(a + r["start"], z + r["start"]) for a, z in zip(r["starts"], r["ends"])] == own
+
+
+def test_paragraph_dedup_reads_texts_six_times(spark):
+    """Bands, members, letters, counts of windows, places of both kinds, copies of rows."""
+    rng = random.Random(38)
+    line, passage = sentence(rng, 60), sentence(rng, 60)
+    rows = [(i, f"{text(rng, 2)} {passage}\n{edited(rng, line, 1)}") for i in range(20)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").mapInArrow(counted, "doc_id bigint, text string")
+    found = paragraph_dedup.repeated_passages(docs).collect()
+    assert {r.doc_id for r in found if r.removed} == set(range(1, 20))
+    assert read.value <= 6 * len(rows)
