@@ -28,7 +28,7 @@ SEQUENCE = 4096
 END = 1
 GROUP_TOKENS = 4 << 20
 GROUP_PIECES = 200_000
-PART_BYTES = 512 << 10  # text at once; the arrays for it are some thirty times as large
+PART_BYTES = 256 << 10  # text at once; the arrays for it are some thirty times as large
 VOCABULARY = "word_bpe_49k.json"
 
 PIECES = "doc_id long, place long, piece int, start long, length long, ids_crc32 long"

@@ -13,6 +13,7 @@ vocabulary with another chain is encoded text by text.
 from __future__ import annotations
 
 import json
+import os
 
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
@@ -20,7 +21,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 from tablework.llm.words import SPACE, Part, words
 
 SLOTS = 20  # bits: a million pieces are remembered at most, in 16 MB of each Python worker
-POOL_IDS = 8 << 20  # ids remembered before the store starts anew
+POOL_IDS = 2 << 20  # ids remembered before the store starts anew, in up to 16 MB
 AT_ONCE = 256  # pieces of letters in one call
 
 # The chain that may be cut into pieces as told above.
@@ -77,8 +78,7 @@ class TokenIds:
         self._special = [x["content"].encode() for x in chain["added_tokens"]]
         if not self._pieces:
             return
-        self._letters = Tokenizer.from_file(path)
-        self._letters.normalizer = None
+        self._letters = Tokenizer(self._whole.model)  # the same vocabulary, held once
         self._letters.pre_tokenizer = pre_tokenizers.Sequence(
             [
                 pre_tokenizers.WhitespaceSplit(),
@@ -163,7 +163,9 @@ _open: dict[str, TokenIds] = {}
 
 
 def token_ids(path: str) -> TokenIds:
-    """The store of this Python worker; tasks that it runs one after another share it."""
+    """The store of this Python worker; tasks that it runs one after another share it. A task has one
+    core: threads of the library for all cores of the machine would only add their memory."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _open:
         _open[path] = TokenIds(path)
     return _open[path]
