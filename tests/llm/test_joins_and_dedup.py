@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -82,6 +83,82 @@ def test_jaccard_join_with_groups_of_near_copies(spark, monkeypatch, settings):
     assert sorted(joined(docs)) == components(rows)
 
 
+def token_sets(rng, n, changed, other):
+    """A set of n hashes, and one with so many of them changed and others added."""
+    one = np.array([rng.getrandbits(64) for _ in range(n)], np.uint64)
+    two = np.append(one[changed:], np.array([rng.getrandbits(64) for _ in range(other)], np.uint64))
+    return np.unique(one), np.unique(two)
+
+
+def test_sketches_never_rule_out_similar_sets():
+    rng, ruled_out = random.Random(41), 0
+    for _ in range(600):
+        n = rng.choice([1, 3, 16, 63, 64, 65, 127, 128, 129, 300, 1025, 3000])
+        one, two = token_sets(rng, n, rng.randint(0, n - 1), rng.randint(0, n))
+        same = len(np.intersect1d(one, two))
+        least = jaccard_join.least_unlike(jaccard_join.sketch(one), jaccard_join.sketch(two))
+        assert 0 <= least <= len(one) + len(two) - 2 * same
+        assert least == jaccard_join.least_unlike(jaccard_join.sketch(two), jaccard_join.sketch(one))
+        may = jaccard_join._may_be_similar(least, len(one) + len(two))
+        assert may or 100 * same < 75 * (len(one) + len(two) - same)
+        ruled_out += not may
+    assert ruled_out > 300
+
+
+def test_sketches_in_a_block_rule_out_as_they_do_in_pairs():
+    rng, sets, labels = random.Random(42), [], []
+    for k in range(25):
+        n = rng.choice([5, 60, 70, 120, 140, 500, 530])
+        for x in token_sets(rng, n, rng.randint(0, n // 3), rng.randint(0, n // 3)):
+            sets.append(x)
+            labels.append(k if rng.random() < 0.3 else 100 + len(sets))
+    for chunks in (1, 2):
+        own = [k % chunks for k in range(len(sets))]
+        block = pa.table(
+            {
+                "key": pa.array(range(len(sets)), pa.int64()), "own": pa.array(own, pa.int64()),
+                "label": pa.array(labels, pa.int64()), "n_shingles": pa.array([len(x) for x in sets], pa.int64()),
+                "sketch": pa.array([jaccard_join.sketch(x) for x in sets], pa.binary()),
+                "i": pa.array([0] * len(sets), pa.int64()), "j": pa.array([chunks - 1] * len(sets), pa.int64()),
+            }
+        )
+        expected, similar = set(), set()
+        for a, x in enumerate(sets):
+            for b, y in enumerate(sets):
+                if a == b or labels[a] == labels[b] or chunks > 1 and own[a] == own[b]:
+                    continue
+                near = 4 * min(len(x), len(y)) >= 3 * max(len(x), len(y))
+                least = jaccard_join.least_unlike(jaccard_join.sketch(x), jaccard_join.sketch(y))
+                if near and jaccard_join._may_be_similar(least, len(x) + len(y)):
+                    expected.add(a)
+                if 100 * len(np.intersect1d(x, y)) >= 75 * len(np.union1d(x, y)):
+                    similar.add(a)
+        found = jaccard_join._possible_in_block(block).column("key").to_pylist()
+        assert similar and similar <= expected and sorted(found) == sorted(expected) and len(found) < len(sets)
+
+
+@pytest.mark.parametrize("settings", [{}, {"PAIRED": 2, "CHUNK_SKETCHES": 5, "CHUNK_SETS": 3}])
+def test_texts_of_unlike_sets_are_not_fetched(spark, monkeypatch, settings):
+    """Documents that share passages are candidates; only the texts of near copies are read."""
+    for name, value in settings.items():
+        monkeypatch.setattr(jaccard_join, name, value)
+    rng = random.Random(43)
+    passage = sentence(rng, 30)
+    rows = [(i, f"{sentence(rng, 25)} {passage} {sentence(rng, 25)}") for i in range(40)]
+    copied = sentence(rng, 70)
+    rows += [(100 + i, edited(rng, copied, 1) + " " + passage) for i in range(4)]
+    fetched, fetch = [], jaccard_join.texts_of
+
+    def texts_of(docs, sets, keys):
+        fetched.append(keys.distinct().count())
+        return fetch(docs, sets, keys)
+
+    monkeypatch.setattr(jaccard_join, "texts_of", texts_of)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(joined(docs)) == components(rows)
+    assert fetched and max(fetched) <= 4
+
+
 def test_one_of_each_keeps_the_smallest(docs, rows):
     kept = jaccard_join.one_of_each(docs)
     assert kept.columns == docs.columns
